@@ -24,12 +24,19 @@ def null_safe_join(
     return left.join(renamed, condition, how).drop(*[f"__r_{c}" for c in on])
 
 
+def shuffle_slot(columns: Sequence[str], hot: str) -> str:
+    """SQL for the shuffle slot of a row: 0 for ordinary keys, spread out for hot ones.
+
+    Copies of a row differ by the partition they come from. Only the route of a hot row
+    depends on its slot, never the row it is joined with.
+    """
+    row = ", ".join(f"`{c}`" for c in columns)
+    spread = f"1 + pmod(xxhash64({row}) + spark_partition_id() * 1000003, {HOT_ROW_SLOTS})"
+    return f"CASE WHEN {hot} THEN {spread} ELSE 0L END"
+
+
 def split_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    key_counts: DataFrame | None = None,
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner"
 ) -> DataFrame:
     """Join ``left`` with ``right``, which holds at most one row per key.
 
@@ -38,8 +45,7 @@ def split_join(
     rows take the ordinary shuffle join, where no key is hot. The two parts together
     are the whole join: nothing is dropped or capped.
 
-    ``key_counts`` (the key columns and ``n``) saves counting the keys again. Null keys
-    never match. ``how`` is ``inner`` or ``left``.
+    Null keys never match. ``how`` is ``inner`` or ``left``.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"split_join supports inner and left joins, not {how!r}")
@@ -47,28 +53,22 @@ def split_join(
     payload = [c for c in right.columns if c not in on]
     if how == "inner":
         left = left.dropna(subset=on)
-    if key_counts is None:
-        key_counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
-    threshold = key_counts.agg((F.sum("n") / HOT_KEY_LIMIT).alias("rows")).scalar()
+    counts = left.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
+    threshold = counts.agg((F.sum("__n") / HOT_KEY_LIMIT).alias("rows")).scalar()
+    hot_keys = counts.filter(F.col("__n") > threshold).select(*on)
 
-    partners = right.dropna(subset=on).select(*on, F.struct(F.lit(True), *payload).alias("__partner"))
-    hot_keys = key_counts.dropna(subset=on).filter(F.col("n") > threshold).select(*on)
+    partners = right.select(*on, F.struct(F.lit(True).alias("__found"), *payload).alias("__cold"))
     hot_partners = partners.join(F.broadcast(hot_keys), on, "left_semi")
-    hot = hot_keys.join(hot_partners, on, "left").select(
-        *on, F.struct("__partner").alias("__hot")
-    )
-    # Only the route of a hot row depends on its slot, never its partner.
-    slot = 1 + F.pmod(
-        F.xxhash64(*left.columns) + F.spark_partition_id() * F.lit(1_000_003), HOT_ROW_SLOTS
+    hot = hot_keys.join(hot_partners, on, "left").selectExpr(
+        *on, "__cold AS __hot", "TRUE AS __is_hot"
     )
     routed = left.join(F.broadcast(hot), on, "left").withColumn(
-        "__slot", F.when(F.col("__hot").isNull(), F.lit(0).cast("bigint")).otherwise(slot)
-    )
-    cold = partners.withColumn("__slot", F.lit(0).cast("bigint"))
-    joined = routed.join(cold, [*on, "__slot"], "left").withColumn(
-        "__match",
-        F.when(F.col("__hot").isNull(), F.col("__partner")).otherwise(F.col("__hot.__partner")),
+        "__slot", F.expr(shuffle_slot(left.columns, "__is_hot"))
     )
+    joined = routed.join(partners.withColumn("__slot", F.lit(0).cast("bigint")), [*on, "__slot"], "left")
+    joined = joined.withColumn("__match", F.expr("CASE WHEN __is_hot THEN __hot ELSE __cold END"))
     if how == "inner":
-        joined = joined.filter(F.col("__match").isNotNull())
-    return joined.select(*left.columns, *[F.col(f"__match.{c}").alias(c) for c in payload])
+        joined = joined.filter("__match IS NOT NULL")
+    return joined.selectExpr(
+        *[f"`{c}`" for c in left.columns], *[f"__match.`{c}` AS `{c}`" for c in payload]
+    )

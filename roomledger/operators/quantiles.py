@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roomledger.operators.joins import null_safe_join
@@ -12,55 +12,53 @@ from roomledger.operators.ranking import DIGIT_BITS, ordinal
 
 
 def _values_at_ranks(
-    df: DataFrame, value: str, by: Sequence[str], ranks: Mapping[str, Column]
+    df: DataFrame, value: str, by: Sequence[str], ranks: Mapping[str, str]
 ) -> DataFrame:
     """Values at given positions among the sorted non-null values, one row per group.
 
-    ``ranks`` maps an output name to a position, written in terms of ``__total``, the
+    ``ranks`` maps an output name to a position, as SQL in terms of ``__total``, the
     number of values. The counts of equal values are added up by high digit first, which
     finds the digit that holds a position, and then by value within that digit only.
     """
     by = list(by)
-    data_type = df.schema[value].dataType
+    high = f"shiftright({ordinal(value, df.schema[value].dataType)}, {DIGIT_BITS})"
     counts = (
         df.filter(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).alias("__value"))
+        .groupBy(*by, value)
         .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__high", F.shiftright(ordinal(F.col("__value"), data_type), DIGIT_BITS))
+        .selectExpr(*[f"`{c}`" for c in by], f"`{value}` AS __value", "__n", f"{high} AS __high")
     )
-    wanted = F.array(
-        *[
-            F.struct(F.lit(name).alias("name"), rank.cast("bigint").alias("rank"))
-            for name, rank in ranks.items()
-        ]
+    wanted = ", ".join(
+        f"struct('{name}' AS name, CAST({rank} AS BIGINT) AS rank)" for name, rank in ranks.items()
     )
-    first = F.col("__through") - F.col("__n") + 1
+    group = f"PARTITION BY {', '.join(f'`{c}`' for c in by)}" if by else ""
     holders = (
         counts.groupBy(*by, "__high")
         .agg(F.sum("__n").alias("__n"))
-        .withColumn("__through", F.sum("__n").over(Window.partitionBy(*by).orderBy("__high")))
-        .withColumn("__total", F.sum("__n").over(Window.partitionBy(*by)))
-        .withColumn("__wanted", F.explode(wanted))
-        .filter(F.col("__wanted.rank").between(first, F.col("__through")))
-        .select(
-            *by,
+        .selectExpr(
+            "*",
+            f"sum(__n) OVER ({group} ORDER BY __high) AS __through",
+            f"sum(__n) OVER ({group}) AS __total",
+        )
+        .selectExpr("*", f"explode(array({wanted})) AS __wanted")
+        .filter("__wanted.rank > __through - __n AND __wanted.rank <= __through")
+        .selectExpr(
+            *[f"`{c}`" for c in by],
             "__high",
-            F.col("__wanted.name").alias("__name"),
-            (F.col("__wanted.rank") - first + 1).alias("__rank"),
+            "__wanted.name AS __name",
+            "__wanted.rank - __through + __n AS __rank",
         )
     )
     if by:
         found = null_safe_join(counts, holders, [*by, "__high"])
     else:  # one holder per wanted rank
         found = counts.join(F.broadcast(holders), "__high")
-    by_value = Window.partitionBy(*by, "__name").orderBy("__value")
+    parent = ", ".join([*[f"`{c}`" for c in by], "__name"])
     return (
-        found.withColumn("__through", F.sum("__n").over(by_value))
-        .filter(F.col("__rank").between(first, F.col("__through")))
+        found.selectExpr("*", f"sum(__n) OVER (PARTITION BY {parent} ORDER BY __value) AS __through")
+        .filter("__rank > __through - __n AND __rank <= __through")
         .groupBy(*by)
-        .agg(
-            *[F.max(F.when(F.col("__name") == name, F.col("__value"))).alias(name) for name in ranks]
-        )
+        .agg(*[F.expr(f"max(CASE WHEN __name = '{n}' THEN __value END)").alias(n) for n in ranks])
     )
 
 
@@ -72,10 +70,8 @@ def exact_quantiles(
     The value column must be exact (integer or decimal). One row per group, or one row
     in all when ``by`` is empty.
     """
-    total = F.col("__total")
     ranks = {
-        name: F.greatest(F.ceil(total * F.lit(fraction)), F.lit(1))
-        for name, fraction in fractions.items()
+        name: f"greatest(ceil(__total * {fraction!r}D), 1)" for name, fraction in fractions.items()
     }
     return _values_at_ranks(df, value, by, ranks)
 
@@ -86,8 +82,7 @@ def exact_median(df: DataFrame, value: str, out: str, by: Sequence[str] = ()) ->
     For groups too large to hold their distinct values in one aggregation buffer;
     ``F.median`` is the cheaper choice for many small groups.
     """
-    total = F.col("__total")
-    ranks = {"__below": F.floor((total + 1) / 2), "__above": F.floor((total + 2) / 2)}
+    ranks = {"__below": "(__total + 1) DIV 2", "__above": "(__total + 2) DIV 2"}
     middle = (F.col("__below") + F.col("__above")) / 2
     return _values_at_ranks(df, value, by, ranks).select(*by, middle.alias(out))
 

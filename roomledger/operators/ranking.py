@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roomledger.operators.joins import null_safe_join, split_join
+from roomledger.operators.joins import HOT_KEY_LIMIT, null_safe_join, shuffle_slot
 
 # Ranks are built digit by digit. A digit has 2**DIGIT_BITS values, which bounds the
 # rows any single task sorts.
@@ -20,10 +20,14 @@ BROADCAST_ROWS = 100_000
 
 @dataclass(frozen=True)
 class SortKey:
-    """A column and a direction. Nulls come first ascending and last descending."""
+    """A column and a direction. Nulls come first ascending and last descending.
+
+    ``max_distinct`` states a proven limit on the number of different values.
+    """
 
     name: str
     descending: bool = False
+    max_distinct: int | None = None
 
     @property
     def column(self) -> Column:
@@ -31,12 +35,12 @@ class SortKey:
         return c.desc_nulls_last() if self.descending else c.asc_nulls_first()
 
 
-def asc(name: str) -> SortKey:
-    return SortKey(name)
+def asc(name: str, max_distinct: int | None = None) -> SortKey:
+    return SortKey(name, False, max_distinct)
 
 
-def desc(name: str) -> SortKey:
-    return SortKey(name, descending=True)
+def desc(name: str, max_distinct: int | None = None) -> SortKey:
+    return SortKey(name, True, max_distinct)
 
 
 def top_n_per_group(
@@ -80,41 +84,51 @@ def top_n_per_group(
     return null_safe_join(df, winners, keys)
 
 
-def ordinal(column: Column, data_type: T.DataType) -> Column:
-    """Order-preserving long for an exact value (integer, decimal, date, boolean)."""
-    if isinstance(data_type, T.IntegralType):
-        return column.cast("bigint")
+def ordinal(name: str, data_type: T.DataType) -> str:
+    """SQL for an order-preserving long of an exact value (integer, decimal, date, boolean)."""
     if isinstance(data_type, T.DecimalType):
-        return (column * F.lit(10**data_type.scale)).cast("bigint")
+        return f"CAST(`{name}` * {10**data_type.scale} AS BIGINT)"
     if isinstance(data_type, T.DateType):
-        return F.unix_date(column).cast("bigint")
-    if isinstance(data_type, T.BooleanType):
-        return column.cast("bigint")
+        return f"CAST(unix_date(`{name}`) AS BIGINT)"
+    if isinstance(data_type, (T.IntegralType, T.BooleanType)):
+        return f"CAST(`{name}` AS BIGINT)"
     raise TypeError(f"{data_type.simpleString()} has no exact order; round it to a decimal first")
 
 
-def _digits(df: DataFrame, order: Sequence[SortKey]) -> tuple[dict[str, Column], list[list[str]]]:
-    """Digit columns of the order values, and the digit names level by level."""
-    columns: dict[str, Column] = {}
+@dataclass(frozen=True)
+class _Coded:
+    """SQL of the digits of some sort keys, and the digit names level by level."""
+
+    expressions: list[str]
+    levels: list[list[str]]
+
+    @property
+    def digits(self) -> list[str]:
+        return [digit for level in self.levels for digit in level]
+
+
+def _coded(df: DataFrame, order: Sequence[SortKey], prefix: str) -> _Coded:
+    expressions: list[str] = []
     levels: list[list[str]] = []
     for i, key in enumerate(order):
-        value = F.col(key.name)
-        number = ordinal(value, df.schema[key.name].dataType)
-        number = F.coalesce(-number if key.descending else number, F.lit(0))
-        empty, high, low = f"__k{i}_null", f"__k{i}_high", f"__k{i}_low"
-        columns[empty] = value.isNull() if key.descending else value.isNotNull()
-        columns[high] = F.shiftright(number, DIGIT_BITS)
-        columns[low] = number.bitwiseAND(F.lit(DIGIT_SIZE - 1))
-        levels += [[empty, high], [low]]
-    return columns, levels
+        number = ordinal(key.name, df.schema[key.name].dataType)
+        number = f"coalesce({'-' if key.descending else ''}{number}, 0L)"
+        present = f"{prefix}{i}_present"
+        known = "IS NULL" if key.descending else "IS NOT NULL"
+        expressions.append(f"`{key.name}` {known} AS {present}")
+        if key.max_distinct is not None and key.max_distinct <= DIGIT_SIZE:
+            expressions.append(f"{number} AS {prefix}{i}")
+            levels.append([present, f"{prefix}{i}"])
+        else:
+            high, low = f"{prefix}{i}_high", f"{prefix}{i}_low"
+            expressions.append(f"shiftright({number}, {DIGIT_BITS}) AS {high}")
+            expressions.append(f"{number} & {DIGIT_SIZE - 1}L AS {low}")
+            levels += [[present, high], [low]]
+    return _Coded(expressions, levels)
 
 
 def global_dense_rank(
-    df: DataFrame,
-    order: Sequence[SortKey],
-    rank_col: str = "rnk",
-    by: Sequence[str] = (),
-    max_distinct: int | None = None,
+    df: DataFrame, order: Sequence[SortKey], rank_col: str = "rnk", by: Sequence[str] = ()
 ) -> DataFrame:
     """``dense_rank`` of all rows (per ``by``, if given) as a long, without a global sort.
 
@@ -122,80 +136,94 @@ def global_dense_rank(
     under each digit and adding up the counts of the smaller digits gives the rank as a
     sum of offsets, one per level. A task sorts the values that share all higher digits,
     which are at most ``DIGIT_SIZE``; on the top level that holds for values below
-    ``DIGIT_SIZE`` squared, and beyond them the result is still right.
+    ``DIGIT_SIZE`` squared, and beyond them the result is still right. A key with few
+    values (``max_distinct``) is a single digit.
 
-    ``max_distinct`` states a proven limit on the number of distinct order values; a
-    small one lets a single window rank them all. Ranks reach their rows through
-    :func:`split_join`, since one value may be shared by very many rows.
+    Ranks then find their rows by a join, in which a value shared by very many rows is
+    handled apart: fewer than ``HOT_KEY_LIMIT`` such ranks are broadcast.
     """
-    by = list(by)
-    digit_columns, levels = _digits(df, order)
-    coded = df.withColumns(digit_columns)
-    # Nullable group columns become part of the key as non-null structs.
-    group = [f"__g{i}" for i in range(len(by))]
-    coded = coded.withColumns({g: F.struct(c) for g, c in zip(group, by)})
+    coded = _coded(df, order, "__k")
+    # A group column that may be null becomes a key that is not.
+    groups = [f"__g{i}" for i in range(len(by))]
+    structs = [f"struct(`{c}`) AS {g}" for g, c in zip(groups, by)]
+    rows = df.selectExpr("*", *coded.expressions, *structs)
+    ranks = _rank_table(rows, groups, coded.levels)
+    bounded = not by and len(order) == 1 and _is_small(order[0])
+    return _attach_rank(rows, ranks, [*groups, *coded.digits], rank_col, bounded).select(
+        *df.columns, rank_col
+    )
+
+
+def _is_small(key: SortKey) -> bool:
+    return key.max_distinct is not None and key.max_distinct <= BROADCAST_ROWS
+
+
+def _over(partition: Sequence[str], order: Sequence[str], frame: str = "") -> str:
+    by = f"PARTITION BY {', '.join(partition)}" if partition else ""
+    return f"OVER ({by} {'ORDER BY ' + ', '.join(order) if order else ''} {frame})"
+
+
+def _rank_table(rows: DataFrame, groups: list[str], levels: list[list[str]]) -> DataFrame:
+    """Rank of every key, with its number of rows and the number of all rows."""
     digits = [d for level in levels for d in level]
-    key = [*group, *digits]
-    key_counts = coded.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-    keys = key_counts.select(*key)
-
-    if max_distinct is not None and max_distinct <= BROADCAST_ROWS:
-        window = Window.partitionBy(*group).orderBy(*digits)
-        ranks = keys.withColumn(rank_col, F.dense_rank().over(window).cast("bigint"))
-        if not by:
-            return coded.join(F.broadcast(ranks), key).select(*df.columns, rank_col)
-    else:
-        ranks = _rank_by_digits(keys, group, levels, rank_col)
-    return split_join(coded, ranks, key, key_counts=key_counts).select(*df.columns, rank_col)
-
-
-def _rank_by_digits(
-    keys: DataFrame, group: list[str], levels: list[list[str]], rank_col: str
-) -> DataFrame:
-    # A single low digit below another digit is the common case of two levels.
+    keys = rows.groupBy(*groups, *digits).agg(F.count(F.lit(1)).alias("__rows"))
+    before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    parent = list(groups)
     offsets: DataFrame | None = None
-    parent = list(group)
     for level in levels[:-1]:
         prefix = [*parent, *level]
-        counts = keys.groupBy(*prefix).agg(F.count(F.lit(1)).alias("__values"))
-        before = (
-            Window.partitionBy(*parent)
-            .orderBy(*level)
-            .rowsBetween(Window.unboundedPreceding, -1)
+        counts = keys.groupBy(*prefix).agg(
+            F.count(F.lit(1)).alias("__values"), F.sum("__rows").alias("__below")
         )
-        smaller = F.coalesce(F.sum("__values").over(before), F.lit(0))
+        smaller = f"coalesce(sum(__values) {_over(parent, level, before)}, 0L)"
         if offsets is None:
-            offsets = counts.select(*prefix, smaller.alias("__offset"))
+            total = f"sum(__below) {_over([], [])} AS __total"
+            offsets = counts.selectExpr(*prefix, f"{smaller} AS __offset", total)
         else:
-            offsets = counts.join(offsets, parent).select(
-                *prefix, (F.col("__offset") + smaller).alias("__offset")
+            offsets = counts.join(offsets, parent).selectExpr(
+                *prefix, f"__offset + {smaller} AS __offset", "__total"
             )
         parent = prefix
-    last = Window.partitionBy(*parent).orderBy(*levels[-1])
-    return keys.join(offsets, parent).select(
-        *keys.columns, (F.col("__offset") + F.row_number().over(last)).alias(rank_col)
+    position = f"row_number() {_over(parent, levels[-1])}"
+    if offsets is None:
+        total = f"sum(__rows) {_over([], [])} AS __total"
+        return keys.selectExpr(*groups, *digits, f"CAST({position} AS BIGINT) AS __rank", "__rows", total)
+    return keys.join(offsets, parent).selectExpr(
+        *groups, *digits, f"__offset + {position} AS __rank", "__rows", "__total"
+    )
+
+
+def _attach_rank(
+    rows: DataFrame, ranks: DataFrame, key: list[str], rank_col: str, bounded: bool
+) -> DataFrame:
+    if bounded:
+        found = F.broadcast(ranks.selectExpr(*key, f"__rank AS `{rank_col}`"))
+        return rows.join(found, key)
+    hot = ranks.filter(F.col("__rows") * HOT_KEY_LIMIT > F.col("__total")).selectExpr(
+        *key, "__rank AS __hot_rank"
+    )
+    slot = shuffle_slot(rows.columns, "__hot_rank IS NOT NULL")
+    routed = rows.join(F.broadcast(hot), key, "left").selectExpr("*", f"{slot} AS __slot")
+    cold = ranks.selectExpr(*key, "__rank", "0L AS __slot")
+    return routed.join(cold, [*key, "__slot"], "left").withColumn(
+        rank_col, F.coalesce("__hot_rank", "__rank")
     )
 
 
 def rank_sum_bottom_k(
-    df: DataFrame,
-    keys: Sequence[SortKey],
-    k: int,
-    tie_break: Sequence[str],
-    max_distinct: dict[str, int] | None = None,
+    df: DataFrame, keys: Sequence[SortKey], k: int, tie_break: Sequence[str]
 ) -> DataFrame:
     """The ``k`` rows with the smallest sum of dense ranks, one rank per key."""
-    ranked = df
-    names = []
-    for key in keys:
-        name = f"__rank_{key.name}"
-        names.append(name)
-        ranked = global_dense_rank(
-            ranked, [key], name, max_distinct=(max_distinct or {}).get(key.name)
-        )
-    total = sum((F.col(n) for n in names), F.lit(0))
+    coded = [_coded(df, [key], f"__s{i}_") for i, key in enumerate(keys)]
+    rows = df.selectExpr("*", *[e for c in coded for e in c.expressions])
+    ranked = rows
+    for i, (key, code) in enumerate(zip(keys, coded)):
+        ranks = _rank_table(rows, [], code.levels)
+        kept = [*rows.columns, *[f"__rank{j}" for j in range(i + 1)]]
+        ranked = _attach_rank(ranked, ranks, code.digits, f"__rank{i}", _is_small(key)).select(*kept)
+    total = " + ".join(f"__rank{i}" for i in range(len(keys)))
     return (
-        ranked.withColumn("__rank_sum", total)
+        ranked.selectExpr("*", f"{total} AS __rank_sum")
         .orderBy("__rank_sum", *tie_break)
         .limit(k)
         .select(*df.columns)

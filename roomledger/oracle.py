@@ -28,7 +28,12 @@ def _r_double(expression: str, digits: int = 2) -> str:
 
 MONEY = "DECIMAL(18,2)"
 OCCUPANCY = _r("100e0 * count(*) FILTER (WHERE NOT available) / count(*)")
-MEAN_PRICE = "CAST(avg(price) AS DECIMAL(22,6))"
+# Mean of cent amounts, half up to millionths, in whole numbers: exact where a double is not.
+CENTS = "sum(CAST(price * 100 AS HUGEINT))"
+MEAN_PRICE = (
+    f"CAST((2 * {CENTS} * 10000 + count(price)) // (2 * count(price)) AS DECIMAL(20,0))"
+    " * CAST(0.000001 AS DECIMAL(7,6))"
+)
 BOOKED_REVENUE = f"sum(CASE WHEN NOT available THEN price ELSE CAST(0 AS {MONEY}) END)"
 
 PRELUDE = f"""
@@ -306,16 +311,15 @@ SELECT neighbourhood, month, {_d('total_revenue')} AS total_revenue,
        {_r_double('(total - total / months) * (total - total / months) / 12')} AS yearly_variance
 FROM monthly JOIN yearly USING (neighbourhood)"""),
     "monthly_revenue_per_neighbourhood_intended": _cte(f"""
-{REVENUE.strip()}, wide AS (
-  SELECT neighbourhood, month, CAST(total_revenue AS {MONEY}) AS revenue FROM monthly),
-yearly AS (
-  SELECT neighbourhood, avg(revenue) AS mean, count(*) AS months,
-         CAST(sum(revenue) AS {MONEY}) AS total, sum(revenue * revenue) AS squares
-  FROM wide GROUP BY neighbourhood)
-SELECT neighbourhood, month, {_d('revenue')} AS total_revenue,
-       {_rd(f"{_d('revenue')} - mean")} AS deviation_from_mean,
-       {_r_double('CAST(squares * CAST(months AS INT) - total * total AS DOUBLE) / (months * months)')} AS yearly_variance
-FROM wide JOIN yearly USING (neighbourhood)"""),
+{REVENUE.strip()}, yearly AS (
+  SELECT neighbourhood, avg(total_revenue) AS mean, count(*) AS months,
+         sum(CAST(total_revenue * 100 AS HUGEINT)) AS cents,
+         sum(CAST(total_revenue * 100 AS HUGEINT) * CAST(total_revenue * 100 AS HUGEINT)) AS squares
+  FROM monthly GROUP BY neighbourhood)
+SELECT neighbourhood, month, {_d('total_revenue')} AS total_revenue,
+       {_rd(f"{_d('total_revenue')} - mean")} AS deviation_from_mean,
+       {_r_double('CAST(squares * months - cents * cents AS DOUBLE) / (months * months * 10000)')} AS yearly_variance
+FROM monthly JOIN yearly USING (neighbourhood)"""),
     "lowest_occupancy_rate_and_review_scores": _cte(f"""
 {LOWEST.strip()}
 SELECT review_scores_rating, neighbourhood, host_id, {_d('occupancy_rate')} AS occupancy_rate FROM lowest"""),

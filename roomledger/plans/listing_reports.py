@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roomledger.functions.dates import month_of
@@ -132,7 +132,7 @@ def occupancy_per_month_exact(market: Market, month_grain: str = "name") -> Data
     )
 
 
-def _monthly_counts_of_reviewed(market: Market, enough) -> DataFrame:
+def _monthly_counts_of_reviewed(market: Market, enough: Column) -> DataFrame:
     # The total of a listing is the sum over its months, so reviews are read once.
     monthly = monthly_reviews(market.reviews).agg(
         F.count("id").alias("review_count"), F.count(F.lit(1)).alias("__rows")
@@ -189,10 +189,9 @@ def _lowest(market: Market) -> DataFrame:
     )
     return rank_sum_bottom_k(
         candidates,
-        [asc("occupancy_rate"), asc("__rating")],
+        [asc("occupancy_rate", OCCUPANCY_VALUES), asc("__rating")],
         LOWEST_LISTED,
         ["listing_id"],
-        max_distinct={"occupancy_rate": OCCUPANCY_VALUES},
     )
 
 
@@ -258,7 +257,7 @@ def listing_stats_by_price_bin(market: Market) -> DataFrame:
     return as_report(stats, "avg_price_bin", "n_listings", *means)
 
 
-def _price_changes(market: Market, days) -> DataFrame:
+def _price_changes(market: Market, days: Column) -> DataFrame:
     calendar = market.calendar.withColumn("price", money("price"))
     changes = change_count(calendar, "listing_id", "date", "price", "n_price_changes")
     return changes.filter(F.col("n_price_changes") > 0).select(

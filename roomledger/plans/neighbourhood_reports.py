@@ -115,17 +115,17 @@ def monthly_revenue_deviation(market: Market) -> DataFrame:
     month, and the variance of the months."""
     year = Window.partitionBy("neighbourhood")
     months = F.count("total_revenue").over(year)
-    wide = F.col("total_revenue").cast("decimal(18,2)")
-    squares = F.sum((wide * wide).cast("decimal(38,4)")).over(year)
-    total = F.sum("total_revenue").over(year).cast("decimal(18,2)")
-    # months * squares - total ** 2, exact until the division
-    spread = (squares * months).cast("decimal(38,4)") - (total * total).cast("decimal(38,4)")
+    cents = (F.col("total_revenue") * 100).cast("decimal(18,0)")
+    squares = F.sum((cents * cents).cast("decimal(38,0)")).over(year)
+    total = F.sum(cents).over(year).cast("decimal(18,0)")
+    # Exact until the division: months * squares - total ** 2, in square cents.
+    spread = (squares * months).cast("decimal(38,0)") - (total * total).cast("decimal(38,0)")
     deviations = deviation_from_mean(
         _monthly_revenue(market), "neighbourhood", "total_revenue", "deviation_from_mean"
     )
     return as_report(
         deviations.withColumn(
-            "yearly_variance", F.round(spread.cast("double") / (months * months), 2)
+            "yearly_variance", F.round(spread.cast("double") / (months * months * 10_000), 2)
         ),
         "neighbourhood", "month", "total_revenue", "deviation_from_mean", "yearly_variance",
     )
