@@ -14,18 +14,34 @@ from roomledger.functions.numbers import mean_of, money, percent, rounded
 
 
 def calendar_totals(calendar: DataFrame, *keys: Column | str) -> DataFrame:
-    """Days, booked days, booked revenue and price sum per group, in one pass."""
+    """Days, booked days and price sums per group, in one pass."""
     booked = ~F.col("available")
     price = money("price")
     return calendar.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_days"),
         F.count_if(booked).alias("n_booked"),
-        F.sum(F.when(booked, price).otherwise(F.lit(0).cast("decimal(18,2)"))).alias("revenue"),
+        F.sum(F.when(booked, price)).alias("booked_price_sum"),
         F.sum(price).alias("price_sum"),
         F.count(price).alias("n_prices"),
     )
 
 
+def merge_totals(totals: DataFrame, *keys: str) -> DataFrame:
+    """Totals of coarser groups from those of finer ones."""
+    sums = ("n_days", "n_booked", "booked_price_sum", "price_sum", "n_prices")
+    return totals.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def revenue() -> Column:
+    """Booked revenue of a row of :func:`calendar_totals`.
+
+    Null only when every day is booked and none has a price.
+    """
+    return F.expr(
+        "CASE WHEN n_booked < n_days THEN coalesce(booked_price_sum, 0) ELSE booked_price_sum END"
+    )
+
+
 def occupancy() -> Column:
     """Occupancy rate, in percent, of a row of :func:`calendar_totals`."""
     return percent(F.col("n_booked"), F.col("n_days"))

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roomledger.functions.dates import month_of
 from roomledger.functions.numbers import mean_of, money, rounded
 from roomledger.operators.comparing import segment_compare
 from roomledger.operators.joins import null_safe_join, split_join
-from roomledger.operators.metrics import calendar_totals, occupancy, occupancy_rate
+from roomledger.operators.metrics import occupancy, revenue
 from roomledger.operators.quantiles import exact_median, fixed_bin
 from roomledger.operators.ranking import asc, desc, global_dense_rank, top_n_per_group
 from roomledger.plans.market import Market, as_report
+from roomledger.sources.scratch import settled
 
 # Fixed values of the reports.
 TOP_HOSTS = 5
@@ -22,7 +22,7 @@ LARGEST_TIER = "Large"
 
 def _host_listing_prices(market: Market) -> DataFrame:
     """Listings per host, and the mean price of those that have a calendar."""
-    in_calendar = market.calendar.select("listing_id").distinct().withColumn("__listed", F.lit(True))
+    in_calendar = market.totals_per_listing().selectExpr("listing_id", "TRUE AS __listed")
     listings = market.listings.select(
         "host_id", F.col("id").alias("listing_id"), money("price").alias("price")
     )
@@ -81,8 +81,8 @@ def superhosts_and_others(market: Market) -> DataFrame:
         "id", "host_is_superhost", money("price").alias("price"),
         *[f"review_scores_{s}" for s in SUPERHOST_SCORES],
     )
-    rates = occupancy_rate(market.calendar, "listing_id")
-    joined = listings.join(rates, F.col("id") == F.col("listing_id"))
+    rates = market.occupancy_per_listing()
+    joined = settled(listings.join(rates, F.col("id") == F.col("listing_id")), "superhost_listings")
     means = {f"avg_review_score_{s}": f"review_scores_{s}" for s in SUPERHOST_SCORES}
     means |= {"avg_occupancy_rate": "occupancy_rate", "avg_price": "price"}
     stats = segment_compare(joined, "host_is_superhost", means, counts={"n_listings": "listing_id"})
@@ -99,7 +99,7 @@ def _responding_listings(market: Market) -> DataFrame:
     listings = market.listings.filter(F.col("host_response_time").isNotNull()).select(
         F.col("id").alias("listing_id"), "host_response_time", "review_scores_rating"
     )
-    return listings.join(occupancy_rate(market.calendar, "listing_id"), "listing_id")
+    return settled(listings.join(market.occupancy_per_listing(), "listing_id"), "responding_listings")
 
 
 def _response_stats(market: Market, weight: str | None) -> DataFrame:
@@ -141,9 +141,9 @@ def host_response_stats_per_listing(market: Market) -> DataFrame:
 
 def verification_performance(market: Market) -> DataFrame:
     """Monthly occupancy, revenue and bookings of every host and whether it is verified."""
-    monthly = calendar_totals(
-        market.calendar, "listing_id", month_of("date").alias("month")
-    ).withColumn("occupancy_rate", occupancy())
+    monthly = market.totals_per_month().withColumns(
+        {"occupancy_rate": occupancy(), "revenue": revenue()}
+    )
     per_listing = monthly.groupBy("listing_id").agg(
         F.sum("occupancy_rate").alias("__occupancy"),
         F.sum("revenue").alias("__revenue"),
@@ -179,8 +179,8 @@ def verification_performance(market: Market) -> DataFrame:
 
 
 def _tiered_hosts(market: Market) -> DataFrame:
-    per_listing = calendar_totals(market.calendar, "listing_id").select(
-        "listing_id", "revenue", occupancy().alias("occupancy_rate")
+    per_listing = market.totals_per_listing().select(
+        "listing_id", revenue().alias("revenue"), occupancy().alias("occupancy_rate")
     )
     zero = F.lit(0).cast("decimal(18,2)")
     return (
@@ -203,6 +203,7 @@ def _tiered_hosts(market: Market) -> DataFrame:
     )
 
 
+TIER_ORDER = (desc("total_revenue"), desc("n_properties"))
 TIER_COLUMNS = (
     "host_id", "n_properties", "avg_review_score_rating", "n_room_types", "n_property_types",
     "n_neighbourhoods", "n_listings_bin", "total_revenue", "avg_occupancy_rate", "rnk",
@@ -211,12 +212,12 @@ TIER_COLUMNS = (
 
 def host_tier_revenue(market: Market) -> DataFrame:
     """Every host with its size tier, revenue and diversity, ranked by revenue."""
-    order = [desc("total_revenue"), desc("n_properties")]
-    return as_report(global_dense_rank(_tiered_hosts(market), order), *TIER_COLUMNS)
+    hosts = settled(_tiered_hosts(market), "tiered_hosts")
+    return as_report(global_dense_rank(hosts, TIER_ORDER), *TIER_COLUMNS)
 
 
 def host_tier_revenue_within_tier(market: Market) -> DataFrame:
     """The same with the rank counted within the tier."""
-    order = [desc("total_revenue"), desc("n_properties")]
-    ranked = global_dense_rank(_tiered_hosts(market), order, by=["n_listings_bin"])
+    hosts = settled(_tiered_hosts(market), "tiered_hosts")
+    ranked = global_dense_rank(hosts, TIER_ORDER, by=["n_listings_bin"])
     return as_report(ranked, *TIER_COLUMNS)

@@ -8,13 +8,7 @@ from pyspark.sql import functions as F
 from roomledger.functions.dates import month_of
 from roomledger.functions.numbers import mean_of, money, rounded
 from roomledger.operators.comparing import segment_compare
-from roomledger.operators.metrics import (
-    calendar_totals,
-    change_count,
-    mean_price,
-    occupancy,
-    occupancy_rate,
-)
+from roomledger.operators.metrics import change_count, mean_price, occupancy, revenue
 from roomledger.operators.quantiles import tercile_bin
 from roomledger.operators.ranking import (
     asc,
@@ -24,6 +18,7 @@ from roomledger.operators.ranking import (
     top_n_per_group,
 )
 from roomledger.plans.market import Market, as_report
+from roomledger.sources.scratch import settled
 
 # Fixed values of the reports.
 TOP_PRICED = 5
@@ -46,8 +41,7 @@ def monthly_reviews(reviews: DataFrame, grain: str = "name") -> DataFrame:
 
 
 def _priced_and_reviewed(market: Market, grain: str) -> DataFrame:
-    month = month_of("date", grain).alias("month")
-    prices = calendar_totals(market.calendar, "listing_id", month).select(
+    prices = market.totals_per_month(grain).select(
         "listing_id", "month", mean_price().alias("avg_price")
     )
     reviews = monthly_reviews(market.reviews, grain).agg(F.count_distinct("id").alias("n_reviews"))
@@ -91,9 +85,11 @@ def top_listings_by_price_exact(market: Market, month_grain: str = "name") -> Da
 
 def occupancy_per_month(market: Market, month_grain: str = "name") -> DataFrame:
     """Listings with the ten highest occupancy rates of each month, all ties kept."""
-    month = month_of("date", month_grain).alias("month")
+    rates = market.totals_per_month(month_grain).select(
+        "listing_id", "month", occupancy().alias("occupancy_rate")
+    )
     top = top_n_per_group(
-        occupancy_rate(market.calendar, "listing_id", month),
+        rates,
         ["month"],
         [desc("occupancy_rate")],
         TOP_OCCUPIED,
@@ -110,10 +106,8 @@ def occupancy_per_month(market: Market, month_grain: str = "name") -> DataFrame:
 
 def occupancy_per_month_exact(market: Market, month_grain: str = "name") -> DataFrame:
     """Exactly ten listings per month, ties by listing id, with the month's revenue."""
-    month = month_of("date", month_grain).alias("month")
-    rates = calendar_totals(market.calendar, "listing_id", month).select(
-        "listing_id", "month", occupancy().alias("occupancy_rate"),
-        F.col("revenue").alias("monthly_revenue"),
+    rates = market.totals_per_month(month_grain).select(
+        "listing_id", "month", occupancy().alias("occupancy_rate"), revenue().alias("monthly_revenue")
     )
     top = top_n_per_group(
         rates,
@@ -177,7 +171,7 @@ def _lowest(market: Market) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("__n"))
         .filter(F.col("__n") >= REVIEWS_TO_SCORE)
     )
-    rates = occupancy_rate(market.calendar, "listing_id")
+    rates = market.occupancy_per_listing()
     places = market.listings.select(
         F.col("id").alias("listing_id"), "review_scores_rating", "neighbourhood", "host_id"
     )
@@ -188,7 +182,7 @@ def _lowest(market: Market) -> DataFrame:
         .withColumn("__rating", F.col("review_scores_rating").cast("decimal(18,7)"))
     )
     return rank_sum_bottom_k(
-        candidates,
+        settled(candidates, "reviewed_listings"),
         [asc("occupancy_rate", OCCUPANCY_VALUES), asc("__rating")],
         LOWEST_LISTED,
         ["listing_id"],
@@ -227,7 +221,7 @@ BIN_SCORES = ("rating", "cleanliness", "checkin", "communication", "location")
 
 
 def _priced_listings(market: Market) -> tuple[DataFrame, DataFrame]:
-    totals = calendar_totals(market.calendar, "listing_id").select(
+    totals = market.totals_per_listing().select(
         "listing_id", mean_price().alias("avg_price"), occupancy().alias("occupancy_rate")
     )
     scores = market.listings.select(
@@ -248,7 +242,7 @@ def listing_stats_by_price(market: Market) -> DataFrame:
 def listing_stats_by_price_bin(market: Market) -> DataFrame:
     """Number of listings, occupancy and scores of the three price bins."""
     totals, scores = _priced_listings(market)
-    binned = tercile_bin(totals, "avg_price", "avg_price_bin")
+    binned = tercile_bin(settled(totals, "listing_prices"), "avg_price", "avg_price_bin")
     means = {"avg_occupancy_rate": "occupancy_rate"}
     means |= {f"average_review_score_{s}": f"review_scores_{s}" for s in BIN_SCORES}
     stats = segment_compare(

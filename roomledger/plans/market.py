@@ -1,4 +1,4 @@
-"""The three cleaned tables a report works on."""
+"""The tables a report works on."""
 
 from __future__ import annotations
 
@@ -6,14 +6,35 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from roomledger.functions.dates import month_of
+from roomledger.operators.metrics import calendar_totals, merge_totals, occupancy
+
 
 @dataclass(frozen=True)
 class Market:
-    """Cleaned listings, calendar and reviews."""
+    """Cleaned listings, calendar and reviews.
+
+    ``month_totals`` may hold the calendar totals per listing and month name, prepared
+    once for many reports. It has at most twelve rows per listing instead of one per day.
+    """
 
     listings: DataFrame
     calendar: DataFrame
     reviews: DataFrame
+    month_totals: DataFrame | None = None
+
+    def totals_per_listing(self) -> DataFrame:
+        if self.month_totals is None:
+            return calendar_totals(self.calendar, "listing_id")
+        return merge_totals(self.month_totals, "listing_id")
+
+    def totals_per_month(self, grain: str = "name") -> DataFrame:
+        if self.month_totals is None or grain != "name":
+            return calendar_totals(self.calendar, "listing_id", month_of("date", grain).alias("month"))
+        return self.month_totals
+
+    def occupancy_per_listing(self) -> DataFrame:
+        return self.totals_per_listing().select("listing_id", occupancy().alias("occupancy_rate"))
 
 
 def as_report(df: DataFrame, *columns: str) -> DataFrame:

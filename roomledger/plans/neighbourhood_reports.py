@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roomledger.functions.dates import month_of, season_of
+from roomledger.functions.dates import season_of
 from roomledger.functions.numbers import mean_of, money, percent, rounded
 from roomledger.operators.comparing import (
     deviation_from_mean,
@@ -14,10 +14,11 @@ from roomledger.operators.comparing import (
     spread_by_group,
     weighted_score_ratio,
 )
-from roomledger.operators.metrics import calendar_totals, mean_price, occupancy
+from roomledger.operators.metrics import calendar_totals, mean_price, occupancy, revenue
 from roomledger.operators.quantiles import quantile_bin, tercile_bin
 from roomledger.operators.ranking import desc, global_dense_rank
 from roomledger.plans.market import Market, as_report
+from roomledger.sources.scratch import settled
 
 # Fixed values of the reports.
 MONTHS_PER_YEAR = 12
@@ -75,16 +76,12 @@ def most_active_hosts_by_host(market: Market) -> DataFrame:
 
 def _monthly_revenue(market: Market) -> DataFrame:
     """Booked revenue per neighbourhood and month."""
-    booked = (
-        market.calendar.filter(~F.col("available"))
-        .groupBy("listing_id", month_of("date").alias("month"))
-        .agg(F.sum(money("price")).alias("revenue"))
-    )
+    booked = market.totals_per_month().filter("n_booked > 0")
     places = market.listings.filter(F.col("neighbourhood").isNotNull()).select("id", "neighbourhood")
     return (
         booked.join(places, F.col("listing_id") == F.col("id"))
         .groupBy("neighbourhood", "month")
-        .agg(F.sum("revenue").alias("total_revenue"))
+        .agg(F.sum("booked_price_sum").alias("total_revenue"))
     )
 
 
@@ -140,19 +137,21 @@ def review_distribution_by_neighbourhood(market: Market) -> DataFrame:
         .groupBy("neighbourhood")
         .agg(F.sum("__n").alias("n_reviews"), F.count_distinct("id").alias("n_listings"))
     )
-    return global_dense_rank(totals, [desc("n_reviews")]).select(
+    ranked = global_dense_rank(settled(totals, "reviewed_neighbourhoods"), [desc("n_reviews")])
+    return ranked.select(
         "neighbourhood", "n_listings", "n_reviews", "rnk"
     )
 
 
 def _amenity_totals(market: Market) -> DataFrame:
     price = money("price")
-    return market.listings.groupBy("neighbourhood").agg(
+    totals = market.listings.groupBy("neighbourhood").agg(
         rounded(F.avg("n_amenities")).alias("avg_amenities"),
         F.sum(price).alias("__price"),
         F.count(price).alias("__prices"),
         F.count(F.lit(1)).alias("__listings"),
     )
+    return settled(totals, "neighbourhood_amenities")
 
 
 def amenity_clusters(market: Market) -> DataFrame:
@@ -208,8 +207,8 @@ def room_type_seasons(market: Market) -> DataFrame:
 
 def neighbourhood_group_performance(market: Market) -> DataFrame:
     """Revenue, occupancy, scores and diversity per neighbourhood group, ranked by revenue."""
-    per_listing = calendar_totals(market.calendar, "listing_id").select(
-        "listing_id", "revenue", occupancy().alias("occupancy_rate")
+    per_listing = market.totals_per_listing().select(
+        "listing_id", revenue().alias("revenue"), occupancy().alias("occupancy_rate")
     )
     listings = market.listings.filter(F.col("neighbourhood_group").isNotNull()).select(
         "id", "neighbourhood_group", "room_type", "property_type",
@@ -229,7 +228,9 @@ def neighbourhood_group_performance(market: Market) -> DataFrame:
             F.count_distinct("property_type").alias("n_unique_property_types"),
         )
     )
-    ranked = global_dense_rank(groups, [desc("total_revenue")], "revenue_rank")
+    ranked = global_dense_rank(
+        settled(groups, "neighbourhood_groups"), [desc("total_revenue")], "revenue_rank"
+    )
     return as_report(
         ranked,
         "neighbourhood_group", "avg_occupancy_rate", "total_revenue",
@@ -240,7 +241,7 @@ def neighbourhood_group_performance(market: Market) -> DataFrame:
 
 def property_type_trends(market: Market) -> DataFrame:
     """Price per unit of a score made of rating and occupancy, per property type."""
-    per_listing = calendar_totals(market.calendar, "listing_id").select(
+    per_listing = market.totals_per_listing().select(
         "listing_id",
         occupancy().alias("occupancy_rate"),
         rounded(mean_price()).alias("listing_price"),
@@ -257,7 +258,9 @@ def property_type_trends(market: Market) -> DataFrame:
     scored = weighted_score_ratio(
         types, "avg_price", SCORE_WEIGHTS, "performance_score", "price_to_performance_ratio"
     )
-    ranked = global_dense_rank(scored, [desc("price_to_performance_ratio")], "rank")
+    ranked = global_dense_rank(
+        settled(scored, "property_types"), [desc("price_to_performance_ratio")], "rank"
+    )
     return as_report(
         ranked, "property_type", *means, "performance_score", "price_to_performance_ratio", "rank"
     )

@@ -81,33 +81,40 @@ def run_reports(
 ) -> list[str]:
     """Write the named reports (by default all of :data:`REPORTS`) under ``out_uri``.
 
-    The cleaned inputs are prepared once and serve every report until the last one is
-    written. With ``staging_uri`` they become Parquet tables there, which survive the
-    loss of executors and let each report read only its columns; otherwise they are
-    persisted. Bounded reports are one file each. Returns the written locations.
+    The cleaned inputs and the calendar totals per listing and month are prepared once
+    and serve every report until the last one is written. With ``staging_uri`` they
+    become Parquet tables there, which survive the loss of executors and let each report
+    read only its columns; otherwise they are persisted. Bounded reports are one file
+    each. Returns the written locations.
     """
     chosen = list(REPORTS) if names is None else list(names)
     unknown = [n for n in chosen if n not in ALL_REPORTS]
     if unknown:
         raise KeyError(f"unknown reports: {', '.join(unknown)}")
-    tables = {"listings": market.listings, "calendar": market.calendar, "reviews": market.reviews}
-    if staging_uri is not None:
-        ready = {name: _staged(df, f"{staging_uri}/{name}") for name, df in tables.items()}
-    else:
-        ready = {name: df.persist(StorageLevel.MEMORY_AND_DISK) for name, df in tables.items()}
+    held: list[DataFrame] = []
+
+    def prepared(name: str, df: DataFrame) -> DataFrame:
+        if staging_uri is not None:
+            return _staged(df, f"{staging_uri}/{name}")
+        held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return held[-1]
+
     written = []
     try:
-        prepared = replace(market, **ready)
+        ready = Market(
+            prepared("listings", market.listings),
+            prepared("calendar", market.calendar),
+            prepared("reviews", market.reviews),
+        )
+        ready = replace(ready, month_totals=prepared("month_totals", ready.totals_per_month()))
         for name in chosen:
             report = ALL_REPORTS[name]
-            write_report(
-                report.build(prepared), f"{out_uri}/{name}", format, mode, single_file=report.bounded
-            )
-            written.append(f"{out_uri}/{name}")
+            target = f"{out_uri}/{name}"
+            write_report(report.build(ready), target, format, mode, single_file=report.bounded)
+            written.append(target)
     finally:
-        if staging_uri is None:
-            for df in ready.values():
-                df.unpersist()
+        for df in held:
+            df.unpersist()
     return written
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +18,7 @@ from roomledger.operators.ranking import asc, desc
 from roomledger.plans.market import Market, as_report
 from roomledger.plans.registry import ALL_REPORTS
 from roomledger.sources import readers
+from roomledger.sources.scratch import scratch_path, settled
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -182,6 +181,7 @@ def _quantile_bin(bin_values) -> Query:
     def query(spark, sf_dir):
         totals = metrics.calendar_totals(bindings.calendar(spark, sf_dir), "listing_id")
         prices = totals.select("listing_id", metrics.mean_price().alias("avg_price"))
+        prices = settled(prices, "listing_prices")
         return as_report(bin_values(prices, "avg_price"), "listing_id", "avg_price", "avg_price_bin")
 
     return query
@@ -309,8 +309,7 @@ def segment_compare(spark, sf_dir):
 def _exported(df: DataFrame, schema: str, name: str) -> str:
     """Write gzip CSV with the columns of the export in order; a new folder every time."""
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    path = f"{folder}/roomledger-export-{uuid.uuid4().hex}/{name}"
+    path = scratch_path(spark, name)
     columns = [
         (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in StructType.fromDDL(schema).fields
