@@ -12,12 +12,24 @@ AUTUMN_DAYS = (264, 354)
 WINTER_DAYS = ((1, 78), (355, 366))
 
 
-def month_of(date: Column | str, grain: str = "name") -> Column:
-    """Month of a date: its name, merging years, or ``yyyy-MM`` with ``grain='year_month'``."""
-    formats = {"name": "MMMM", "year_month": "yyyy-MM"}
-    if grain not in formats:
-        raise ValueError(f"month grain must be one of {sorted(formats)}, not {grain!r}")
-    return F.date_format(date, formats[grain])
+GRAINS = ("name", "year_month")
+
+
+def month_key(date: Column | str, grain: str = "name") -> Column:
+    """Cheap key of a month to group by: its number, merging years, or its first day."""
+    if grain not in GRAINS:
+        raise ValueError(f"month grain must be one of {GRAINS}, not {grain!r}")
+    return F.month(date) if grain == "name" else F.trunc(date, "MM")
+
+
+def month_label(key: Column | str, grain: str = "name") -> Column:
+    """Text of a :func:`month_key`: the month's name, or ``yyyy-MM``.
+
+    Formatting the groups instead of the days saves most of the work.
+    """
+    if grain == "name":
+        return F.date_format(F.make_date(F.lit(2000), key, F.lit(1)), "MMMM")
+    return F.date_format(key, "yyyy-MM")
 
 
 def season_of(date: Column | str) -> Column:

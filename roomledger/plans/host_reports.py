@@ -27,7 +27,7 @@ def _host_listing_prices(market: Market) -> DataFrame:
         "host_id", F.col("id").alias("listing_id"), money("price").alias("price")
     )
     listed = F.col("__listed")
-    return (
+    hosts = (
         listings.join(in_calendar, "listing_id", "left")
         .groupBy("host_id")
         .agg(
@@ -36,6 +36,7 @@ def _host_listing_prices(market: Market) -> DataFrame:
             F.count_if(listed).alias("__n_listed"),
         )
     )
+    return settled(hosts, "host_prices")
 
 
 def top_host_averages(market: Market) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roomledger.functions.dates import month_of
 from roomledger.functions.numbers import mean_of, money, rounded
 from roomledger.operators.comparing import segment_compare
 from roomledger.operators.metrics import change_count, mean_price, occupancy, revenue
@@ -35,17 +34,13 @@ OCCUPANCY_VALUES = 10_001
 MAX_MONTHS = 2_400
 
 
-def monthly_reviews(reviews: DataFrame, grain: str = "name") -> DataFrame:
-    """Review rows, review ids and different review ids per listing and month."""
-    return reviews.groupBy("listing_id", month_of("date", grain).alias("month"))
-
-
 def _priced_and_reviewed(market: Market, grain: str) -> DataFrame:
     prices = market.totals_per_month(grain).select(
         "listing_id", "month", mean_price().alias("avg_price")
     )
-    reviews = monthly_reviews(market.reviews, grain).agg(F.count_distinct("id").alias("n_reviews"))
-    return prices.join(reviews, ["listing_id", "month"], "left").fillna(0, ["avg_price", "n_reviews"])
+    reviews = market.reviews_per_month(F.count_distinct("id").alias("n_reviews"), grain=grain)
+    joined = prices.join(reviews, ["listing_id", "month"], "left")
+    return settled(joined.fillna(0, ["avg_price", "n_reviews"]), "monthly_prices")
 
 
 def top_listings_by_price(market: Market, month_grain: str = "name") -> DataFrame:
@@ -89,7 +84,7 @@ def occupancy_per_month(market: Market, month_grain: str = "name") -> DataFrame:
         "listing_id", "month", occupancy().alias("occupancy_rate")
     )
     top = top_n_per_group(
-        rates,
+        settled(rates, "monthly_occupancy"),
         ["month"],
         [desc("occupancy_rate")],
         TOP_OCCUPIED,
@@ -128,8 +123,11 @@ def occupancy_per_month_exact(market: Market, month_grain: str = "name") -> Data
 
 def _monthly_counts_of_reviewed(market: Market, enough: Column) -> DataFrame:
     # The total of a listing is the sum over its months, so reviews are read once.
-    monthly = monthly_reviews(market.reviews).agg(
-        F.count("id").alias("review_count"), F.count(F.lit(1)).alias("__rows")
+    monthly = settled(
+        market.reviews_per_month(
+            F.count("id").alias("review_count"), F.count(F.lit(1)).alias("__rows")
+        ),
+        "monthly_reviews",
     )
     totals = monthly.groupBy("listing_id").agg(F.sum("__rows").alias("__total")).filter(enough)
     return monthly.join(totals, "listing_id", "left_semi").drop("__rows")
@@ -254,12 +252,13 @@ def listing_stats_by_price_bin(market: Market) -> DataFrame:
 def _price_changes(market: Market, days: Column) -> DataFrame:
     calendar = market.calendar.withColumn("price", money("price"))
     changes = change_count(calendar, "listing_id", "date", "price", "n_price_changes")
-    return changes.filter(F.col("n_price_changes") > 0).select(
+    changing = changes.filter(F.col("n_price_changes") > 0).select(
         "listing_id",
         "n_price_changes",
         rounded(F.col("n_price_changes") / days * 100, 0).alias("pct_of_daily_price_diffs"),
         rounded(mean_of("value_sum", "n_values")).alias("avg_price"),
     )
+    return settled(changing, "changing_listings")
 
 
 def daily_price_changes(market: Market) -> DataFrame:

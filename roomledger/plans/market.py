@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
-from roomledger.functions.dates import month_of
+from roomledger.functions.dates import month_key, month_label
 from roomledger.operators.metrics import calendar_totals, merge_totals, occupancy
 
 
@@ -29,9 +29,17 @@ class Market:
         return merge_totals(self.month_totals, "listing_id")
 
     def totals_per_month(self, grain: str = "name") -> DataFrame:
-        if self.month_totals is None or grain != "name":
-            return calendar_totals(self.calendar, "listing_id", month_of("date", grain).alias("month"))
-        return self.month_totals
+        if self.month_totals is not None and grain == "name":
+            return self.month_totals
+        key = month_key("date", grain).alias("month")
+        totals = calendar_totals(self.calendar, "listing_id", key)
+        return totals.withColumn("month", month_label("month", grain))
+
+    def reviews_per_month(self, *counts: Column, grain: str = "name") -> DataFrame:
+        """The given aggregates of the reviews per listing and month."""
+        key = month_key("date", grain).alias("month")
+        grouped = self.reviews.groupBy("listing_id", key).agg(*counts)
+        return grouped.withColumn("month", month_label("month", grain))
 
     def occupancy_per_listing(self) -> DataFrame:
         return self.totals_per_listing().select("listing_id", occupancy().alias("occupancy_rate"))

@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from roomledger import bindings, schemas
 from roomledger.bindings import table
-from roomledger.functions.dates import month_of, season_of
+from roomledger.functions.dates import month_key, month_label, season_of
 from roomledger.functions.numbers import mean_of, money, rounded
 from roomledger.functions.text import clean_text, list_size
 from roomledger.operators import cleaning, comparing, metrics, quantiles, ranking
@@ -242,8 +242,9 @@ def spread_by_group(spark, sf_dir):
 def deviation_from_mean(spark, sf_dir):
     revenue = (
         table(spark, sf_dir, "orders")
-        .groupBy("o_orderpriority", month_of("o_orderdate").alias("month"))
+        .groupBy("o_orderpriority", month_key("o_orderdate").alias("month"))
         .agg(F.sum(money("o_totalprice")).alias("revenue"))
+        .withColumn("month", month_label("month"))
     )
     compared = comparing.deviation_from_mean(revenue, "o_orderpriority", "revenue", "deviation")
     return as_report(compared, "o_orderpriority", "month", "revenue", "deviation")
