@@ -1,0 +1,31 @@
+"""Every query against its SQL in DuckDB."""
+
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).parent))
+
+import __spark_entry__ as driver
+from oracle_check import connect, differences
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return connect(SF_DIR)
+
+
+def test_every_query_has_sql():
+    assert set(driver.queries()) == set(driver.oracle_sql())
+
+
+@pytest.mark.parametrize("name", driver.queries())
+def test_query_equals_sql(spark, duck, name):
+    assert differences(driver.queries()[name](spark, SF_DIR), duck, driver.oracle_sql()[name]) is None
+
+
+def test_entry(spark):
+    assert driver.entry(spark).count() > 0

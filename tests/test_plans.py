@@ -1,0 +1,32 @@
+"""Properties of the physical plans."""
+
+import pytest
+
+from roomledger.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_no_python_and_no_cross_join(spark, name):
+    text = plan(QUERIES[name](spark, SF_DIR))
+    for operator in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "MapInPandas"):
+        assert operator not in text
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    text = QUERIES["occupancy_rate"](spark, SF_DIR)._jdf.queryExecution().toString()
+    assert "ReadSchema: struct<l_partkey:bigint,l_linestatus:string>" in text
+    text = plan(QUERIES["review_distribution_per_neighbourhood"](spark, SF_DIR))
+    assert "Not(EqualTo(l_returnflag,N))" in text
+
+
+def test_days_are_aggregated_before_they_are_joined(spark):
+    text = plan(QUERIES["room_type_seasonal_trends"](spark, SF_DIR))
+    join = text.index("Join")
+    assert "partial_sum" in text[join:]
+    assert text.count("l_extendedprice") and text.index("l_extendedprice") > join
