@@ -109,9 +109,11 @@ def change_count(
     are added from each month's first and last row, so a task sorts one month of one
     entity and never its whole series. ``value_sum`` and ``n_values`` come along.
     """
-    points = df.groupBy(
-        entity, F.trunc(date, "MM").alias("__month"), F.col(date).alias("__date"), F.col(value).alias("__value")
-    ).agg(F.count(F.lit(1)).alias("__n"))
+    points = (
+        df.groupBy(entity, F.col(date).alias("__date"), F.col(value).alias("__value"))
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .withColumn("__month", F.trunc("__date", "MM"))
+    )
     in_month = Window.partitionBy(entity, "__month").orderBy("__date", "__value")
     point = F.struct("__date", "__value")
     months = (

@@ -27,7 +27,7 @@ def _host_listing_prices(market: Market) -> DataFrame:
         "host_id", F.col("id").alias("listing_id"), money("price").alias("price")
     )
     listed = F.col("__listed")
-    hosts = (
+    return (
         listings.join(in_calendar, "listing_id", "left")
         .groupBy("host_id")
         .agg(
@@ -36,12 +36,12 @@ def _host_listing_prices(market: Market) -> DataFrame:
             F.count_if(listed).alias("__n_listed"),
         )
     )
-    return settled(hosts, "host_prices")
 
 
 def top_host_averages(market: Market) -> DataFrame:
     """Mean listing price of the hosts with the five highest listing counts, ties kept."""
-    top = top_n_per_group(_host_listing_prices(market), [], [desc("n_properties")], TOP_HOSTS)
+    hosts = settled(_host_listing_prices(market), "host_prices")
+    top = top_n_per_group(hosts, [], [desc("n_properties")], TOP_HOSTS)
     kept = top.filter(F.col("host_id").isNotNull() & (F.col("__n_listed") > 0))
     return as_report(kept, "host_id", "avg_price")
 

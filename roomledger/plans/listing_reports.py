@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roomledger.functions.numbers import mean_of, money, rounded
@@ -39,8 +39,7 @@ def _priced_and_reviewed(market: Market, grain: str) -> DataFrame:
         "listing_id", "month", mean_price().alias("avg_price")
     )
     reviews = market.reviews_per_month(F.count_distinct("id").alias("n_reviews"), grain=grain)
-    joined = prices.join(reviews, ["listing_id", "month"], "left")
-    return settled(joined.fillna(0, ["avg_price", "n_reviews"]), "monthly_prices")
+    return prices.join(reviews, ["listing_id", "month"], "left").fillna(0, ["avg_price", "n_reviews"])
 
 
 def top_listings_by_price(market: Market, month_grain: str = "name") -> DataFrame:
@@ -49,7 +48,7 @@ def top_listings_by_price(market: Market, month_grain: str = "name") -> DataFram
     Every listing that shares a top value is kept.
     """
     top = top_n_per_group(
-        _priced_and_reviewed(market, month_grain),
+        settled(_priced_and_reviewed(market, month_grain), "monthly_prices"),
         ["month"],
         [desc("avg_price"), desc("n_reviews")],
         TOP_PRICED,
@@ -122,21 +121,25 @@ def occupancy_per_month_exact(market: Market, month_grain: str = "name") -> Data
 
 
 def _monthly_counts_of_reviewed(market: Market, enough: Column) -> DataFrame:
+    """Monthly review counts of the listings whose ``total`` is enough."""
     # The total of a listing is the sum over its months, so reviews are read once.
-    monthly = settled(
+    year = Window.partitionBy("listing_id")
+    return (
         market.reviews_per_month(
             F.count("id").alias("review_count"), F.count(F.lit(1)).alias("__rows")
-        ),
-        "monthly_reviews",
+        )
+        .withColumn("total", F.sum("__rows").over(year))
+        .filter(enough)
+        .select("listing_id", "month", "review_count")
     )
-    totals = monthly.groupBy("listing_id").agg(F.sum("__rows").alias("__total")).filter(enough)
-    return monthly.join(totals, "listing_id", "left_semi").drop("__rows")
 
 
 def most_reviewed_listings(market: Market) -> DataFrame:
     """The ten highest review counts of each month among listings with over 20 reviews."""
     top = top_n_per_group(
-        _monthly_counts_of_reviewed(market, F.col("__total") > REVIEWS_TO_RANK),
+        settled(
+            _monthly_counts_of_reviewed(market, F.col("total") > REVIEWS_TO_RANK), "monthly_reviews"
+        ),
         ["month"],
         [desc("review_count")],
         TOP_REVIEWED,
@@ -151,7 +154,7 @@ def most_reviewed_listings(market: Market) -> DataFrame:
 def most_reviewed_listings_exact(market: Market) -> DataFrame:
     """Exactly ten listings per month among those with at least 20 reviews."""
     top = top_n_per_group(
-        _monthly_counts_of_reviewed(market, F.col("__total") >= REVIEWS_TO_RANK),
+        _monthly_counts_of_reviewed(market, F.col("total") >= REVIEWS_TO_RANK),
         ["month"],
         [desc("review_count"), asc("listing_id")],
         TOP_REVIEWED,
@@ -252,20 +255,18 @@ def listing_stats_by_price_bin(market: Market) -> DataFrame:
 def _price_changes(market: Market, days: Column) -> DataFrame:
     calendar = market.calendar.withColumn("price", money("price"))
     changes = change_count(calendar, "listing_id", "date", "price", "n_price_changes")
-    changing = changes.filter(F.col("n_price_changes") > 0).select(
+    return changes.filter(F.col("n_price_changes") > 0).select(
         "listing_id",
         "n_price_changes",
         rounded(F.col("n_price_changes") / days * 100, 0).alias("pct_of_daily_price_diffs"),
         rounded(mean_of("value_sum", "n_values")).alias("avg_price"),
     )
-    return settled(changing, "changing_listings")
 
 
 def daily_price_changes(market: Market) -> DataFrame:
     """Listings with the five highest numbers of price changes, all ties kept."""
-    top = top_n_per_group(
-        _price_changes(market, F.lit(DAYS_PER_YEAR)), [], [desc("n_price_changes")], TOP_CHANGING
-    ).drop("rnk")
+    changes = settled(_price_changes(market, F.lit(DAYS_PER_YEAR)), "changing_listings")
+    top = top_n_per_group(changes, [], [desc("n_price_changes")], TOP_CHANGING).drop("rnk")
     places = market.listings.select("id", "neighbourhood", "review_scores_rating")
     return as_report(
         top.join(places, top.listing_id == places.id),

@@ -8,10 +8,22 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_written: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path under ``spark.checkpoint.dir``, or the temporary folder where that is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    return f"{folder}/roomledger-{uuid.uuid4().hex}/{label}"
+    path = f"{folder}/roomledger-{uuid.uuid4().hex}-{label}"
+    _written.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables of this process; call it once their results are written."""
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settled(df: DataFrame, label: str) -> DataFrame:

@@ -9,9 +9,9 @@ from pyspark.sql.types import StructType
 
 from roomledger import bindings, schemas
 from roomledger.plans.load import load_market
-from roomledger.plans.registry import REPORTS, run_reports
+from roomledger.plans.registry import ALL_REPORTS, REPORTS, run_reports
 from roomledger.queries import _exported
-from roomledger.sources import readers
+from roomledger.sources import readers, scratch
 from roomledger.sources.scratch import settled
 from roomledger.sources.writers import write_report
 
@@ -77,6 +77,18 @@ def test_settled_table_keeps_rows_and_types(spark):
     assert table.dtypes == df.dtypes and table.collect() == df.collect()
 
 
+def test_released_scratch_tables_are_gone(spark, tmp_path):
+    market = bindings.market(spark, SF_DIR)
+    before = len(scratch._written)
+    ALL_REPORTS["top_five_host_avgs"].build(market)
+    made = scratch._written[before:]
+    kept, scratch._written[:before] = scratch._written[:before], []
+    assert made and all(Path(p).exists() for p in made)
+    run_reports(market, f"{tmp_path}/out", ["top_five_host_avgs"], release=True)
+    assert not any(Path(p).exists() for p in made) and not scratch._written
+    scratch._written.extend(kept)
+
+
 @pytest.mark.parametrize("staged", [False, True])
 def test_reports_from_an_export(spark, export, tmp_path, staged):
     market = load_market(spark, **export, partitions=4)
