@@ -6,7 +6,7 @@ returned or accepted lines are reviews.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roomledger.functions.numbers import money
@@ -130,6 +130,18 @@ def market(spark: SparkSession, sf_dir: str, hosts: bool = True) -> Market:
     )
 
 
+def _price_text(cents: Column) -> Column:
+    """Cents below a million dollars as ``$1,234.50``."""
+    return F.concat(
+        F.when(cents >= 100_000, F.concat(F.lit("$"), F.floor(cents / 100_000), F.lit(","))).otherwise("$"),
+        F.when(cents >= 100_000, F.lpad(F.floor(cents / 100 % 1000).cast("string"), 3, "0")).otherwise(
+            F.floor(cents / 100).cast("string")
+        ),
+        F.lit("."),
+        F.lpad((cents % 100).cast("string"), 2, "0"),
+    )
+
+
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listings as an export would hold them: text prices, flags, rates and lists."""
     key, size = F.col("id"), F.col("n_amenities")
@@ -138,7 +150,7 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     flag = lambda modulus: (
         F.when(key % modulus == 0, F.lit(None)).when(key % 3 == 0, " f ").otherwise("t")
     )
-    price = F.concat(F.lit("$"), F.format_number(F.col("price") * 2 - size * 20, 2))
+    price = _price_text((F.col("price") * 200).cast("bigint") - size * 2000)
     return base.select(
         "id",
         "host_id",
@@ -169,8 +181,7 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calendar days as an export would hold them."""
     day = F.col("l_linenumber")
-    cents = (money("l_extendedprice") * 100).cast("bigint") % 250_000
-    price = F.concat(F.lit("$"), F.format_number(cents.cast("decimal(18,2)") / 100, 2))
+    price = _price_text((money("l_extendedprice") * 100).cast("bigint") % 250_000)
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_partkey").alias("listing_id"),
         F.col("l_shipdate").cast("date").alias("date"),

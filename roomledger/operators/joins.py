@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 # A key is hot when it holds more than 1/HOT_KEY_LIMIT of all rows, so there are fewer
 # than HOT_KEY_LIMIT hot keys whatever the data looks like.
 HOT_KEY_LIMIT = 1024
-HOT_ROW_SLOTS = 4096
 
 
 def null_safe_join(
@@ -24,15 +23,26 @@ def null_safe_join(
     return left.join(renamed, condition, how).drop(*[f"__r_{c}" for c in on])
 
 
-def shuffle_slot(columns: Sequence[str], hot: str) -> str:
-    """SQL for the shuffle slot of a row: 0 for ordinary keys, spread out for hot ones.
+def _hash(columns: Sequence[str]) -> str:
+    return f"xxhash64({', '.join(f'`{c}`' for c in columns)})"
 
-    Copies of a row differ by the partition they come from. Only the route of a hot row
-    depends on its slot, never the row it is joined with.
+
+def left_slot(columns: Sequence[str], key: Sequence[str], hot: str) -> str:
+    """SQL for the shuffle slot of a row: the hash of its key, spread out for hot keys.
+
+    The slot is a join key next to the real ones, so that rows of a hot key, which have
+    their partner already, do not meet in one task. Copies of a row differ by the
+    partition they come from. Only the route of a row depends on its slot, never its
+    partner. It is a hash on both sides because a constant would be folded away and the
+    slot with it.
     """
-    row = ", ".join(f"`{c}`" for c in columns)
-    spread = f"1 + pmod(xxhash64({row}) + spark_partition_id() * 1000003, {HOT_ROW_SLOTS})"
-    return f"CASE WHEN {hot} THEN {spread} ELSE 0L END"
+    spread = f"{_hash(columns)} ^ (spark_partition_id() * 1000003L)"
+    return f"CASE WHEN {hot} THEN {spread} ELSE {_hash(key)} END"
+
+
+def right_slot(key: Sequence[str]) -> str:
+    """SQL for the slot in which rows without a partner look for one."""
+    return _hash(key)
 
 
 def split_join(
@@ -41,7 +51,7 @@ def split_join(
     """Join ``left`` with ``right``, which holds at most one row per key.
 
     Rows of hot keys meet their partner through a broadcast of fewer than
-    ``HOT_KEY_LIMIT`` rows and then travel spread over many shuffle slots; all other
+    ``HOT_KEY_LIMIT`` rows and then travel spread over all tasks of the shuffle; all other
     rows take the ordinary shuffle join, where no key is hot. The two parts together
     are the whole join: nothing is dropped or capped.
 
@@ -63,9 +73,10 @@ def split_join(
         *on, "__cold AS __hot", "TRUE AS __is_hot"
     )
     routed = left.join(F.broadcast(hot), on, "left").withColumn(
-        "__slot", F.expr(shuffle_slot(left.columns, "__is_hot"))
+        "__slot", F.expr(left_slot(left.columns, on, "__is_hot"))
     )
-    joined = routed.join(partners.withColumn("__slot", F.lit(0).cast("bigint")), [*on, "__slot"], "left")
+    cold = partners.withColumn("__slot", F.expr(right_slot(on)))
+    joined = routed.join(cold, [*on, "__slot"], "left")
     joined = joined.withColumn("__match", F.expr("CASE WHEN __is_hot THEN __hot ELSE __cold END"))
     if how == "inner":
         joined = joined.filter("__match IS NOT NULL")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roomledger.operators.joins import HOT_KEY_LIMIT, null_safe_join, shuffle_slot
+from roomledger.operators.joins import HOT_KEY_LIMIT, left_slot, null_safe_join, right_slot
 
 # Ranks are built digit by digit. A digit has 2**DIGIT_BITS values, which bounds the
 # rows any single task sorts.
@@ -199,12 +199,12 @@ def _attach_rank(
     if bounded:
         found = F.broadcast(ranks.selectExpr(*key, f"__rank AS `{rank_col}`"))
         return rows.join(found, key)
-    hot = ranks.filter(F.col("__rows") * HOT_KEY_LIMIT > F.col("__total")).selectExpr(
-        *key, "__rank AS __hot_rank"
-    )
-    slot = shuffle_slot(rows.columns, "__hot_rank IS NOT NULL")
+    # Both sides read the same columns, so that their shuffles are one.
+    is_hot = F.col("__rows") * HOT_KEY_LIMIT > F.col("__total")
+    hot = ranks.filter(is_hot).selectExpr(*key, "__rank AS __hot_rank")
+    slot = left_slot(rows.columns, key, "__hot_rank IS NOT NULL")
     routed = rows.join(F.broadcast(hot), key, "left").selectExpr("*", f"{slot} AS __slot")
-    cold = ranks.selectExpr(*key, "__rank", "0L AS __slot")
+    cold = ranks.filter(~is_hot).selectExpr(*key, "__rank", f"{right_slot(key)} AS __slot")
     return routed.join(cold, [*key, "__slot"], "left").withColumn(
         rank_col, F.coalesce("__hot_rank", "__rank")
     )

@@ -143,10 +143,35 @@ def test_split_join_on_two_columns(uneven):
     same_rows(joins.split_join(uneven, right, ["g", "v"]), uneven.join(right, ["g", "v"]))
 
 
-def test_split_join_spreads_copies_of_a_hot_row(spark):
-    copies = spark.range(0, 20000, 1, 16).selectExpr("1 AS k", "'same' AS t")
-    slots = copies.selectExpr(f"{joins.shuffle_slot(['k', 't'], 'true')} AS s").distinct().count()
-    assert slots == 16  # one per partition the copies come from
+def largest_task(spark, df):
+    """Rows of the fullest partition, without adaptive execution."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sizes = df.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    return max(r["count"] for r in sizes)
+
+
+@pytest.fixture(scope="module")
+def one_hot_key(spark):
+    """Half of 40,000 rows share a key, and most of those are copies of one row."""
+    return spark.range(0, 40000, 1, 16).selectExpr(
+        "CASE WHEN id % 2 = 0 THEN 7 ELSE pmod(xxhash64(id), 5000) END AS k",
+        "CASE WHEN id % 2 = 0 THEN id % 10 * int(id % 5 = 0) ELSE id END AS t",
+    )
+
+
+def test_split_join_leaves_no_full_task(spark, one_hot_key):
+    right = spark.range(5000).selectExpr("id AS k", "id AS p")
+    assert largest_task(spark, one_hot_key.join(right, "k")) > 20000
+    assert largest_task(spark, joins.split_join(one_hot_key, right, ["k"])) < 8000
+
+
+def test_rank_leaves_no_full_task(spark, one_hot_key):
+    assert largest_task(spark, ranking.global_dense_rank(one_hot_key, [desc("k")])) < 8000
 
 
 def test_split_join_refuses_other_kinds(uneven):
