@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomledger.llm import packing, quality, simhash, toxicity
+from roomledger.llm import anomaly, hnsw, packing, pieces, quality, simhash, toxicity
 from roomledger.llm.common import read, remainder
 
 TOXICITY_CUT = 0.5
 QUALITY_CUT = quality.CUT_SCORE
 SHINGLE_WORDS = 3
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 PACKING_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -25,6 +26,16 @@ def quality_held_out() -> Column:
     return remainder("doc_id", 4) == 2
 
 
+def op2_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = anomaly.fit(docs, read(spark, sf_dir, "labels"))
+    return anomaly.judge(docs, model)
+
+
+def op3_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(read(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
 def op5_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = simhash.fingerprints(read(spark, sf_dir, "documents"), SHINGLE_WORDS)
     grouped = simhash.near_groups(prints)
@@ -57,11 +68,19 @@ def op9_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_hnsw_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = hnsw.usable(read(spark, sf_dir, "embeddings"))
+    return hnsw.nearest(table, table.where("vec_id % 100 = 0"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_isolation_forest": op2_isolation_forest,
+    "op3_piece_round_trip": op3_piece_round_trip,
     "op5_simhash_anchors": op5_simhash_anchors,
     "op6_hierarchical_packing": op6_hierarchical_packing,
     "op8_bradley_terry": op8_bradley_terry,
     "op9_toxicity_grammar": op9_toxicity_grammar,
+    "op10_hnsw_shards": op10_hnsw_shards,
 }
 
 ORACLE_SQL: dict[str, str] = {}
