@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomledger.llm import anomaly, hnsw, packing, pieces, quality, simhash, toxicity
+from roomledger.llm import anomaly, ctw, hnsw, packing, pieces, quality, simhash, toxicity
 from roomledger.llm.common import read, remainder
 
 TOXICITY_CUT = 0.5
@@ -36,6 +36,10 @@ def op3_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(read(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op4_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(read(spark, sf_dir, "documents"), remainder("doc_id", 7) == 2)
+
+
 def op5_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = simhash.fingerprints(read(spark, sf_dir, "documents"), SHINGLE_WORDS)
     grouped = simhash.near_groups(prints)
@@ -76,6 +80,7 @@ def op10_hnsw_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_isolation_forest": op2_isolation_forest,
     "op3_piece_round_trip": op3_piece_round_trip,
+    "op4_context_tree": op4_context_tree,
     "op5_simhash_anchors": op5_simhash_anchors,
     "op6_hierarchical_packing": op6_hierarchical_packing,
     "op8_bradley_terry": op8_bradley_terry,
