@@ -1,7 +1,8 @@
 """Language-model scores by context-tree weighting over bytes.
 
-Each byte is decomposed into eight binary decisions; each decision has its own context tree
-over the preceding bytes. A node's Krichevsky-Trofimov estimate and what its deeper contexts
+Each byte is decomposed into binary decisions, along the Huffman code of the training texts'
+bytes (every byte counts once more, so that each has a code); each decision has its own context
+tree over the preceding bytes. A node's Krichevsky-Trofimov estimate and what its deeper contexts
 predict are mixed by the posterior weights that the training texts give, over all depths from
 0 to ``DEPTH``. As both are functions of counts, the tree is computed from the counts of byte
 sequences of length ``DEPTH + 1``: bottom-up for the weights, top-down for the predictions.
@@ -20,6 +21,8 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 
 from roomledger.llm.common import whole_texts, written
 
-DEPTH = 4
+DEPTH = 5
 #: Depth at which the tree is cut into parts; above it there are at most 256 contexts.
 LOW = 2
 END = b"\n"
@@ -66,29 +69,59 @@ def kt_one(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return (ones + 0.5) / (zeros + ones + 1)
 
 
-_BYTES = np.arange(256)[:, None]
-_PLACES = np.arange(8)[None, :]
-#: of each byte, the nodes of the eight decisions (a 1 and the bits before) and the bits
-PREFIX = (1 << _PLACES) | (_BYTES >> (8 - _PLACES))
-BIT = (_BYTES >> (7 - _PLACES)) & 1
-
-
-def subtree(keys: np.ndarray, n: np.ndarray, depth: int = DEPTH, low: int = LOW):
+@dataclass(frozen=True)
+class Decisions:
+    """The decisions of each byte: nodes (1 to 255) and bits from ``start`` on, ``length`` many."""
+
+    node: np.ndarray
+    bit: np.ndarray
+    start: np.ndarray
+    length: np.ndarray
+
+    def of(self, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, node, bit) of all decisions of ``byte``, one after the other."""
+        n = self.length[byte]
+        row = np.repeat(np.arange(len(byte)), n)
+        at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + self.start[byte][row]
+        return row, self.node[at], self.bit[at]
+
+
+def huffman(counts: np.ndarray) -> Decisions:
+    """Decisions by the Huffman code for 256 counts plus one each."""
+    heap = [(int(c) + 1, b, b) for b, c in enumerate(counts)]
+    heapify(heap)
+    parent: dict[int, tuple[int, int]] = {}
+    for name in range(256, 511):
+        (n0, _, zero), (n1, _, one) = heappop(heap), heappop(heap)
+        parent[zero], parent[one] = (name, 0), (name, 1)
+        heappush(heap, (n0 + n1, name, name))
+    node, bit, start, length = [], [], [], []
+    for byte in range(256):
+        path, at = [], byte
+        while at in parent:
+            path.append(parent[at])
+            at = parent[at][0]
+        start.append(len(node))
+        length.append(len(path))
+        for name, taken in reversed(path):
+            node.append(name - 255)
+            bit.append(taken)
+    return Decisions(*(np.array(x, np.int64) for x in (node, bit, start, length)))
+
+
+def subtree(keys: np.ndarray, n: np.ndarray, decisions: Decisions, depth: int = DEPTH, low: int = LOW):
     """The nodes of depth ``low`` and what they predict for each key.
 
     ``keys`` are packed sequences of ``depth + 1`` bytes, the last of them the coded byte, and
     hold all sequences under their contexts of depth ``low``. Gives (nodes, zeros, ones,
-    log_weighted) of depth ``low``, a node being the context and the decision, and for each
-    key and decision the probability of a 1.
+    log_weighted) of depth ``low``, a node being the context and the decision, and for all
+    decisions of the keys the probability of a 1.
     """
-    byte = keys & 255
-    bit = BIT[byte]
-    node = ((keys >> 8) << 8)[:, None] | PREFIX[byte]
-    ids, at = np.unique(node.ravel(), return_inverse=True)
-    at = at.reshape(node.shape)
-    weights = np.repeat(n.astype(float), 8)
-    ones = np.bincount(at.ravel(), weights * bit.ravel(), len(ids))
-    zeros = np.bincount(at.ravel(), weights, len(ids)) - ones
+    row, decision, bit = decisions.of(keys & 255)
+    ids, at = np.unique((((keys >> 8) << 8)[row]) | decision, return_inverse=True)
+    weights = n.astype(float)[row]
+    ones = np.bincount(at, weights * bit, len(ids))
+    zeros = np.bincount(at, weights, len(ids)) - ones
     weighted = log_kt(zeros, ones)
     predicted = kt_one(zeros, ones)[at]
     for d in range(depth - 1, low - 1, -1):
@@ -121,17 +154,17 @@ def top(zeros: np.ndarray, ones: np.ndarray, deeper: np.ndarray):
     return one, zero, (1 - share0) * (1 - share1)
 
 
-def log10_predictions(keys: np.ndarray, predicted: np.ndarray, upper) -> np.ndarray:
+def log10_predictions(keys: np.ndarray, predicted: np.ndarray, upper, decisions: Decisions) -> np.ndarray:
     one, zero, left = upper
-    byte = keys & 255
-    recent = ((keys >> 8) & 255)[:, None]
-    prefix = PREFIX[byte]
+    row, decision, bit = decisions.of(keys & 255)
+    recent = ((keys >> 8) & 255)[row]
+    rest = left[recent, decision]
     p = np.where(
-        BIT[byte] == 1,
-        one[recent, prefix] + left[recent, prefix] * predicted,
-        zero[recent, prefix] + left[recent, prefix] * (1 - predicted),
+        bit == 1,
+        one[recent, decision] + rest * predicted,
+        zero[recent, decision] + rest * (1 - predicted),
     )
-    return np.log10(p).sum(axis=1)
+    return np.bincount(row, np.log10(p), len(keys))
 
 
 # Texts
@@ -315,14 +348,19 @@ def predictions(grams: DataFrame) -> DataFrame:
     Parts of the tree below contexts of depth 2 are computed apart. The contexts of depth 1
     and their decisions, at most 65,280 rows, are mixed on the driver.
     """
-    n_keys = grams.count()
-    parts = max(64, math.ceil(n_keys / KEYS_PER_PART))
+    of_byte = grams.groupBy(F.col("gram").bitwiseAND(F.lit(255)).alias("byte"))
+    rows = of_byte.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("keys")).collect()  # at most 256
+    counts = np.zeros(256, np.int64)
+    for r in rows:
+        counts[r["byte"]] = r["n"]
+    decisions = huffman(counts)
+    parts = max(64, math.ceil(sum(r["keys"] for r in rows) / KEYS_PER_PART))
     context = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * LOW) - 1))
     dealt = grams.withColumn("part", F.pmod(F.xxhash64(context), F.lit(parts)))
 
     def lower(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("gram")
-        ids, zeros, ones, weighted, _ = subtree(pdf["gram"].to_numpy(), pdf["n"].to_numpy())
+        ids, zeros, ones, weighted, _ = subtree(pdf["gram"].to_numpy(), pdf["n"].to_numpy(), decisions)
         recent, to = np.unique(((ids >> 8) & 255) << 8 | (ids & 255), return_inverse=True)
         sums = [np.bincount(to, v, len(recent)) for v in (zeros, ones, weighted)]
         return pd.DataFrame({"node": recent, "zeros": sums[0], "ones": sums[1], "deeper": sums[2]})
@@ -342,8 +380,8 @@ def predictions(grams: DataFrame) -> DataFrame:
     def predict(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("gram")
         keys = pdf["gram"].to_numpy()
-        predicted = subtree(keys, pdf["n"].to_numpy())[4]
-        return pd.DataFrame({"gram": keys, "value": log10_predictions(keys, predicted, upper)})
+        predicted = subtree(keys, pdf["n"].to_numpy(), decisions)[4]
+        return pd.DataFrame({"gram": keys, "value": log10_predictions(keys, predicted, upper, decisions)})
 
     return dealt.groupBy("part").applyInPandas(predict, "gram long, value double")
 
@@ -355,8 +393,8 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     training texts), train_tokens, base_score (add-one estimate of single tokens), score,
     n_bytes (coded, with the end) and bits_per_byte. Training texts are those that are not
     held out. A null or empty text is its end. Repeated rows count and are scored as often as
-    they occur; other columns are left out. Without training texts every bit has the
-    probability 1/2 and ``base_score`` is 0.
+    they occur; other columns are left out. Without training texts every decision
+    has the probability 1/2 and ``base_score`` is 0.
 
     ``docs`` is read twice and must come in the same partitions with the same order, as a
     table on disk does; write other inputs first. A difference is an error, not a wrong score.
@@ -374,7 +412,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     counted = written(counted, "words")
     grams = features.where("gram IS NOT NULL")
     summed = written(grams.groupBy("gram").agg(F.sum("n").alias("n")), "grams")
-    valued = grams.select("block", "gram").join(predictions(summed), "gram")
+    valued = grams.select("block", "gram").join(predictions(summed).hint("merge"), "gram")
     answers = counted.select(
         F.col("block").alias("to_block"), "word", F.lit(None).cast("long").alias("gram"), "value"
     ).unionByName(
