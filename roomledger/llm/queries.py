@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomledger.llm import anomaly, ctw, hnsw, packing, pieces, quality, simhash, toxicity
+from roomledger.llm import anomaly, ctw, hnsw, packing, pieces, quality, simhash, toxicity, urls, warc
 from roomledger.llm.common import read, remainder
 
 TOXICITY_CUT = 0.5
@@ -26,6 +26,22 @@ def quality_held_out() -> Column:
     return remainder("doc_id", 4) == 2
 
 
+# The rules of the url filter, (verdict, host and path).
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+WARC_DATE = "2024-01-01T00:00:00Z"
+WARC_HEADERS = ["HTTP/1.1 200 OK", "Content-Type: text/html; charset=utf-8"]
+
+
+def op1_host_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op2_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = anomaly.fit(docs, read(spark, sf_dir, "labels"))
@@ -50,6 +66,11 @@ def op6_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), PACKING_TOKENIZER)
 
 
+def op7_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.responses(read(spark, sf_dir, "pages"), WARC_DATE, WARC_HEADERS)
+    return warc.derivatives(found)
+
+
 def op8_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = quality.fit(docs, read(spark, sf_dir, "labels"), quality_held_out())
@@ -78,11 +99,13 @@ def op10_hnsw_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_host_words": op1_host_words,
     "op2_isolation_forest": op2_isolation_forest,
     "op3_piece_round_trip": op3_piece_round_trip,
     "op4_context_tree": op4_context_tree,
     "op5_simhash_anchors": op5_simhash_anchors,
     "op6_hierarchical_packing": op6_hierarchical_packing,
+    "op7_warc_derivatives": op7_warc_derivatives,
     "op8_bradley_terry": op8_bradley_terry,
     "op9_toxicity_grammar": op9_toxicity_grammar,
     "op10_hnsw_shards": op10_hnsw_shards,
