@@ -21,6 +21,8 @@ LONGEST_WORD = 20
 #: Share of the corpus that each word of the labelled names stands for.
 NAME_WEIGHT = 1e-5
 BLOCK_PRIOR = 0.2
+#: Labelled names of each class count so often; with it a few words decide.
+NAME_COPIES = 6
 
 # The labelled names that the model is fitted on.
 BLOCKED_NAMES = """
@@ -36,11 +38,12 @@ ALLOWED_NAMES = """
 daily news; city library; school science; open docs; health wiki; travel blog; music forum;
 research archive; weather map; public data; university press; free encyclopedia; history journal;
 garden club; food recipes; book review; football team; local market; art museum; film festival;
-example site; mobile m; www home; en index html; de index html; fr index html; es index html;
 about contact; article page; help support; software project; code review; math course;
 photo gallery; online course; video lecture; live concert; win rate chess; cash flow report;
 train track map; farm shop; bonus chapter; loan library; market watch; game review
 """.split(";")
+#: These stand in names of either kind and count nothing.
+COMMON_WORDS = "www m blog home index html example site page en de fr es".split()
 
 
 # Parts of an url
@@ -170,10 +173,11 @@ def host_words(hosts: DataFrame, counts: DataFrame, extra: dict[str, float], tot
 
 def word_weights(blocked: Sequence[str] = BLOCKED_NAMES, allowed: Sequence[str] = ALLOWED_NAMES) -> dict[str, float]:
     """Log-odds of a word of the labelled names, multinomial with one more of each word."""
-    bad, good = (Counter(w for name in names for w in name.split()) for names in (blocked, allowed))
+    bad, good = (Counter(w for name in names for w in name.split() for _ in range(NAME_COPIES)) for names in (blocked, allowed))
     vocabulary = sorted({*bad, *good})
     n_bad, n_good = sum(bad.values()) + len(vocabulary), sum(good.values()) + len(vocabulary)
-    return {w: math.log((bad[w] + 1) / n_bad) - math.log((good[w] + 1) / n_good) for w in vocabulary}
+    weights = {w: math.log((bad[w] + 1) / n_bad) - math.log((good[w] + 1) / n_good) for w in vocabulary}
+    return {**weights, **dict.fromkeys(COMMON_WORDS, 0.0)}
 
 
 def _sum_of(words: Column, weights: dict[str, float]) -> Column:
