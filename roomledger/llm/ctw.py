@@ -27,6 +27,7 @@ from heapq import heapify, heappop, heappush
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,7 +39,7 @@ DEPTH = 5
 LOW = 2
 END = b"\n"
 BLOCK_BYTES = 24 << 20
-BYTES_AT_ONCE = 3 << 20
+BYTES_AT_ONCE = 1 << 20
 KEYS_PER_PART = 50_000
 LOG2 = math.log(2)
 
@@ -191,15 +192,19 @@ def packed(texts: list[list[bytes]], depth: int = DEPTH):
     return keys, valid, begins
 
 
-def _portions(texts: list[list[bytes]]) -> Iterator[slice]:
+def _portions(rows: pa.RecordBatch | pa.Table) -> Iterator[tuple[pa.RecordBatch | pa.Table, list[list[bytes]]]]:
+    """A few rows at a time, and the words of their texts, so that few words are held at once."""
     at, size = 0, 0
-    for i, words in enumerate(texts):
-        size += sum(map(len, words)) + len(words) + DEPTH + 1
+    texts: list[list[bytes]] = []
+    for i, text in enumerate(rows.column("text")):
+        raw = text.as_py() or ""
+        texts.append(words_of(raw))
+        size += len(raw)
         if size >= BYTES_AT_ONCE:
-            yield slice(at, i + 1)
-            at, size = i + 1, 0
-    if at < len(texts):
-        yield slice(at, len(texts))
+            yield rows.slice(at, i + 1 - at), texts
+            at, size, texts = i + 1, 0, []
+    if texts:
+        yield rows.slice(at), texts
 
 
 def _merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -282,19 +287,18 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if current is not None and block != current:
                 yield from out()
             current = block
-            held = np.array(part.column("held_out").to_pylist(), bool)
-            texts = [words_of(t or "") for t in part.column("text").to_pylist()]
-            for words, h in zip(texts, held):
-                if h:
-                    for w in set(words):
-                        counts[w] += 0
-                    counts[END] += 0
-                else:
-                    counts.update(words)
-                    counts[END] += 1
-            for portion in _portions(texts):
-                keys, valid, begins = packed(texts[portion])
-                owner = np.repeat(held[portion], np.diff(np.append(begins, len(keys) + DEPTH)))[: len(keys)]
+            for rows, texts in _portions(part):
+                held = np.array(rows.column("held_out").to_pylist(), bool)
+                for words, h in zip(texts, held):
+                    if h:
+                        for w in set(words):
+                            counts[w] += 0
+                        counts[END] += 0
+                    else:
+                        counts.update(words)
+                        counts[END] += 1
+                keys, valid, begins = packed(texts)
+                owner = np.repeat(held, np.diff(np.append(begins, len(keys) + DEPTH)))[: len(keys)]
                 u, k = np.unique(keys[valid & ~owner], return_counts=True)
                 found.append((u, k))
                 u = np.unique(keys[valid & owner])
@@ -306,21 +310,22 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _score_block(docs: pa.Table, features: pa.Table) -> pa.Table:
-    is_word = np.array(features.column("gram").is_null())
-    words = features.column("word").filter(pa.array(is_word)).to_pylist()
-    values = features.column("value").to_numpy()
-    known = dict(zip(words, values[is_word].tolist()))
-    grams = features.column("gram").filter(pa.array(~is_word)).to_numpy()
+    is_word = features.column("gram").is_null()
+    words, counted = (features.column(c).filter(is_word) for c in ("word", "value"))
+    known = dict(zip((w.as_py() for w in words), counted.to_numpy().tolist()))
+    is_gram = pa.compute.invert(is_word)
+    grams, predictions = (features.column(c).filter(is_gram).to_numpy() for c in ("gram", "value"))
+    del features, words, counted
     order = np.argsort(grams)
-    grams, predictions = grams[order], values[~is_word][order]
-    texts = [words_of(t or "") for t in docs.column("text").to_pylist()]
-    n_known, base, score, size = [], [], [], []
-    for tokens in texts:
-        c = np.array([*map(known.__getitem__, tokens), known[END]])
-        n_known.append(int((c > 0).sum()))
-        base.append(float(np.log10(c + 1).sum()))
-    for portion in _portions(texts):
-        keys, valid, begins = packed(texts[portion])
+    grams, predictions = grams[order], predictions[order]
+    n_tokens, n_known, base, score, size = [], [], [], [], []
+    for _, texts in _portions(docs):
+        for tokens in texts:
+            c = np.array([*map(known.__getitem__, tokens), known[END]])
+            n_tokens.append(len(c))
+            n_known.append(int((c > 0).sum()))
+            base.append(float(np.log10(c + 1).sum()))
+        keys, valid, begins = packed(texts)
         at = np.minimum(np.searchsorted(grams, keys), len(grams) - 1)
         if (grams[at] != keys)[valid].any():
             raise ValueError("a block was read with other texts than before")
@@ -330,7 +335,7 @@ def _score_block(docs: pa.Table, features: pa.Table) -> pa.Table:
         {
             "doc_id": docs.column("doc_id"),
             "held_out": docs.column("held_out"),
-            "n_tokens": pa.array([len(t) + 1 for t in texts], pa.int64()),
+            "n_tokens": pa.array(n_tokens, pa.int64()),
             "n_known": pa.array(n_known, pa.int64()),
             "base_part": pa.array(base, pa.float64()),
             "score": pa.array(score, pa.float64()),
