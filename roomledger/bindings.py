@@ -169,7 +169,7 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         flag(13).alias("instant_bookable"),
         F.when(key % 6 == 0, "N/A").otherwise(F.concat(size * 2, F.lit("%"))).alias("host_response_rate"),
         F.when(key % 5 == 0, F.lit(None)).otherwise(F.concat(size, F.lit(".5%"))).alias("host_acceptance_rate"),
-        F.lit("Neighborhood highlights").alias("neighbourhood"),
+        F.lit("about the area").alias("neighbourhood"),
         F.col("neighbourhood").alias("neighbourhood_cleansed"),
         F.col("neighbourhood_group").alias("neighbourhood_group_cleansed"),
         F.col("n_amenities").alias("minimum_nights"),

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roomledger.functions.numbers import rounded
+from roomledger.functions.numbers import mean_of, rounded
 
 
 def spread_by_group(df: DataFrame, group: str, value: str, out: str) -> DataFrame:
@@ -19,7 +19,8 @@ def spread_by_group(df: DataFrame, group: str, value: str, out: str) -> DataFram
 
 def deviation_from_mean(df: DataFrame, group: str, value: str, out: str) -> DataFrame:
     """Value minus the mean of its group."""
-    mean = F.avg(value).over(Window.partitionBy(group))
+    window = Window.partitionBy(group)
+    mean = mean_of(F.sum(value).over(window), F.count(value).over(window))
     return df.withColumn(out, rounded(F.col(value) - mean))
 
 
@@ -61,9 +62,12 @@ def segment_compare(
     ``means`` and ``counts`` map output names to input columns. A weighted mean equals the
     plain mean of the rows repeated ``weight`` times, without repeating them.
     """
+    exact = {f.name for f in df.schema.fields if f.dataType.typeName() == "decimal"}
     aggregates = []
     for out, column in means.items():
-        if weight is None:
+        if weight is None and column in exact:
+            mean = mean_of(F.sum(column), F.count(column))
+        elif weight is None:
             mean = F.avg(column)
         else:
             known = F.when(F.col(column).isNotNull(), F.col(weight))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A key is hot when it holds more than 1/HOT_KEY_LIMIT of all rows, so there are fewer
@@ -23,6 +23,15 @@ def null_safe_join(
     return left.join(renamed, condition, how).drop(*[f"__r_{c}" for c in on])
 
 
+def all_columns(df: DataFrame) -> Column:
+    """Aggregate that reads every column of ``df``, as ``__seen``; it is never null.
+
+    For a plan that needs its input twice, once grouped and once row by row: if both
+    branches read the same columns, the shuffle below them is planned the same and run once.
+    """
+    return F.bit_xor(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])).alias("__seen")
+
+
 def _hash(columns: Sequence[str]) -> str:
     return f"xxhash64({', '.join(f'`{c}`' for c in columns)})"
 

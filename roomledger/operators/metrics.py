@@ -7,6 +7,8 @@ that owns most of the rows, and joins happen after the aggregation.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,6 +77,8 @@ def impute_from_group_median(
 ) -> DataFrame:
     """Fill missing values with the median of the row's group; the value moves to the end.
 
+    Values that are there stay as they are, in a type that holds both.
+
     ``medians`` has a key and a median column. Rows without a group are dropped unless
     ``keep_unmatched`` is set.
     """
@@ -83,17 +87,26 @@ def impute_from_group_median(
     how = "left" if keep_unmatched else "inner"
     return (
         df.join(known, F.col(key) == F.col("__group"), how)
-        .withColumn("__value", F.coalesce(money(value), F.col("__median")))
+        .withColumn("__value", F.coalesce(F.col(value), F.col("__median")))
         .drop(value, "__group", "__median")
         .withColumnRenamed("__value", value)
     )
 
 
 def impute_prices(
-    listings: DataFrame, calendar: DataFrame, keep_unmatched: bool = False
+    listings: DataFrame,
+    calendar: DataFrame,
+    keep_unmatched: bool = False,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Fill missing listing prices from the listing's calendar; the night limits go."""
+    """Fill missing listing prices from the listing's calendar; the night limits go.
+
+    ``columns`` chooses the listing columns to keep; id and price must be among them.
+    """
     medians = median_prices(calendar)
+    listings = listings.withColumn("price", money("price"))
+    if columns is not None:
+        listings = listings.select(*columns)
     filled = impute_from_group_median(listings, "id", "price", medians, keep_unmatched)
     return filled.drop("adjusted_price", "minimum_nights", "maximum_nights")
 

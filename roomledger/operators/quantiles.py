@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roomledger.operators.joins import null_safe_join
+from roomledger.operators.joins import all_columns, null_safe_join
 from roomledger.operators.ranking import DIGIT_BITS, ordinal
 
 
@@ -25,7 +25,8 @@ def _values_at_ranks(
     counts = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*by, value)
-        .agg(F.count(F.lit(1)).alias("__n"))
+        .agg(F.count(F.lit(1)).alias("__n"), all_columns(df))
+        .filter("__seen IS NOT NULL")
         .selectExpr(*[f"`{c}`" for c in by], f"`{value}` AS __value", "__n", f"{high} AS __high")
     )
     wanted = ", ".join(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roomledger.operators.joins import HOT_KEY_LIMIT, left_slot, null_safe_join, right_slot
+from roomledger.operators.joins import HOT_KEY_LIMIT, all_columns, left_slot, null_safe_join, right_slot
 
 # Ranks are built digit by digit. A digit has 2**DIGIT_BITS values, which bounds the
 # rows any single task sorts.
@@ -72,8 +72,10 @@ def top_n_per_group(
         raise ValueError(f"method must be dense_rank or row_number, not {method!r}")
 
     winners = (
-        df.select(*keys)
-        .distinct()
+        df.groupBy(*keys)
+        .agg(all_columns(df))
+        .filter("__seen IS NOT NULL")
+        .select(*keys)
         .withColumn(rank_col, F.dense_rank().over(window))
         .filter(F.col(rank_col) <= n)
         .withColumn(rank_col, F.col(rank_col).cast("bigint"))
@@ -166,7 +168,8 @@ def _over(partition: Sequence[str], order: Sequence[str], frame: str = "") -> st
 def _rank_table(rows: DataFrame, groups: list[str], levels: list[list[str]]) -> DataFrame:
     """Rank of every key, with its number of rows and the number of all rows."""
     digits = [d for level in levels for d in level]
-    keys = rows.groupBy(*groups, *digits).agg(F.count(F.lit(1)).alias("__rows"))
+    keys = rows.groupBy(*groups, *digits).agg(F.count(F.lit(1)).alias("__rows"), all_columns(rows))
+    keys = keys.filter("__seen IS NOT NULL").drop("__seen")
     before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     parent = list(groups)
     offsets: DataFrame | None = None

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 def _r(expression: str, digits: int = 2) -> str:
     """Rounded half up, as a decimal."""
-    return f"ROUND(CAST({expression} AS DECIMAL(28,4)), {digits})"
+    return f"ROUND(CAST({expression} AS DECIMAL(28,10)), {digits})"
 
 
 def _d(expression: str) -> str:
@@ -27,13 +27,23 @@ def _r_double(expression: str, digits: int = 2) -> str:
 
 
 MONEY = "DECIMAL(18,2)"
-OCCUPANCY = _r("100e0 * count(*) FILTER (WHERE NOT available) / count(*)")
-# Mean of cent amounts, half up to millionths, in whole numbers: exact where a double is not.
+# The exact fraction, half up to hundredths, in whole numbers.
+OCCUPANCY = (
+    "CAST((20000 * count(*) FILTER (WHERE NOT available) + count(*)) // (2 * count(*)) AS DECIMAL(9,0))"
+    " * CAST(0.01 AS DECIMAL(3,2))"
+)
+# Mean of cent amounts, half up to 15 digits, in whole numbers: exact where a double is not.
 CENTS = "sum(CAST(price * 100 AS HUGEINT))"
 MEAN_PRICE = (
-    f"CAST((2 * {CENTS} * 10000 + count(price)) // (2 * count(price)) AS DECIMAL(20,0))"
-    " * CAST(0.000001 AS DECIMAL(7,6))"
+    f"CAST((2 * {CENTS} * 10000000000000 + count(price)) // (2 * count(price)) AS DECIMAL(22,0))"
+    " * CAST(0.000000000000001 AS DECIMAL(16,15))"
 )
+
+
+def _six(expression: str) -> str:
+    return f"ROUND({expression}, 6)"
+
+
 BOOKED_REVENUE = f"sum(CASE WHEN NOT available THEN price ELSE CAST(0 AS {MONEY}) END)"
 
 PRELUDE = f"""
@@ -105,7 +115,7 @@ priced AS (
 def _top_priced(rank: str) -> str:
     return _cte(f"""
 {PRICED.strip()}, ranked AS (SELECT *, {rank} AS rnk FROM priced)
-SELECT listing_id, month, {_d('avg_price')} AS avg_price, n_reviews, rnk, neighbourhood
+SELECT listing_id, month, {_d(_six('avg_price'))} AS avg_price, n_reviews, rnk, neighbourhood
 FROM ranked JOIN listings ON listing_id = id WHERE rnk <= 5""")
 
 
@@ -172,17 +182,17 @@ QUARTILE_BINS = (
 TERCILE_BINS = "CASE WHEN {v} <= t1 THEN 'Low' WHEN {v} <= t2 THEN 'Medium' ELSE 'High' END"
 PRICE_CUTS = """
 cuts AS (
-  SELECT percentile_disc(0.25) WITHIN GROUP (ORDER BY avg_price) AS q1,
-         percentile_disc(0.5) WITHIN GROUP (ORDER BY avg_price) AS q2,
-         percentile_disc(1/3) WITHIN GROUP (ORDER BY avg_price) AS t1,
-         percentile_disc(2/3) WITHIN GROUP (ORDER BY avg_price) AS t2
+  SELECT percentile_disc(0.25) WITHIN GROUP (ORDER BY ROUND(avg_price, 6)) AS q1,
+         percentile_disc(0.5) WITHIN GROUP (ORDER BY ROUND(avg_price, 6)) AS q2,
+         percentile_disc(1/3) WITHIN GROUP (ORDER BY ROUND(avg_price, 6)) AS t1,
+         percentile_disc(2/3) WITHIN GROUP (ORDER BY ROUND(avg_price, 6)) AS t2
   FROM occ)"""
 
 
 def _binned_prices(bins: str) -> str:
     return _cte(f"""
 {PRICE_CUTS.strip()}
-SELECT listing_id, {_d('avg_price')} AS avg_price, {bins.format(v='avg_price')} AS avg_price_bin
+SELECT listing_id, {_d(_six('avg_price'))} AS avg_price, {bins.format(v=_six('avg_price'))} AS avg_price_bin
 FROM occ, cuts""")
 
 
@@ -312,14 +322,16 @@ SELECT neighbourhood, month, {_d('total_revenue')} AS total_revenue,
 FROM monthly JOIN yearly USING (neighbourhood)"""),
     "monthly_revenue_per_neighbourhood_intended": _cte(f"""
 {REVENUE.strip()}, yearly AS (
-  SELECT neighbourhood, avg(total_revenue) AS mean, count(*) AS months,
+  SELECT neighbourhood, count(*) AS months,
          sum(CAST(total_revenue * 100 AS HUGEINT)) AS cents,
          sum(CAST(total_revenue * 100 AS HUGEINT) * CAST(total_revenue * 100 AS HUGEINT)) AS squares
   FROM monthly GROUP BY neighbourhood)
 SELECT neighbourhood, month, {_d('total_revenue')} AS total_revenue,
-       {_rd(f"{_d('total_revenue')} - mean")} AS deviation_from_mean,
+       {_d('CAST(sign(gap) * ((2 * abs(gap) + months) // (2 * months)) AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(3,2))')}
+         AS deviation_from_mean,
        {_r_double('CAST(squares * months - cents * cents AS DOUBLE) / (months * months * 10000)')} AS yearly_variance
-FROM monthly JOIN yearly USING (neighbourhood)"""),
+FROM (SELECT *, CAST(total_revenue * 100 AS HUGEINT) * months - cents AS gap
+      FROM monthly JOIN yearly USING (neighbourhood))"""),
     "lowest_occupancy_rate_and_review_scores": _cte(f"""
 {LOWEST.strip()}
 SELECT review_scores_rating, neighbourhood, host_id, {_d('occupancy_rate')} AS occupancy_rate FROM lowest"""),
@@ -368,11 +380,11 @@ GROUP BY host_is_superhost"""),
     "host_response_times_stats": _response("", "n"),
     "host_response_times_stats_intended": _response("LEFT", "1"),
     "listing_stats_by_price_bin": _sql(f"""
-SELECT {_d('avg_price')} AS avg_price, {_means(BIN_MEANS)}
+SELECT {_d(_six('avg_price'))} AS avg_price, {_means(BIN_MEANS)}
 FROM occ JOIN listings ON listing_id = id GROUP BY occ.avg_price"""),
     "listing_stats_by_price_bin_intended": _cte(f"""
 {PRICE_CUTS.strip()}, binned AS (
-  SELECT occ.*, {TERCILE_BINS.format(v='avg_price')} AS avg_price_bin FROM occ, cuts)
+  SELECT occ.*, {TERCILE_BINS.format(v=_six('avg_price'))} AS avg_price_bin FROM occ, cuts)
 SELECT avg_price_bin, count(DISTINCT listing_id) AS n_listings, {_means(BIN_MEANS)}
 FROM binned JOIN listings ON listing_id = id GROUP BY avg_price_bin"""),
     "daily_price_changes": _price_changes(
@@ -449,7 +461,7 @@ raw_listings AS (
     {_flag(11)} AS host_identity_verified, {_flag(13)} AS instant_bookable,
     CASE WHEN id % 6 = 0 THEN 'N/A' ELSE (n_amenities * 2) || '%' END AS host_response_rate,
     CASE WHEN id % 5 = 0 THEN NULL ELSE n_amenities || '.5%' END AS host_acceptance_rate,
-    'Neighborhood highlights' AS neighbourhood, neighbourhood AS neighbourhood_cleansed,
+    'about the area' AS neighbourhood, neighbourhood AS neighbourhood_cleansed,
     neighbourhood_group AS neighbourhood_group_cleansed, n_amenities AS minimum_nights
   FROM listings)"""
 

@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roomledger.functions.numbers import mean_of, money, rounded
+from roomledger.functions.numbers import mean_money, mean_of, money, rounded
 from roomledger.operators.comparing import segment_compare
 from roomledger.operators.joins import null_safe_join, split_join
 from roomledger.operators.metrics import occupancy, revenue
 from roomledger.operators.quantiles import exact_median, fixed_bin
 from roomledger.operators.ranking import asc, desc, global_dense_rank, top_n_per_group
 from roomledger.plans.market import Market, as_report
-from roomledger.sources.scratch import settled
 
 # Fixed values of the reports.
 TOP_HOSTS = 5
@@ -32,7 +31,7 @@ def _host_listing_prices(market: Market) -> DataFrame:
         .groupBy("host_id")
         .agg(
             F.count_distinct("listing_id").alias("n_properties"),
-            rounded(F.avg(F.when(listed, F.col("price")))).alias("avg_price"),
+            rounded(mean_money(F.when(listed, F.col("price")))).alias("avg_price"),
             F.count_if(listed).alias("__n_listed"),
         )
     )
@@ -40,7 +39,7 @@ def _host_listing_prices(market: Market) -> DataFrame:
 
 def top_host_averages(market: Market) -> DataFrame:
     """Mean listing price of the hosts with the five highest listing counts, ties kept."""
-    hosts = settled(_host_listing_prices(market), "host_prices")
+    hosts = _host_listing_prices(market)
     top = top_n_per_group(hosts, [], [desc("n_properties")], TOP_HOSTS)
     kept = top.filter(F.col("host_id").isNotNull() & (F.col("__n_listed") > 0))
     return as_report(kept, "host_id", "avg_price")
@@ -83,7 +82,7 @@ def superhosts_and_others(market: Market) -> DataFrame:
         *[f"review_scores_{s}" for s in SUPERHOST_SCORES],
     )
     rates = market.occupancy_per_listing()
-    joined = settled(listings.join(rates, F.col("id") == F.col("listing_id")), "superhost_listings")
+    joined = listings.join(rates, F.col("id") == F.col("listing_id"))
     means = {f"avg_review_score_{s}": f"review_scores_{s}" for s in SUPERHOST_SCORES}
     means |= {"avg_occupancy_rate": "occupancy_rate", "avg_price": "price"}
     stats = segment_compare(joined, "host_is_superhost", means, counts={"n_listings": "listing_id"})
@@ -100,7 +99,7 @@ def _responding_listings(market: Market) -> DataFrame:
     listings = market.listings.filter(F.col("host_response_time").isNotNull()).select(
         F.col("id").alias("listing_id"), "host_response_time", "review_scores_rating"
     )
-    return settled(listings.join(market.occupancy_per_listing(), "listing_id"), "responding_listings")
+    return listings.join(market.occupancy_per_listing(), "listing_id")
 
 
 def _response_stats(market: Market, weight: str | None) -> DataFrame:
@@ -213,12 +212,12 @@ TIER_COLUMNS = (
 
 def host_tier_revenue(market: Market) -> DataFrame:
     """Every host with its size tier, revenue and diversity, ranked by revenue."""
-    hosts = settled(_tiered_hosts(market), "tiered_hosts")
+    hosts = _tiered_hosts(market)
     return as_report(global_dense_rank(hosts, TIER_ORDER), *TIER_COLUMNS)
 
 
 def host_tier_revenue_within_tier(market: Market) -> DataFrame:
     """The same with the rank counted within the tier."""
-    hosts = settled(_tiered_hosts(market), "tiered_hosts")
+    hosts = _tiered_hosts(market)
     ranked = global_dense_rank(hosts, TIER_ORDER, by=["n_listings_bin"])
     return as_report(ranked, *TIER_COLUMNS)

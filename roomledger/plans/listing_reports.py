@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roomledger.functions.numbers import mean_of, money, rounded
+from roomledger.functions.numbers import mean_of, money, rounded, six_digits
 from roomledger.operators.comparing import segment_compare
+from roomledger.operators.joins import null_safe_join
 from roomledger.operators.metrics import change_count, mean_price, occupancy, revenue
 from roomledger.operators.quantiles import tercile_bin
 from roomledger.operators.ranking import (
@@ -17,7 +18,6 @@ from roomledger.operators.ranking import (
     top_n_per_group,
 )
 from roomledger.plans.market import Market, as_report
-from roomledger.sources.scratch import settled
 
 # Fixed values of the reports.
 TOP_PRICED = 5
@@ -34,6 +34,15 @@ OCCUPANCY_VALUES = 10_001
 MAX_MONTHS = 2_400
 
 
+def _placed(top: DataFrame, places: DataFrame) -> DataFrame:
+    """The winners with what is known of their listings.
+
+    Null-safe, so that no filter of the join reaches the input of ``top``: it is read by two
+    branches, and only if both are planned alike their shuffle runs once.
+    """
+    return null_safe_join(top, places.filter("listing_id IS NOT NULL"), ["listing_id"])
+
+
 def _priced_and_reviewed(market: Market, grain: str) -> DataFrame:
     prices = market.totals_per_month(grain).select(
         "listing_id", "month", mean_price().alias("avg_price")
@@ -48,16 +57,16 @@ def top_listings_by_price(market: Market, month_grain: str = "name") -> DataFram
     Every listing that shares a top value is kept.
     """
     top = top_n_per_group(
-        settled(_priced_and_reviewed(market, month_grain), "monthly_prices"),
+        _priced_and_reviewed(market, month_grain),
         ["month"],
         [desc("avg_price"), desc("n_reviews")],
         TOP_PRICED,
         max_groups=MAX_MONTHS,
     )
     places = market.listings.select(F.col("id").alias("listing_id"), "neighbourhood")
+    found = _placed(top, places).withColumn("avg_price", six_digits("avg_price"))
     return as_report(
-        top.join(places, "listing_id"),
-        "listing_id", "month", "avg_price", "n_reviews", "rnk", "neighbourhood",
+        found, "listing_id", "month", "avg_price", "n_reviews", "rnk", "neighbourhood"
     )
 
 
@@ -71,9 +80,9 @@ def top_listings_by_price_exact(market: Market, month_grain: str = "name") -> Da
         method="row_number",
     )
     places = market.listings.select(F.col("id").alias("listing_id"), "neighbourhood")
+    found = top.join(places, "listing_id").withColumn("avg_price", six_digits("avg_price"))
     return as_report(
-        top.join(places, "listing_id"),
-        "listing_id", "month", "avg_price", "n_reviews", "rnk", "neighbourhood",
+        found, "listing_id", "month", "avg_price", "n_reviews", "rnk", "neighbourhood"
     )
 
 
@@ -83,7 +92,7 @@ def occupancy_per_month(market: Market, month_grain: str = "name") -> DataFrame:
         "listing_id", "month", occupancy().alias("occupancy_rate")
     )
     top = top_n_per_group(
-        settled(rates, "monthly_occupancy"),
+        rates,
         ["month"],
         [desc("occupancy_rate")],
         TOP_OCCUPIED,
@@ -93,7 +102,7 @@ def occupancy_per_month(market: Market, month_grain: str = "name") -> DataFrame:
         F.col("id").alias("listing_id"), "host_city", "host_state", "neighbourhood"
     )
     return as_report(
-        top.join(places, "listing_id"),
+        _placed(top, places),
         "listing_id", "month", "occupancy_rate", "host_city", "host_state", "neighbourhood",
     )
 
@@ -137,16 +146,14 @@ def _monthly_counts_of_reviewed(market: Market, enough: Column) -> DataFrame:
 def most_reviewed_listings(market: Market) -> DataFrame:
     """The ten highest review counts of each month among listings with over 20 reviews."""
     top = top_n_per_group(
-        settled(
-            _monthly_counts_of_reviewed(market, F.col("total") > REVIEWS_TO_RANK), "monthly_reviews"
-        ),
+        _monthly_counts_of_reviewed(market, F.col("total") > REVIEWS_TO_RANK),
         ["month"],
         [desc("review_count")],
         TOP_REVIEWED,
         max_groups=MAX_MONTHS,
     )
     places = market.listings.select(F.col("id").alias("listing_id"), "neighbourhood", "property_type")
-    return top.join(places, "listing_id").select(
+    return _placed(top, places).select(
         "listing_id", "month", "review_count", "rnk", "neighbourhood", "property_type"
     )
 
@@ -183,7 +190,7 @@ def _lowest(market: Market) -> DataFrame:
         .withColumn("__rating", F.col("review_scores_rating").cast("decimal(18,7)"))
     )
     return rank_sum_bottom_k(
-        settled(candidates, "reviewed_listings"),
+        candidates,
         [asc("occupancy_rate", OCCUPANCY_VALUES), asc("__rating")],
         LOWEST_LISTED,
         ["listing_id"],
@@ -237,13 +244,13 @@ def listing_stats_by_price(market: Market) -> DataFrame:
     means = {"avg_occupancy_rate": "occupancy_rate"}
     means |= {f"average_review_score_{s}": f"review_scores_{s}" for s in BIN_SCORES}
     stats = segment_compare(totals.join(scores, "listing_id"), "avg_price", means)
-    return as_report(stats, "avg_price", *means)
+    return as_report(stats.withColumn("avg_price", six_digits("avg_price")), "avg_price", *means)
 
 
 def listing_stats_by_price_bin(market: Market) -> DataFrame:
     """Number of listings, occupancy and scores of the three price bins."""
     totals, scores = _priced_listings(market)
-    binned = tercile_bin(settled(totals, "listing_prices"), "avg_price", "avg_price_bin")
+    binned = tercile_bin(totals.withColumn("avg_price", six_digits("avg_price")), "avg_price", "avg_price_bin")
     means = {"avg_occupancy_rate": "occupancy_rate"}
     means |= {f"average_review_score_{s}": f"review_scores_{s}" for s in BIN_SCORES}
     stats = segment_compare(
@@ -265,11 +272,13 @@ def _price_changes(market: Market, days: Column) -> DataFrame:
 
 def daily_price_changes(market: Market) -> DataFrame:
     """Listings with the five highest numbers of price changes, all ties kept."""
-    changes = settled(_price_changes(market, F.lit(DAYS_PER_YEAR)), "changing_listings")
+    changes = _price_changes(market, F.lit(DAYS_PER_YEAR))
     top = top_n_per_group(changes, [], [desc("n_price_changes")], TOP_CHANGING).drop("rnk")
-    places = market.listings.select("id", "neighbourhood", "review_scores_rating")
+    places = market.listings.select(
+        "id", F.col("id").alias("listing_id"), "neighbourhood", "review_scores_rating"
+    )
     return as_report(
-        top.join(places, top.listing_id == places.id),
+        _placed(top, places),
         "listing_id", "n_price_changes", "pct_of_daily_price_diffs", "avg_price", "id",
         "neighbourhood", "review_scores_rating",
     )

@@ -23,8 +23,10 @@ def load_market(
     in :mod:`roomledger.operators.cleaning`.
     """
     days = clean_calendar(read_calendar(spark, calendar, partitions), strict)
+    raw = read_listings(spark, listings, partitions)
     return Market(
-        listings=clean_listings(read_listings(spark, listings, partitions), days, strict),
+        listings=clean_listings(raw, days, strict),
         calendar=days,
         reviews=clean_reviews(read_reviews(spark, reviews, partitions)),
+        listings_from=lambda calendar: clean_listings(raw, calendar, strict),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -16,12 +17,15 @@ class Market:
 
     ``month_totals`` may hold the calendar totals per listing and month name, prepared
     once for many reports. It has at most twelve rows per listing instead of one per day.
+    ``listings_from`` may make the listings from a calendar that is already prepared, so
+    that a full run does not read the raw calendar once more for their prices.
     """
 
     listings: DataFrame
     calendar: DataFrame
     reviews: DataFrame
     month_totals: DataFrame | None = None
+    listings_from: Callable[[DataFrame], DataFrame] | None = None
 
     def totals_per_listing(self) -> DataFrame:
         if self.month_totals is None:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roomledger.functions.dates import season_of
-from roomledger.functions.numbers import mean_of, money, percent, rounded
+from roomledger.functions.numbers import mean_money, mean_of, money, percent, rounded
 from roomledger.operators.comparing import (
     deviation_from_mean,
     diff_from_reference_group,
@@ -18,7 +18,6 @@ from roomledger.operators.metrics import calendar_totals, mean_price, occupancy,
 from roomledger.operators.quantiles import quantile_bin, tercile_bin
 from roomledger.operators.ranking import desc, global_dense_rank
 from roomledger.plans.market import Market, as_report
-from roomledger.sources.scratch import settled
 
 # Fixed values of the reports.
 MONTHS_PER_YEAR = 12
@@ -29,7 +28,7 @@ GROUP_SCORES = ("rating", "cleanliness", "checkin", "communication")
 def average_price(market: Market) -> DataFrame:
     """Mean listing price per neighbourhood, highest first."""
     prices = market.listings.groupBy("neighbourhood").agg(
-        rounded(F.avg(money("price"))).alias("average_price")
+        rounded(mean_money("price")).alias("average_price")
     )
     return as_report(prices, "neighbourhood", "average_price").orderBy(F.desc("average_price"))
 
@@ -137,7 +136,7 @@ def review_distribution_by_neighbourhood(market: Market) -> DataFrame:
         .groupBy("neighbourhood")
         .agg(F.sum("__n").alias("n_reviews"), F.count_distinct("id").alias("n_listings"))
     )
-    ranked = global_dense_rank(settled(totals, "reviewed_neighbourhoods"), [desc("n_reviews")])
+    ranked = global_dense_rank(totals, [desc("n_reviews")])
     return ranked.select(
         "neighbourhood", "n_listings", "n_reviews", "rnk"
     )
@@ -151,7 +150,7 @@ def _amenity_totals(market: Market) -> DataFrame:
         F.count(price).alias("__prices"),
         F.count(F.lit(1)).alias("__listings"),
     )
-    return settled(totals, "neighbourhood_amenities")
+    return totals
 
 
 def amenity_clusters(market: Market) -> DataFrame:
@@ -229,7 +228,7 @@ def neighbourhood_group_performance(market: Market) -> DataFrame:
         )
     )
     ranked = global_dense_rank(
-        settled(groups, "neighbourhood_groups"), [desc("total_revenue")], "revenue_rank"
+        groups, [desc("total_revenue")], "revenue_rank"
     )
     return as_report(
         ranked,
@@ -259,7 +258,7 @@ def property_type_trends(market: Market) -> DataFrame:
         types, "avg_price", SCORE_WEIGHTS, "performance_score", "price_to_performance_ratio"
     )
     ranked = global_dense_rank(
-        settled(scored, "property_types"), [desc("price_to_performance_ratio")], "rank"
+        scored, [desc("price_to_performance_ratio")], "rank"
     )
     return as_report(
         ranked, "property_type", *means, "performance_score", "price_to_performance_ratio", "rank"

@@ -12,7 +12,6 @@ from roomledger.plans import host_reports as hosts
 from roomledger.plans import listing_reports as listings
 from roomledger.plans import neighbourhood_reports as places
 from roomledger.plans.market import Market
-from roomledger.sources.scratch import release_scratch
 from roomledger.sources.writers import write_report
 
 
@@ -79,7 +78,6 @@ def run_reports(
     format: str = "csv",
     mode: str = "overwrite",
     staging_uri: str | None = None,
-    release: bool = False,
 ) -> list[str]:
     """Write the named reports (by default all of :data:`REPORTS`) under ``out_uri``.
 
@@ -87,8 +85,7 @@ def run_reports(
     and serve every report until the last one is written. With ``staging_uri`` they
     become Parquet tables there, which survive the loss of executors and let each report
     read only its columns; otherwise they are persisted. Bounded reports are one file
-    each. ``release`` deletes the scratch tables of this process at the end. Returns the
-    written locations.
+    each. Returns the written locations.
     """
     chosen = list(REPORTS) if names is None else list(names)
     unknown = [n for n in chosen if n not in ALL_REPORTS]
@@ -104,11 +101,10 @@ def run_reports(
 
     written = []
     try:
-        ready = Market(
-            prepared("listings", market.listings),
-            prepared("calendar", market.calendar),
-            prepared("reviews", market.reviews),
-        )
+        # The calendar first: the prices of the listings may be filled from it.
+        calendar = prepared("calendar", market.calendar)
+        listings = market.listings if market.listings_from is None else market.listings_from(calendar)
+        ready = Market(prepared("listings", listings), calendar, prepared("reviews", market.reviews))
         ready = replace(ready, month_totals=prepared("month_totals", ready.totals_per_month()))
         for name in chosen:
             report = ALL_REPORTS[name]
@@ -116,8 +112,6 @@ def run_reports(
             write_report(report.build(ready), target, format, mode, single_file=report.bounded)
             written.append(target)
     finally:
-        if release:
-            release_scratch(market.calendar.sparkSession)
         for df in held:
             df.unpersist()
     return written

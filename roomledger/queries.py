@@ -11,14 +11,14 @@ from pyspark.sql.types import StructType
 from roomledger import bindings, schemas
 from roomledger.bindings import table
 from roomledger.functions.dates import month_key, month_label, season_of
-from roomledger.functions.numbers import mean_of, money, rounded
+from roomledger.functions.numbers import mean_money, mean_of, money, rounded, six_digits
 from roomledger.functions.text import clean_text, list_size
 from roomledger.operators import cleaning, comparing, metrics, quantiles, ranking
 from roomledger.operators.ranking import asc, desc
 from roomledger.plans.market import Market, as_report
 from roomledger.plans.registry import ALL_REPORTS
 from roomledger.sources import readers
-from roomledger.sources.scratch import scratch_path, settled
+from roomledger.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -180,8 +180,7 @@ def occupancy_rate(spark, sf_dir):
 def _quantile_bin(bin_values) -> Query:
     def query(spark, sf_dir):
         totals = metrics.calendar_totals(bindings.calendar(spark, sf_dir), "listing_id")
-        prices = totals.select("listing_id", metrics.mean_price().alias("avg_price"))
-        prices = settled(prices, "listing_prices")
+        prices = totals.select("listing_id", six_digits(metrics.mean_price()).alias("avg_price"))
         return as_report(bin_values(prices, "avg_price"), "listing_id", "avg_price", "avg_price_bin")
 
     return query
@@ -233,7 +232,7 @@ def spread_by_group(spark, sf_dir):
     prices = (
         table(spark, sf_dir, "orders")
         .groupBy("o_orderpriority", "o_orderstatus")
-        .agg(rounded(F.avg(money("o_totalprice"))).alias("avg_price"))
+        .agg(rounded(mean_money("o_totalprice")).alias("avg_price"))
     )
     spread = comparing.spread_by_group(prices, "o_orderpriority", "avg_price", "price_spread")
     return as_report(spread, "o_orderpriority", "o_orderstatus", "avg_price", "price_spread")
@@ -262,7 +261,7 @@ def diff_from_reference_group(spark, sf_dir):
     balances = (
         table(spark, sf_dir, "customer")
         .groupBy("c_mktsegment")
-        .agg(rounded(F.avg(money("c_acctbal"))).alias("avg_balance"))
+        .agg(rounded(mean_money("c_acctbal")).alias("avg_balance"))
     )
     compared = comparing.diff_from_reference_group(
         balances, "c_mktsegment", "avg_balance", "BUILDING", "diff_from_building"
@@ -274,7 +273,7 @@ def weighted_score_ratio(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
         rounded(F.avg("l_quantity")).alias("avg_quantity"),
         rounded(F.avg(F.col("l_discount") * 100)).alias("avg_discount"),
-        rounded(F.avg(money("l_extendedprice"))).alias("avg_price"),
+        rounded(mean_money("l_extendedprice")).alias("avg_price"),
     )
     weights = {"avg_quantity": "0.6", "avg_discount": "0.4"}
     scored = comparing.weighted_score_ratio(lines, "avg_price", weights, "score", "price_per_score")

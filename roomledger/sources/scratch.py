@@ -1,39 +1,21 @@
-"""Intermediate tables in the shared scratch folder of the cluster."""
+"""Where queries keep files that they write and read again."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
-_written: list[str] = []
-
-
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path under ``spark.checkpoint.dir``, or the temporary folder where that is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    path = f"{folder}/roomledger-{uuid.uuid4().hex}-{label}"
-    _written.append(path)
-    return path
-
-
-def release_scratch(spark: SparkSession) -> None:
-    """Delete the scratch tables of this process; call it once their results are written."""
-    while _written:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def scratch_folder(spark: SparkSession) -> str:
+    """A folder that the driver and all executors see.
 
+    ``spark.checkpoint.dir`` of the session; where that is unset, the warehouse of the
+    session, which executors share as well. Never a temporary folder of one machine.
+    """
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
 
-def settled(df: DataFrame, label: str) -> DataFrame:
-    """The rows of ``df`` as a written table.
 
-    For a small result of a large aggregation that several branches of a plan need, each
-    with other columns: without it every branch would scan and aggregate the large table
-    again. The table also survives the loss of executors.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder."""
+    return f"{scratch_folder(spark)}/roomledger-{uuid.uuid4().hex}-{label}"

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roomledger.functions.dates import month_key, month_label, season_of
-from roomledger.functions.numbers import rounded
+from roomledger.functions.numbers import mean_of, percent, rounded
 from roomledger.operators import comparing, metrics, quantiles
 
 DDL = "listing_id bigint, date date, available boolean, price decimal(18,2)"
@@ -227,3 +227,44 @@ def test_weighted_mean_equals_mean_of_repeated_rows(spark):
 def test_missing_reference_group(spark):
     df = spark.createDataFrame([("a", Decimal(2))], "g string, v decimal(18,2)")
     assert comparing.diff_from_reference_group(df, "g", "v", "Low", "d").collect() == [("a", Decimal(2), None)]
+
+
+def test_percent_is_rounded_once(spark):
+    counts = [(50, 101), (107, 366), (290, 366), (0, 7), (7, 7), (1, 0), *((n, d) for d in (199, 365, 366, 8000) for n in range(0, d + 1, 7))]
+    df = spark.createDataFrame(counts, "n bigint, d bigint")
+    for r in df.select("n", "d", percent(F.col("n"), F.col("d")).alias("p")).collect():
+        exact = r.d and (Decimal(100 * r.n) / r.d).quantize(Decimal("0.01"), ROUND_HALF_UP)
+        assert r.p == (exact if r.d else None), (r.n, r.d)
+    by_hand = {(r.n, r.d): str(r.p) for r in df.limit(3).select("n", "d", percent(F.col("n"), F.col("d")).alias("p")).collect()}
+    assert by_hand == {(50, 101): "49.50", (107, 366): "29.23", (290, 366): "79.23"}
+
+
+def test_means_that_differ_in_the_eighth_digit_rank_apart(spark):
+    """More than a hundred prices each; the sums differ by one cent over a million rows."""
+    df = spark.createDataFrame([(1, Decimal("100000.00"), 1_000_000), (2, Decimal("100000.01"), 1_000_000)], "id int, total decimal(28,2), n bigint")
+    means = [r.m for r in df.select(mean_of("total", "n").alias("m")).collect()]
+    assert means[0] < means[1] and round(means[0], 7) == round(means[1], 7)
+
+
+def test_mean_of_many_rows_is_exact(spark):
+    draw = random.Random(11)
+    rows = [(g, Decimal(draw.randrange(1, 90_000)) / 100) for g in range(6) for _ in range(151 + 13 * g)]
+    df = spark.createDataFrame(rows, "g int, v decimal(18,2)")
+    for r in comparing.segment_compare(df, "g", {"m": "v"}).collect():
+        values = [v for g, v in rows if g == r.g]
+        assert r.m == (sum(values) / len(values)).quantize(Decimal("0.01"), ROUND_HALF_UP)
+
+
+def test_values_that_are_there_are_not_rounded(spark):
+    df = spark.createDataFrame([(1, Decimal("4.735")), (2, None)], "id int, rating decimal(5,3)")
+    medians = spark.createDataFrame([(1, Decimal("1.00")), (2, Decimal("3.25"))], "k int, m decimal(18,2)")
+    filled = metrics.impute_from_group_median(df, "id", "rating", medians).orderBy("id")
+    assert [r.rating for r in filled.collect()] == [Decimal("4.735"), Decimal("3.250")]
+
+
+def test_imputation_keeps_the_chosen_columns(spark):
+    listings = spark.createDataFrame([(1, None, "x", "y"), (2, Decimal("5.00"), "p", "q")], "id bigint, price decimal(18,2), a string, b string")
+    days = spark.createDataFrame([(1, Decimal("3.00")), (2, Decimal("9.00"))], "listing_id bigint, price decimal(18,2)")
+    filled = metrics.impute_prices(listings, days, columns=["id", "price", "b"]).orderBy("id")
+    assert filled.columns == ["id", "b", "price"]
+    assert [r.price for r in filled.collect()] == [Decimal("3.00"), Decimal("5.00")]

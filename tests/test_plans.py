@@ -30,3 +30,20 @@ def test_days_are_aggregated_before_they_are_joined(spark):
     join = text.index("Join")
     assert "partial_sum" in text[join:]
     assert text.count("l_extendedprice") and text.index("l_extendedprice") > join
+
+
+def scans(df, column: str) -> int:
+    """Scans of a table that run, by a column that they read; reused shuffles do not scan."""
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    final = text.split("+- == Initial Plan ==")[0]
+    return sum(f"struct<{column}" in line or f",{column}:" in line for line in final.splitlines() if "FileScan" in line)
+
+
+@pytest.mark.parametrize(
+    "name", ["top_5_listings_by_avg_price", "occupancy_rate_per_month", "daily_price_changes"]
+)
+def test_the_calendar_is_scanned_once(spark, name):
+    """Ranks and rows come from one shuffle of the days; the reviews are another scan."""
+    df = QUERIES[name](spark, SF_DIR)
+    assert scans(df, "l_extendedprice" if name != "occupancy_rate_per_month" else "l_linestatus") == 1

@@ -12,7 +12,6 @@ from roomledger.plans.load import load_market
 from roomledger.plans.registry import ALL_REPORTS, REPORTS, run_reports
 from roomledger.queries import _exported
 from roomledger.sources import readers, scratch
-from roomledger.sources.scratch import settled
 from roomledger.sources.writers import write_report
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -71,22 +70,27 @@ def test_existing_target_is_an_error_when_asked_for(spark, tmp_path):
         write_report(spark.range(1), f"{tmp_path}/r", format="parquet", mode="error")
 
 
-def test_settled_table_keeps_rows_and_types(spark):
-    df = spark.sql("SELECT 1.25BD AS d, array('a') AS a, CAST(NULL AS date) AS n")
-    table = settled(df, "t")
-    assert table.dtypes == df.dtypes and table.collect() == df.collect()
+def test_scratch_is_in_a_shared_folder(spark):
+    class Session:
+        def __init__(self, settings):
+            self.conf = settings
 
+    own = {"spark.sql.warehouse.dir": "hdfs://n/w"}
+    assert scratch.scratch_path(Session(own), "t").startswith("hdfs://n/w/")
+    own["spark.checkpoint.dir"] = "hdfs://n/c"
+    assert scratch.scratch_path(Session(own), "t").startswith("hdfs://n/c/")
+    assert scratch.scratch_path(Session(own), "t") != scratch.scratch_path(Session(own), "t")
 
-def test_released_scratch_tables_are_gone(spark, tmp_path):
+
+@pytest.mark.parametrize("name", ALL_REPORTS)
+def test_no_job_starts_while_a_report_is_built(spark, name):
     market = bindings.market(spark, SF_DIR)
-    before = len(scratch._written)
-    ALL_REPORTS["top_five_host_avgs"].build(market)
-    made = scratch._written[before:]
-    kept, scratch._written[:before] = scratch._written[:before], []
-    assert made and all(Path(p).exists() for p in made)
-    run_reports(market, f"{tmp_path}/out", ["top_five_host_avgs"], release=True)
-    assert not any(Path(p).exists() for p in made) and not scratch._written
-    scratch._written.extend(kept)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", name)
+    before = len(tracker.getJobIdsForGroup("building"))
+    ALL_REPORTS[name].build(market)
+    assert len(tracker.getJobIdsForGroup("building")) == before
+    spark.sparkContext.setJobGroup("other", "")
 
 
 @pytest.mark.parametrize("staged", [False, True])
