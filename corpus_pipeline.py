@@ -6,12 +6,10 @@ again as the documents of the next one.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from roomledger.llm import packing, quality, simhash, toxicity
-from roomledger.llm.common import read, shared_folder
+from roomledger.llm.common import read
 from roomledger.llm.queries import (
     PACKING_TOKENIZER,
     QUALITY_CUT,
@@ -20,6 +18,7 @@ from roomledger.llm.queries import (
     quality_held_out,
     toxicity_held_out,
 )
+from roomledger.sources.scratch import scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -63,7 +62,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; every result but the last is a table in the shared folder."""
     docs = read(spark, sf_dir, "documents")
-    folder = f"{shared_folder(spark)}/roomledger-{uuid.uuid4().hex}-pipeline"
+    folder = scratch_path(spark, "pipeline")
     for number, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if number < len(STAGES) - 1:

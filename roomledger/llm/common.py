@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roomledger.sources.scratch import scratch_path
+
 # Labelled rows that a classifier is fitted on, at most. Taken by the hash of their id.
 LABEL_SAMPLE = 20_000
 
@@ -17,26 +16,15 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
-
-    ``spark.checkpoint.dir`` of the session. Where it is unset, as in tests on one machine,
-    it is set to a new temporary folder.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = f"file://{tempfile.mkdtemp(prefix='roomledger-')}"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows of ``df`` as a table in the shared folder.
 
-    Cuts the lineage: the loss of an executor after the write costs nothing.
+    Cuts the lineage: the loss of an executor after the write costs nothing. The folder is
+    that of ``spark.checkpoint.dir``, or the warehouse where that is unset; what is left in it
+    (``roomledger-*``) can be deleted once the results are written.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/roomledger-{uuid.uuid4().hex}-{label}"
+    path = scratch_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
