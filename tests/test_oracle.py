@@ -33,3 +33,8 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
+
+
+def test_other_queries_work_without_the_text_operators(monkeypatch):
+    monkeypatch.setattr(driver, "llm", None)
+    assert set(driver.queries()) == set(QUERIES) and set(driver.oracle_sql()) == set(ORACLE_SQL)
