@@ -28,7 +28,8 @@ from roomledger.llm.common import whole_texts
 TIERS = (256, 512, 1024, 2048)
 BUFFER_TOKENS = 1 << 20
 SLOTS_PER_STEP = 8
-CACHED_WORDS = 600_000
+CACHED_WORDS = 900_000
+CACHED_LETTERS = 500_000
 END_ID = 1
 
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier long, step_group long"
@@ -95,7 +96,7 @@ class WordEncoder:
             if len(self.words) + len(new) > CACHED_WORDS:
                 self.words.clear()
                 new = set(words)
-            if len(self.letters) + len(self.marks) > CACHED_WORDS:
+            if len(self.letters) + len(self.marks) > CACHED_LETTERS:
                 self.letters.clear()
                 self.marks.clear()
             self._learn(sorted(new))
