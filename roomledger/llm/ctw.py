@@ -38,7 +38,7 @@ DEPTH = 5
 #: Depth at which the tree is cut into parts; above it there are at most 256 contexts.
 LOW = 2
 END = b"\n"
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 18 << 20
 BYTES_AT_ONCE = 1 << 20
 KEYS_PER_PART = 50_000
 LOG2 = math.log(2)
