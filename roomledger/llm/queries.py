@@ -111,4 +111,57 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_hnsw_shards": op10_hnsw_shards,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+
+def _urn(text: str) -> str:
+    h = f"md5({text})"
+    parts = ", ".join(f"substr({h}, {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
+    return f"'<urn:uuid:' || concat_ws('-', {parts}) || '>'"
+
+
+def _warc_sql() -> str:
+    """The records of the pages in SQL; a line end is chr(13) || chr(10)."""
+    line = "chr(13) || chr(10)"
+    head = f" || {line} || ".join([*(f"'{h}'" for h in WARC_HEADERS), "''"]) + f" || {line}"
+    text = "payload"
+    for pattern, to in (
+        (r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->|<head[^>]*>.*?</head>", "' '"),
+        (r"(?i)</?(p|div|br|li|ul|ol|h[1-6]|tr|table|nav|article|section|footer|header|body|html)\b[^>]*>", "chr(10)"),
+        (r"<[^>]*>", "''"),
+    ):
+        text = f"regexp_replace({text}, '{pattern}', {to}, 'g')"
+    for entity, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+        text = f"replace({text}, '{entity}', '{sign}')"
+    text = f"regexp_replace({text}, '[ \\t\\r]+', ' ', 'g')"
+    text = f"regexp_replace({text}, ' ?\\n[ \\n]*', chr(10), 'g')"
+    fields = {
+        "sourceContentLength": "CAST(strlen(source) AS VARCHAR)",
+        "sourceContentType": "'application/http; msgtype=response'",
+        "sourceBlockDigest": "'sha256:' || sha256(source)",
+        "payloadLength": "CAST(strlen(payload) AS VARCHAR)",
+        "title": r"trim(regexp_replace(regexp_extract(payload, '(?is)<title[^>]*>(.*?)</title>', 1), '\s+', ' ', 'g'), ' ')",
+        "language": r"""regexp_extract(payload, '(?i)<html[^>]*\blang="([^"]*)"', 1)""",
+        "outlinks": r"CAST(len(regexp_extract_all(payload, '(?i)<a\s[^>]*href=')) AS VARCHAR)",
+    }
+    block = " || ".join([f"'{k}: ' || {v} || {line}" for k, v in fields.items()] + [f"'sourceHeader: {h}' || {line}" for h in WARC_HEADERS])
+    ends = "chr(10)"
+    response = _urn(f"concat_ws({ends}, 'response', COALESCE(CAST(page_id AS VARCHAR), ''), COALESCE(url, ''), '{WARC_DATE}')")
+    own = _urn(f"concat_ws({ends}, record_type, refers_to)")
+    return f"""
+WITH replies AS (
+  SELECT page_id, COALESCE(url, '') AS target_uri, COALESCE(html, '') AS payload, {response} AS refers_to,
+         {head} || COALESCE(html, '') AS source
+  FROM pages),
+made AS (
+  SELECT *, 'metadata' AS record_type, 'application/warc-fields' AS content_type, {block} AS block FROM replies
+  UNION ALL
+  SELECT *, 'conversion' AS record_type, 'text/plain' AS content_type, trim({text}, ' ' || chr(10)) AS block FROM replies)
+SELECT page_id, record_type, {own} AS record_id, '{WARC_DATE}' AS date, target_uri, refers_to,
+       target_uri AS refers_to_target_uri, '{WARC_DATE}' AS refers_to_date,
+       'sha256:' || sha256(payload) AS payload_digest, 'sha256:' || sha256(block) AS block_digest,
+       content_type, CAST(strlen(block) AS BIGINT) AS content_length, block
+FROM made"""
+
+
+# The other operators fit models, hash with XXH64, tokenize or search a graph; SQL cannot say
+# that, so the tests compare them with brute force.
+ORACLE_SQL: dict[str, str] = {"op7_warc_derivatives": _warc_sql()}

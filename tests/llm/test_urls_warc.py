@@ -2,13 +2,14 @@ import gzip
 import hashlib
 import math
 import random
+import sys
 from itertools import product
 from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from roomledger.llm import urls, warc
-from roomledger.llm.queries import URL_RULES, WARC_DATE, WARC_HEADERS, op1_host_words, op7_warc_derivatives
+from roomledger.llm.queries import ORACLE_SQL, URL_RULES, WARC_DATE, WARC_HEADERS, op1_host_words, op7_warc_derivatives
 
 PAGES = "page_id long, url string, html string, host string, block string"
 
@@ -170,6 +171,13 @@ def test_text_and_metadata(spark):
     assert rows[None, "conversion"]["block"] == "long"
 
 
+def test_records_equal_sql(spark, sf_dir):
+    sys.path.insert(0, str(Path(__file__).parents[1]))
+    from oracle_check import connect, differences
+
+    assert differences(op7_warc_derivatives(spark, sf_dir), connect(sf_dir), ORACLE_SQL["op7_warc_derivatives"]) is None
+
+
 def test_whole_table_of_pages(spark, sf_dir):
     rows = op7_warc_derivatives(spark, sf_dir).collect()
     assert len(rows) == 500
