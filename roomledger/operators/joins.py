@@ -7,11 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than 1/HOT_KEY_LIMIT of all rows, so there are fewer
-# than HOT_KEY_LIMIT hot keys whatever the data looks like.
+# A key is hot when it holds more than 1/limit of all rows, so there are fewer than that many
+# hot keys whatever the data looks like. The limit follows the number of shuffle partitions:
+# a key that is not hot is a quarter of an even partition at most.
 HOT_KEY_LIMIT = 1024
 
 
+def hot_key_limit(df: DataFrame) -> int:
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(HOT_KEY_LIMIT, 4 * partitions)
+
+
 def null_safe_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner"
 ) -> DataFrame:
@@ -60,11 +66,11 @@ def split_join(
     """Join ``left`` with ``right``, which holds at most one row per key.
 
     Rows of hot keys meet their partner through a broadcast of fewer than
-    ``HOT_KEY_LIMIT`` rows and then travel spread over all tasks of the shuffle; all other
+    ``hot_key_limit`` rows and then travel spread over all tasks of the shuffle; all other
     rows take the ordinary shuffle join, where no key is hot. The two parts together
     are the whole join: nothing is dropped or capped.
 
-    Null keys never match. ``how`` is ``inner`` or ``left``.
+    Null keys never match; their rows are spread over all tasks as well. ``how`` is ``inner`` or ``left``.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"split_join supports inner and left joins, not {how!r}")
@@ -73,7 +79,7 @@ def split_join(
     if how == "inner":
         left = left.dropna(subset=on)
     counts = left.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
-    threshold = counts.agg((F.sum("__n") / HOT_KEY_LIMIT).alias("rows")).scalar()
+    threshold = counts.agg((F.sum("__n") / hot_key_limit(left)).alias("rows")).scalar()
     hot_keys = counts.filter(F.col("__n") > threshold).select(*on)
 
     partners = right.select(*on, F.struct(F.lit(True).alias("__found"), *payload).alias("__cold"))
@@ -81,8 +87,9 @@ def split_join(
     hot = hot_keys.join(hot_partners, on, "left").selectExpr(
         *on, "__cold AS __hot", "TRUE AS __is_hot"
     )
+    without_key = " OR ".join(f"`{c}` IS NULL" for c in on)
     routed = left.join(F.broadcast(hot), on, "left").withColumn(
-        "__slot", F.expr(left_slot(left.columns, on, "__is_hot"))
+        "__slot", F.expr(left_slot(left.columns, on, f"__is_hot OR {without_key}"))
     )
     cold = partners.withColumn("__slot", F.expr(right_slot(on)))
     joined = routed.join(cold, [*on, "__slot"], "left")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roomledger.operators.joins import HOT_KEY_LIMIT, all_columns, left_slot, null_safe_join, right_slot
+from roomledger.operators.joins import all_columns, hot_key_limit, left_slot, null_safe_join, right_slot
 
 # Ranks are built digit by digit. A digit has 2**DIGIT_BITS values, which bounds the
 # rows any single task sorts.
@@ -142,7 +142,7 @@ def global_dense_rank(
     values (``max_distinct``) is a single digit.
 
     Ranks then find their rows by a join, in which a value shared by very many rows is
-    handled apart: fewer than ``HOT_KEY_LIMIT`` such ranks are broadcast.
+    handled apart: fewer than ``hot_key_limit`` such ranks are broadcast.
     """
     coded = _coded(df, order, "__k")
     # A group column that may be null becomes a key that is not.
@@ -203,7 +203,7 @@ def _attach_rank(
         found = F.broadcast(ranks.selectExpr(*key, f"__rank AS `{rank_col}`"))
         return rows.join(found, key)
     # Both sides read the same columns, so that their shuffles are one.
-    is_hot = F.col("__rows") * HOT_KEY_LIMIT > F.col("__total")
+    is_hot = F.col("__rows") * hot_key_limit(rows) > F.col("__total")
     hot = ranks.filter(is_hot).selectExpr(*key, "__rank AS __hot_rank")
     slot = left_slot(rows.columns, key, "__hot_rank IS NOT NULL")
     routed = rows.join(F.broadcast(hot), key, "left").selectExpr("*", f"{slot} AS __slot")

@@ -170,6 +170,26 @@ def test_split_join_leaves_no_full_task(spark, one_hot_key):
     assert largest_task(spark, joins.split_join(one_hot_key, right, ["k"])) < 8000
 
 
+def test_null_keys_leave_no_full_task(spark, one_hot_key):
+    """Half of the rows have no key; they are kept, without a partner, and spread."""
+    left = one_hot_key.selectExpr("CASE WHEN k = 7 THEN NULL ELSE k END AS k", "t")
+    right = spark.range(5000).selectExpr("id AS k", "id AS p")
+    joined = joins.split_join(left, right, ["k"], "left")
+    assert largest_task(spark, joined) < 8000
+    without = left.filter("k IS NULL").count()
+    assert joined.count() == 40000 and joined.filter("p IS NULL").count() == without
+
+
+def test_hot_keys_follow_the_shuffle_partitions(spark):
+    df, before = spark.range(1), spark.conf.get("spark.sql.shuffle.partitions")
+    assert joins.hot_key_limit(df) == 1024
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "5000")
+        assert joins.hot_key_limit(df) == 20000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_rank_leaves_no_full_task(spark, one_hot_key):
     assert largest_task(spark, ranking.global_dense_rank(one_hot_key, [desc("k")])) < 8000
 
