@@ -437,6 +437,17 @@ SELECT property_type, {_d('rating')} AS avg_review_score_rating, {_d('occupancy'
 FROM ratios"""),
 }
 
+# The same with the months of different years apart.
+REPORT_SQL |= {
+    name: REPORT_SQL[of].replace("monthname(date)", "strftime(date, '%Y-%m')")
+    for name, of in {
+        "top_5_listings_by_avg_price_per_year_month": "top_5_listings_by_avg_price",
+        "most_reviewed_listings_per_year_month": "most_reviewed_listings",
+        "monthly_revenue_per_neighbourhood_and_year_month": "monthly_revenue_per_neighbourhood",
+        "host_verification_performance_per_year_month": "host_verification_performance",
+    }.items()
+}
+
 # Raw text tables.
 
 

@@ -139,9 +139,9 @@ def host_response_stats_per_listing(market: Market) -> DataFrame:
     return _response_stats(market, weight=None)
 
 
-def verification_performance(market: Market) -> DataFrame:
+def verification_performance(market: Market, month_grain: str = "name") -> DataFrame:
     """Monthly occupancy, revenue and bookings of every host and whether it is verified."""
-    monthly = market.totals_per_month().withColumns(
+    monthly = market.totals_per_month(month_grain).withColumns(
         {"occupancy_rate": occupancy(), "revenue": revenue()}
     )
     per_listing = monthly.groupBy("listing_id").agg(

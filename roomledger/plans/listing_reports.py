@@ -129,13 +129,13 @@ def occupancy_per_month_exact(market: Market, month_grain: str = "name") -> Data
     )
 
 
-def _monthly_counts_of_reviewed(market: Market, enough: Column) -> DataFrame:
+def _monthly_counts_of_reviewed(market: Market, enough: Column, month_grain: str) -> DataFrame:
     """Monthly review counts of the listings whose ``total`` is enough."""
     # The total of a listing is the sum over its months, so reviews are read once.
     year = Window.partitionBy("listing_id")
     return (
         market.reviews_per_month(
-            F.count("id").alias("review_count"), F.count(F.lit(1)).alias("__rows")
+            F.count("id").alias("review_count"), F.count(F.lit(1)).alias("__rows"), grain=month_grain
         )
         .withColumn("total", F.sum("__rows").over(year))
         .filter(enough)
@@ -143,10 +143,10 @@ def _monthly_counts_of_reviewed(market: Market, enough: Column) -> DataFrame:
     )
 
 
-def most_reviewed_listings(market: Market) -> DataFrame:
+def most_reviewed_listings(market: Market, month_grain: str = "name") -> DataFrame:
     """The ten highest review counts of each month among listings with over 20 reviews."""
     top = top_n_per_group(
-        _monthly_counts_of_reviewed(market, F.col("total") > REVIEWS_TO_RANK),
+        _monthly_counts_of_reviewed(market, F.col("total") > REVIEWS_TO_RANK, month_grain),
         ["month"],
         [desc("review_count")],
         TOP_REVIEWED,
@@ -158,10 +158,10 @@ def most_reviewed_listings(market: Market) -> DataFrame:
     )
 
 
-def most_reviewed_listings_exact(market: Market) -> DataFrame:
+def most_reviewed_listings_exact(market: Market, month_grain: str = "name") -> DataFrame:
     """Exactly ten listings per month among those with at least 20 reviews."""
     top = top_n_per_group(
-        _monthly_counts_of_reviewed(market, F.col("total") >= REVIEWS_TO_RANK),
+        _monthly_counts_of_reviewed(market, F.col("total") >= REVIEWS_TO_RANK, month_grain),
         ["month"],
         [desc("review_count"), asc("listing_id")],
         TOP_REVIEWED,

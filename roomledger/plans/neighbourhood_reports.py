@@ -73,9 +73,9 @@ def most_active_hosts_by_host(market: Market) -> DataFrame:
     ).orderBy(F.desc("n_hosts"), "neighbourhood")
 
 
-def _monthly_revenue(market: Market) -> DataFrame:
+def _monthly_revenue(market: Market, month_grain: str = "name") -> DataFrame:
     """Booked revenue per neighbourhood and month."""
-    booked = market.totals_per_month().filter("n_booked > 0")
+    booked = market.totals_per_month(month_grain).filter("n_booked > 0")
     places = market.listings.filter(F.col("neighbourhood").isNotNull()).select("id", "neighbourhood")
     return (
         booked.join(places, F.col("listing_id") == F.col("id"))
@@ -84,7 +84,7 @@ def _monthly_revenue(market: Market) -> DataFrame:
     )
 
 
-def monthly_revenue(market: Market) -> DataFrame:
+def monthly_revenue(market: Market, month_grain: str = "name") -> DataFrame:
     """Revenue per neighbourhood and month with the neighbourhood's variance figure.
 
     The figure is the squared gap between the sum and the mean of the monthly revenues,
@@ -95,7 +95,7 @@ def monthly_revenue(market: Market) -> DataFrame:
     total = F.sum("total_revenue").over(year).cast("double")
     mean = total / F.count("total_revenue").over(year)
     return (
-        _monthly_revenue(market)
+        _monthly_revenue(market, month_grain)
         .withColumn("__gap", total - mean)
         .select(
             "neighbourhood",
@@ -106,7 +106,7 @@ def monthly_revenue(market: Market) -> DataFrame:
     )
 
 
-def monthly_revenue_deviation(market: Market) -> DataFrame:
+def monthly_revenue_deviation(market: Market, month_grain: str = "name") -> DataFrame:
     """Revenue per neighbourhood and month, its distance from the neighbourhood's mean
     month, and the variance of the months."""
     year = Window.partitionBy("neighbourhood")
@@ -117,7 +117,7 @@ def monthly_revenue_deviation(market: Market) -> DataFrame:
     # Exact until the division: months * squares - total ** 2, in square cents.
     spread = (squares * months).cast("decimal(38,0)") - (total * total).cast("decimal(38,0)")
     deviations = deviation_from_mean(
-        _monthly_revenue(market), "neighbourhood", "total_revenue", "deviation_from_mean"
+        _monthly_revenue(market, month_grain), "neighbourhood", "total_revenue", "deviation_from_mean"
     )
     return as_report(
         deviations.withColumn(

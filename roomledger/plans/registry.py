@@ -53,6 +53,18 @@ EXTRA_REPORTS: dict[str, Report] = {
     "top_5_listings_by_avg_price_intended": Report(listings.top_listings_by_price_exact),
     "occupancy_rate_per_month_intended": Report(listings.occupancy_per_month_exact),
     "occupancy_rate_per_year_month": Report(lambda m: listings.occupancy_per_month(m, "year_month")),
+    "top_5_listings_by_avg_price_per_year_month": Report(
+        lambda m: listings.top_listings_by_price(m, "year_month")
+    ),
+    "most_reviewed_listings_per_year_month": Report(
+        lambda m: listings.most_reviewed_listings(m, "year_month")
+    ),
+    "monthly_revenue_per_neighbourhood_and_year_month": Report(
+        lambda m: places.monthly_revenue(m, "year_month")
+    ),
+    "host_verification_performance_per_year_month": Report(
+        lambda m: hosts.verification_performance(m, "year_month")
+    ),
     "most_reviewed_listings_intended": Report(listings.most_reviewed_listings_exact),
     "top_five_host_avgs_intended": Report(hosts.top_host_averages_exact, bounded=True),
     "most_active_hosts_per_neighbourhood_intended": Report(places.most_active_hosts_by_host),

@@ -33,6 +33,7 @@ HOST_REPORTS = {
     "host_response_times_stats",
     "host_response_times_stats_intended",
     "host_verification_performance",
+    "host_verification_performance_per_year_month",
 }
 
 
