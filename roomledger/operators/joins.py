@@ -61,7 +61,11 @@ def right_slot(key: Sequence[str]) -> str:
 
 
 def split_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner"
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``left`` with ``right``, which holds at most one row per key.
 
@@ -70,7 +74,8 @@ def split_join(
     rows take the ordinary shuffle join, where no key is hot. The two parts together
     are the whole join: nothing is dropped or capped.
 
-    Null keys never match; their rows are spread over all tasks as well. ``how`` is ``inner`` or ``left``.
+    ``counts`` may hold the keys and, as ``__n``, their rows of ``left``, where the caller has
+    counted them anyway. Null keys never match; their rows are spread over all tasks as well. ``how`` is ``inner`` or ``left``.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"split_join supports inner and left joins, not {how!r}")
@@ -78,7 +83,8 @@ def split_join(
     payload = [c for c in right.columns if c not in on]
     if how == "inner":
         left = left.dropna(subset=on)
-    counts = left.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
+    if counts is None:
+        counts = left.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
     threshold = counts.agg((F.sum("__n") / hot_key_limit(left)).alias("rows")).scalar()
     hot_keys = counts.filter(F.col("__n") > threshold).select(*on)
 

@@ -104,7 +104,9 @@ def _responding_listings(market: Market) -> DataFrame:
 
 def _response_stats(market: Market, weight: str | None) -> DataFrame:
     rated = _responding_listings(market)
-    counts = market.reviews.groupBy("listing_id").agg(F.count(F.lit(1)).alias("__reviews"))
+    # Counted once: for the weights, and to find the listings whose reviews are split.
+    reviewed = market.reviews.filter(F.col("listing_id").isNotNull())
+    counts = reviewed.groupBy("listing_id").agg(F.count(F.lit(1)).alias("__n"))
     means = {"avg_occupancy_rate": "occupancy_rate", "avg_review_score_rating": "review_scores_rating"}
     stats = segment_compare(
         rated.join(counts, "listing_id", "inner" if weight else "left"),
@@ -118,7 +120,7 @@ def _response_stats(market: Market, weight: str | None) -> DataFrame:
         F.collect_set("host_response_time").alias("__segments")
     )
     reviews = (
-        split_join(market.reviews.select("listing_id", "id"), segments, ["listing_id"])
+        split_join(reviewed.select("listing_id", "id"), segments, ["listing_id"], counts=counts)
         .select(F.explode("__segments").alias("host_response_time"), "id")
         .groupBy("host_response_time")
         .agg(F.count_distinct("id").alias("n_reviews"))
@@ -131,7 +133,7 @@ def _response_stats(market: Market, weight: str | None) -> DataFrame:
 
 def host_response_stats(market: Market) -> DataFrame:
     """Occupancy and rating by response time, each listing counted once per review."""
-    return _response_stats(market, weight="__reviews")
+    return _response_stats(market, weight="__n")
 
 
 def host_response_stats_per_listing(market: Market) -> DataFrame:
