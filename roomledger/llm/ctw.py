@@ -312,19 +312,25 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _score_block(docs: pa.Table, features: pa.Table) -> pa.Table:
     is_word = features.column("gram").is_null()
     words, counted = (features.column(c).filter(is_word) for c in ("word", "value"))
-    known = dict(zip((w.as_py() for w in words), counted.to_numpy().tolist()))
+    words = words.combine_chunks()
+    counted = counted.to_numpy()
     is_gram = pa.compute.invert(is_word)
     grams, predictions = (features.column(c).filter(is_gram).to_numpy() for c in ("gram", "value"))
-    del features, words, counted
+    del features
     order = np.argsort(grams)
     grams, predictions = grams[order], predictions[order]
     n_tokens, n_known, base, score, size = [], [], [], [], []
     for _, texts in _portions(docs):
-        for tokens in texts:
-            c = np.array([*map(known.__getitem__, tokens), known[END]])
-            n_tokens.append(len(c))
-            n_known.append(int((c > 0).sum()))
-            base.append(float(np.log10(c + 1).sum()))
+        tokens = pa.array([w for own in texts for w in (*own, END)], pa.binary())
+        places = pa.compute.index_in(tokens, words)
+        if places.null_count:
+            raise ValueError("a block was read with other texts than before")
+        c = counted[places.to_numpy()]
+        lengths = np.array([len(own) + 1 for own in texts])
+        first = np.cumsum(lengths) - lengths
+        n_tokens.extend(lengths.tolist())
+        n_known.extend(np.add.reduceat((c > 0).astype(np.int64), first).tolist())
+        base.extend(np.add.reduceat(np.log10(c + 1), first).tolist())
         keys, valid, begins = packed(texts)
         at = np.minimum(np.searchsorted(grams, keys), len(grams) - 1)
         if (grams[at] != keys)[valid].any():
