@@ -210,3 +210,21 @@ def test_threshold_keeps_good_rows():
     good = np.array([True, True, True, False, False])
     assert anomaly.threshold(scores, good) == pytest.approx(0.5)
     assert anomaly.threshold(scores, ~good, 0.0) > 0.8
+
+
+def test_forest_sees_what_no_rule_names(spark):
+    """Long words and few different ones, with no symbol, capital, bar or repeated line."""
+    draw = np.random.default_rng(5)
+    letters = list("abcdefghijklmnopqrst")
+
+    def text(size, different):
+        words = ["".join(draw.choice(letters, size + int(draw.integers(3)))) for _ in range(different)]
+        return " ".join(draw.choice(words, 120))
+
+    rows = [(i, text(4, 90), 1) for i in range(300)] + [(1000 + i, text(10, 25), 0) for i in range(4)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    table = spark.createDataFrame([(i, y, 0) for i, _, y in rows if i % 2], LABELS)
+    got = anomaly.judge(docs, anomaly.fit(docs, table)).collect()
+    assert not any(r["base_failed"] for r in got)
+    assert len({r["anomaly"] for r in got if r["doc_id"] < 1000}) > 100
+    assert {r["doc_id"] for r in got if not r["kept"]} == {1000 + i for i in range(4)}
