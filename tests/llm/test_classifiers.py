@@ -70,6 +70,18 @@ def test_pairs_are_ranked():
     assert ((strengths >= model.cut) == good).all()
 
 
+def test_a_repeated_bad_row_leaves_the_good_ones(spark):
+    """One labelled bad id stands more often in the documents than the limit allows rows."""
+    bad = "# $ % & " * 20
+    rows = [(i, f"word{i} and other words in a row {i}", 1) for i in range(20)] + [(100 + i, bad + "x" * i, 0) for i in range(5)]
+    table = spark.createDataFrame([(i, y, 0) for i, _, y in rows], LABELS)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows + rows[-1:] * 200], "doc_id long, text string")
+    once = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    model = quality.fit(docs, table, F.lit(False), limit=100)
+    assert all((model.score(t) >= 0.7) == (y == 1) for _, t, y in rows)
+    assert np.array_equal(model.weights, quality.fit(once, table, F.lit(False), limit=100).weights)
+
+
 def test_newton_equals_gradient_descent():
     draw = np.random.default_rng(1)
     x, y = draw.normal(size=(200, 3)), (draw.uniform(size=200) < 0.4).astype(float)
