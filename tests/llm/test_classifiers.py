@@ -240,3 +240,13 @@ def test_forest_sees_what_no_rule_names(spark):
     assert not any(r["base_failed"] for r in got)
     assert len({r["anomaly"] for r in got if r["doc_id"] < 1000}) > 100
     assert {r["doc_id"] for r in got if not r["kept"]} == {1000 + i for i in range(4)}
+
+
+def test_copies_of_a_row_do_not_fill_the_forest(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{i * k}" for k in range(60)), 1) for i in range(20)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows + rows[:1] * 500], "doc_id long, text string")
+    table = spark.createDataFrame([(i, y, 0) for i, _, y in rows], LABELS)
+    grown, grow = [], anomaly.grow
+    monkeypatch.setattr(anomaly, "grow", lambda x: grown.append(len(x)) or grow(x))
+    anomaly.fit(docs, table)
+    assert grown == [20]
