@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomledger.llm import anomaly, ctw, hnsw, packing, pieces, quality, simhash, toxicity, urls, warc
+from roomledger.llm import (
+    alignment,
+    anomaly,
+    ctw,
+    genetic,
+    hnsw,
+    packing,
+    pieces,
+    quality,
+    simhash,
+    toxicity,
+    trie,
+    urls,
+    warc,
+)
 from roomledger.llm.common import read, remainder
 
 TOXICITY_CUT = 0.5
@@ -16,6 +30,7 @@ QUALITY_CUT = quality.CUT_SCORE
 SHINGLE_WORDS = 3
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 PACKING_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def toxicity_held_out() -> Column:
@@ -98,6 +113,20 @@ def op10_hnsw_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.nearest(table, table.where("vec_id % 100 = 0"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sequences = trie.with_shared_heads(trie.turn_sequences(read(spark, sf_dir, "conversations")))
+    nodes, lists = trie.prefix_trie(sequences)
+    return trie.with_digests(nodes, lists)
+
+
+def op12_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return genetic.pack(read(spark, sf_dir, "documents"), BYTE_TOKENIZER)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read(spark, sf_dir, "documents"), BYTE_TOKENIZER, PIECE_MODEL)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_host_words": op1_host_words,
     "op2_isolation_forest": op2_isolation_forest,
@@ -109,6 +138,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bradley_terry": op8_bradley_terry,
     "op9_toxicity_grammar": op9_toxicity_grammar,
     "op10_hnsw_shards": op10_hnsw_shards,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_genetic_packing": op12_genetic_packing,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 
@@ -162,6 +194,42 @@ SELECT page_id, record_type, {own} AS record_id, '{WARC_DATE}' AS date, target_u
 FROM made"""
 
 
+def _trie_sql() -> str:
+    """Every prefix of every rebuilt conversation, grouped; CRC-32 bit by bit."""
+    bit = "lambda x, _: xor(x >> 1, (x & 1) * 3988292384)"
+    byte = f"lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)), {bit})"
+    digits = "list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    crc = f"xor(list_reduce(list_prepend(4294967295, {digits}), {byte}), 4294967295)"
+    return f"""
+WITH own AS (
+  SELECT conv_id, list({{'role': COALESCE(role, ''), 'text': COALESCE(text, '')}} ORDER BY turn NULLS FIRST) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+headed AS (SELECT *, CAST({crc} % 6 AS BIGINT) AS h FROM own),
+rebuilt AS (
+  SELECT c.conv_id, COALESCE(b.turns[1:c.h], []) || c.turns[c.h + 1:len(c.turns)] AS turns
+  FROM headed c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100),
+members AS (
+  SELECT conv_id, d AS depth, turns[1:d] AS path, len(turns) = d AS over
+  FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE over) AS ends
+  FROM members GROUP BY path, depth),
+children AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+counted AS (
+  SELECT n.*, COALESCE(n_children, 0) AS n_children,
+         CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * length(n.path[depth].text) END AS saved
+  FROM nodes n LEFT JOIN children c ON c.path = n.path),
+sums AS (
+  SELECT path[1:a] AS path, a AS depth, sum(CAST(n_children = 0 AS BIGINT)) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS a FROM counted) GROUP BY 1, 2)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children,
+       CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens,
+       sha256(COALESCE(n.ends, '')) AS ends_sha256
+FROM counted n JOIN sums s ON s.depth = n.depth AND s.path = n.path
+LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]"""
+
+
 # The other operators fit models, hash with XXH64, tokenize or search a graph; SQL cannot say
 # that, so the tests compare them with brute force.
-ORACLE_SQL: dict[str, str] = {"op7_warc_derivatives": _warc_sql()}
+ORACLE_SQL: dict[str, str] = {"op7_warc_derivatives": _warc_sql(), "op11_prefix_trie": _trie_sql()}
