@@ -7,59 +7,60 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roomledger.operators.joins import all_columns, null_safe_join
-from roomledger.operators.ranking import DIGIT_BITS, ordinal
+from roomledger.operators.blocks import scalars, with_blocks
+from roomledger.operators.joins import null_safe_join
+from roomledger.operators.ranking import distinct_keys
 
 
 def _values_at_ranks(
-    df: DataFrame, value: str, by: Sequence[str], ranks: Mapping[str, str]
+    df: DataFrame, value: str, by: Sequence[str], ranks: Mapping[str, str], block_keys: int | None = None
 ) -> DataFrame:
     """Values at given positions among the sorted non-null values, one row per group.
 
     ``ranks`` maps an output name to a position, as SQL in terms of ``__total``, the
-    number of values. The counts of equal values are added up by high digit first, which
-    finds the digit that holds a position, and then by value within that digit only.
+    number of values. Equal values are counted once; the distinct ones are cut into ordered
+    blocks. The counts of blocks find the block that holds a position, and only its values
+    are added up one by one.
     """
     by = list(by)
-    high = f"shiftright({ordinal(value, df.schema[value].dataType)}, {DIGIT_BITS})"
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*by, value)
-        .agg(F.count(F.lit(1)).alias("__n"), all_columns(df))
-        .filter("__seen IS NOT NULL")
-        .selectExpr(*[f"`{c}`" for c in by], f"`{value}` AS __value", "__n", f"{high} AS __high")
-    )
+    groups = [f"__g{i}" for i in range(len(by))]
+    known = df.filter(F.col(value).isNotNull()).select("*", F.struct(*[F.col(f"`{c}`").alias(g) for c, g in zip(by, groups)], F.col(f"`{value}`").alias("__value")).alias("__key"))
+    keys = distinct_keys(known, ["__key"])
+    n_keys, = scalars(keys, F.count(F.lit(1)))
+    cut = with_blocks(keys, "__key", [False] * (len(by) + 1), "__rows", n_keys, block_keys)
+    counts = cut.select("__key.*", "__block", F.col("__rows").alias("__n"))
     wanted = ", ".join(
         f"struct('{name}' AS name, CAST({rank} AS BIGINT) AS rank)" for name, rank in ranks.items()
     )
-    group = f"PARTITION BY {', '.join(f'`{c}`' for c in by)}" if by else ""
+    group = f"PARTITION BY {', '.join(groups)}" if by else ""
     holders = (
-        counts.groupBy(*by, "__high")
+        counts.groupBy(*groups, "__block")
         .agg(F.sum("__n").alias("__n"))
         .selectExpr(
             "*",
-            f"sum(__n) OVER ({group} ORDER BY __high) AS __through",
+            f"sum(__n) OVER ({group} ORDER BY __block) AS __through",
             f"sum(__n) OVER ({group}) AS __total",
         )
         .selectExpr("*", f"explode(array({wanted})) AS __wanted")
         .filter("__wanted.rank > __through - __n AND __wanted.rank <= __through")
         .selectExpr(
-            *[f"`{c}`" for c in by],
-            "__high",
+            *groups,
+            "__block",
             "__wanted.name AS __name",
             "__wanted.rank - __through + __n AS __rank",
         )
     )
     if by:
-        found = null_safe_join(counts, holders, [*by, "__high"])
+        found = null_safe_join(counts, holders, [*groups, "__block"])
     else:  # one holder per wanted rank
-        found = counts.join(F.broadcast(holders), "__high")
-    parent = ", ".join([*[f"`{c}`" for c in by], "__name"])
+        found = counts.join(F.broadcast(holders), "__block")
+    parent = ", ".join([*groups, "__name"])
     return (
         found.selectExpr("*", f"sum(__n) OVER (PARTITION BY {parent} ORDER BY __value) AS __through")
         .filter("__rank > __through - __n AND __rank <= __through")
-        .groupBy(*by)
+        .groupBy(*groups)
         .agg(*[F.expr(f"max(CASE WHEN __name = '{n}' THEN __value END)").alias(n) for n in ranks])
+        .withColumnsRenamed(dict(zip(groups, by)))
     )
 
 

@@ -7,14 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from roomledger.operators.blocks import scalars, with_blocks
 from roomledger.operators.joins import all_columns, hot_key_limit, left_slot, null_safe_join, right_slot
 
-# Ranks are built digit by digit. A digit has 2**DIGIT_BITS values, which bounds the
-# rows any single task sorts.
-DIGIT_BITS = 20
-DIGIT_SIZE = 1 << DIGIT_BITS
 BROADCAST_ROWS = 100_000
 
 
@@ -86,119 +82,85 @@ def top_n_per_group(
     return null_safe_join(df, winners, keys)
 
 
-def ordinal(name: str, data_type: T.DataType) -> str:
-    """SQL for an order-preserving long of an exact value (integer, decimal, date, boolean)."""
-    if isinstance(data_type, T.DecimalType):
-        return f"CAST(`{name}` * {10**data_type.scale} AS BIGINT)"
-    if isinstance(data_type, T.DateType):
-        return f"CAST(unix_date(`{name}`) AS BIGINT)"
-    if isinstance(data_type, (T.IntegralType, T.BooleanType)):
-        return f"CAST(`{name}` AS BIGINT)"
-    raise TypeError(f"{data_type.simpleString()} has no exact order; round it to a decimal first")
-
-
-@dataclass(frozen=True)
-class _Coded:
-    """SQL of the digits of some sort keys, and the digit names level by level."""
-
-    expressions: list[str]
-    levels: list[list[str]]
-
-    @property
-    def digits(self) -> list[str]:
-        return [digit for level in self.levels for digit in level]
-
-
-def _coded(df: DataFrame, order: Sequence[SortKey], prefix: str) -> _Coded:
-    expressions: list[str] = []
-    levels: list[list[str]] = []
-    for i, key in enumerate(order):
-        number = ordinal(key.name, df.schema[key.name].dataType)
-        number = f"coalesce({'-' if key.descending else ''}{number}, 0L)"
-        present = f"{prefix}{i}_present"
-        known = "IS NULL" if key.descending else "IS NOT NULL"
-        expressions.append(f"`{key.name}` {known} AS {present}")
-        if key.max_distinct is not None and key.max_distinct <= DIGIT_SIZE:
-            expressions.append(f"{number} AS {prefix}{i}")
-            levels.append([present, f"{prefix}{i}"])
-        else:
-            high, low = f"{prefix}{i}_high", f"{prefix}{i}_low"
-            expressions.append(f"shiftright({number}, {DIGIT_BITS}) AS {high}")
-            expressions.append(f"{number} & {DIGIT_SIZE - 1}L AS {low}")
-            levels += [[present, high], [low]]
-    return _Coded(expressions, levels)
-
-
 def global_dense_rank(
-    df: DataFrame, order: Sequence[SortKey], rank_col: str = "rnk", by: Sequence[str] = ()
+    df: DataFrame,
+    order: Sequence[SortKey],
+    rank_col: str = "rnk",
+    by: Sequence[str] = (),
+    block_keys: int | None = None,
 ) -> DataFrame:
     """``dense_rank`` of all rows (per ``by``, if given) as a long, without a global sort.
 
-    The distinct order values are split into digits, high to low. Counting the values
-    under each digit and adding up the counts of the smaller digits gives the rank as a
-    sum of offsets, one per level. A task sorts the values that share all higher digits,
-    which are at most ``DIGIT_SIZE``; on the top level that holds for values below
-    ``DIGIT_SIZE`` squared, and beyond them the result is still right. A key with few
-    values (``max_distinct``) is a single digit.
+    The distinct order values are cut into ordered blocks. The rank of a value is the number of
+    values in earlier blocks (of its group) and its place within the block, so a task sorts
+    about ``block_keys`` values however they are distributed, and only the counts of blocks
+    are added up. Any type that Spark orders will do; floating-point values rank as they are,
+    so round what is summed up. A key with few values (``max_distinct``) is one block.
 
     Ranks then find their rows by a join, in which a value shared by very many rows is
     handled apart: fewer than ``hot_key_limit`` such ranks are broadcast.
     """
-    coded = _coded(df, order, "__k")
-    # A group column that may be null becomes a key that is not.
-    groups = [f"__g{i}" for i in range(len(by))]
-    structs = [f"struct(`{c}`) AS {g}" for g, c in zip(groups, by)]
-    rows = df.selectExpr("*", *coded.expressions, *structs)
-    ranks = _rank_table(rows, groups, coded.levels)
+    ranks, rows = _rank_table(df, order, by, block_keys)
     bounded = not by and len(order) == 1 and _is_small(order[0])
-    return _attach_rank(rows, ranks, [*groups, *coded.digits], rank_col, bounded).select(
-        *df.columns, rank_col
-    )
+    return _attach_rank(rows, ranks, rank_col, bounded).select(*df.columns, rank_col)
 
 
 def _is_small(key: SortKey) -> bool:
     return key.max_distinct is not None and key.max_distinct <= BROADCAST_ROWS
 
 
-def _over(partition: Sequence[str], order: Sequence[str], frame: str = "") -> str:
-    by = f"PARTITION BY {', '.join(partition)}" if partition else ""
-    return f"OVER ({by} {'ORDER BY ' + ', '.join(order) if order else ''} {frame})"
+KEY, GROUP = "__key", "__group"
 
 
-def _rank_table(rows: DataFrame, groups: list[str], levels: list[list[str]]) -> DataFrame:
-    """Rank of every key, with its number of rows and the number of all rows."""
-    digits = [d for level in levels for d in level]
-    keys = rows.groupBy(*groups, *digits).agg(F.count(F.lit(1)).alias("__rows"), all_columns(rows))
-    keys = keys.filter("__seen IS NOT NULL").drop("__seen")
-    before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
-    parent = list(groups)
-    offsets: DataFrame | None = None
-    for level in levels[:-1]:
-        prefix = [*parent, *level]
-        counts = keys.groupBy(*prefix).agg(
-            F.count(F.lit(1)).alias("__values"), F.sum("__rows").alias("__below")
-        )
-        smaller = f"coalesce(sum(__values) {_over(parent, level, before)}, 0L)"
-        if offsets is None:
-            total = f"sum(__below) {_over([], [])} AS __total"
-            offsets = counts.selectExpr(*prefix, f"{smaller} AS __offset", total)
-        else:
-            offsets = counts.join(offsets, parent).selectExpr(
-                *prefix, f"__offset + {smaller} AS __offset", "__total"
-            )
-        parent = prefix
-    position = f"row_number() {_over(parent, levels[-1])}"
-    if offsets is None:
-        total = f"sum(__rows) {_over([], [])} AS __total"
-        return keys.selectExpr(*groups, *digits, f"CAST({position} AS BIGINT) AS __rank", "__rows", total)
-    return keys.join(offsets, parent).selectExpr(
-        *groups, *digits, f"__offset + {position} AS __rank", "__rows", "__total"
+def _keyed(df: DataFrame, order: Sequence[SortKey], by: Sequence[str]) -> DataFrame:
+    """Order values and group as two structs, which are never null themselves."""
+    values = F.struct(*[F.col(f"`{k.name}`").alias(f"k{i}") for i, k in enumerate(order)])
+    group = F.struct(F.lit(0).alias("g"), *[F.col(f"`{c}`").alias(f"g{i}") for i, c in enumerate(by)])
+    return df.withColumns({KEY: values, GROUP: group} if by else {KEY: values})
+
+
+def distinct_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each key once with its number of ``__rows``; planned alike wherever it is used.
+
+    The filter holds no row back; it keeps the columns from being pruned in one of the places.
+    """
+    found = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), all_columns(rows))
+    return found.filter("__seen IS NOT NULL AND __rows > 0").drop("__seen")
+
+
+def _rank_table(
+    df: DataFrame, order: Sequence[SortKey], by: Sequence[str], block_keys: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Rank of every key with its number of rows and that of all rows; the rows with their key."""
+    rows = _keyed(df, order, by)
+    down = [k.descending for k in order]
+    groups = [GROUP] if by else []
+    keys = distinct_keys(rows, [*groups, KEY])
+    n_keys, n_rows = scalars(keys, F.count(F.lit(1)), F.sum("__rows"))
+    if not by and len(order) == 1 and _is_small(order[0]):
+        position = F.row_number().over(Window.orderBy(F.col(KEY).desc() if down[0] else F.col(KEY).asc()))
+        return keys.select(KEY, position.cast("long").alias("__rank"), "__rows"), rows
+    if by:  # groups stand in the direction of the first key; only their togetherness counts
+        whole = F.struct(F.col(GROUP).alias("g"), F.col(f"{KEY}.*"))
+        cut = with_blocks(keys.withColumn("__whole", whole), "__whole", [down[0], *down], "__rows", n_keys, block_keys)
+        cut = cut.drop("__whole")
+    else:
+        cut = with_blocks(keys, KEY, down, "__rows", n_keys, block_keys)
+    earlier = Window.partitionBy(*groups).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        cut.groupBy(*groups, "__block")
+        .agg(F.count(F.lit(1)).alias("__values"))
+        .select(*groups, "__block", F.coalesce(F.sum("__values").over(earlier), F.lit(0)).alias("__offset"))
     )
+    fields = [F.col(f"{KEY}.k{i}") for i in range(len(order))]
+    in_order = [c.desc_nulls_last() if d else c.asc_nulls_first() for c, d in zip(fields, down)]
+    place = F.row_number().over(Window.partitionBy(*groups, "__block").orderBy(*in_order))
+    ranks = cut.withColumn("__place", place).join(offsets, [*groups, "__block"])
+    return ranks.select(*groups, KEY, (F.col("__offset") + F.col("__place")).alias("__rank"), "__rows", n_rows.alias("__total")), rows
 
 
-def _attach_rank(
-    rows: DataFrame, ranks: DataFrame, key: list[str], rank_col: str, bounded: bool
-) -> DataFrame:
+def _attach_rank(rows: DataFrame, ranks: DataFrame, rank_col: str, bounded: bool) -> DataFrame:
+    key = [c for c in (GROUP, KEY) if c in ranks.columns]
     if bounded:
         found = F.broadcast(ranks.selectExpr(*key, f"__rank AS `{rank_col}`"))
         return rows.join(found, key)
@@ -217,16 +179,15 @@ def rank_sum_bottom_k(
     df: DataFrame, keys: Sequence[SortKey], k: int, tie_break: Sequence[str]
 ) -> DataFrame:
     """The ``k`` rows with the smallest sum of dense ranks, one rank per key."""
-    coded = [_coded(df, [key], f"__s{i}_") for i, key in enumerate(keys)]
-    rows = df.selectExpr("*", *[e for c in coded for e in c.expressions])
-    ranked = rows
-    for i, (key, code) in enumerate(zip(keys, coded)):
-        ranks = _rank_table(rows, [], code.levels)
-        kept = [*rows.columns, *[f"__rank{j}" for j in range(i + 1)]]
-        ranked = _attach_rank(ranked, ranks, code.digits, f"__rank{i}", _is_small(key)).select(*kept)
-    total = " + ".join(f"__rank{i}" for i in range(len(keys)))
+    ranked = df
+    for i, key in enumerate(keys):
+        # each rank is that of the rows themselves, so the earlier ones ride along
+        ranks, rows = _rank_table(df, [key], ())
+        carried = _keyed(ranked, [key], ())
+        ranked = _attach_rank(carried, ranks, f"__rank{i}", _is_small(key)).select(*ranked.columns, f"__rank{i}")
+    total = sum((F.col(f"__rank{i}") for i in range(1, len(keys))), F.col("__rank0"))
     return (
-        ranked.selectExpr("*", f"{total} AS __rank_sum")
+        ranked.withColumn("__rank_sum", total)
         .orderBy("__rank_sum", *tie_break)
         .limit(k)
         .select(*df.columns)

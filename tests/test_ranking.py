@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from roomledger.operators import joins, ranking
+from roomledger.operators.blocks import scalars, with_blocks
 from roomledger.operators.ranking import asc, desc
 
 
@@ -74,9 +75,60 @@ def test_rank_of_extreme_values(spark):
         same_rows(ranking.global_dense_rank(df, order), naive_rank(df, order, "rnk"))
 
 
-def test_floating_point_keys_are_refused(spark):
-    with pytest.raises(TypeError, match="no exact order"):
-        ranking.global_dense_rank(spark.createDataFrame([(1.5,)], "v double"), [asc("v")])
+def test_rank_of_any_ordered_type(uneven):
+    df = uneven.selectExpr(
+        "id",
+        "g",
+        "timestamp_micros(n) AS at",
+        "CASE WHEN n % 7 = 0 THEN double('NaN') WHEN n % 11 = 0 THEN -0.0D WHEN n % 13 = 0 THEN 0.0D ELSE n / 7.0D END AS x",
+        "concat(g, n % 100) AS said",
+    )
+    text = F.col("x").cast("string")  # NaN equals itself
+    for order in ([desc("at")], [asc("x")], [desc("x"), asc("said")], [asc("said"), desc("at"), desc("x")]):
+        ranked = ranking.global_dense_rank(df, order, block_keys=50)
+        same_rows(ranked.withColumn("x", text), naive_rank(df, order, "rnk").withColumn("x", text))
+    ranked = ranking.global_dense_rank(df, [desc("said")], by=["g", "x"], block_keys=50)
+    same_rows(ranked.withColumn("x", text), naive_rank(df, [desc("said")], "rnk", ["g", "x"]).withColumn("x", text))
+
+
+@pytest.mark.parametrize("order", [[asc("v")], [desc("v"), asc("n")], [desc("n"), desc("id")]])
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_rank_over_many_blocks(uneven, order, by):
+    same_rows(ranking.global_dense_rank(uneven, order, by=by, block_keys=30), naive_rank(uneven, order, "rnk", by))
+
+
+@pytest.fixture(scope="module")
+def clumped(spark):
+    """64-bit keys: a third equal, a third within a tiny range, a third far apart."""
+    return spark.range(0, 60000, 1, 16).selectExpr(
+        "id",
+        "CASE id % 3 WHEN 0 THEN 5 WHEN 1 THEN 9000000000000000 + id ELSE xxhash64(id) END AS k",
+        "id % 3 = 1 AS g",
+    )
+
+
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_blocks_of_64_bit_keys_are_even(spark, clumped, by):
+    """No task of the rank sorts much more than its share of the distinct keys."""
+    keys = clumped.selectExpr("struct(k) AS key").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    (n,) = scalars(keys, F.count(F.lit(1)))
+    sizes = [r["count"] for r in with_blocks(keys, "key", [True], "n", n, 1000).groupBy("__block").count().collect()]
+    assert sum(sizes) == 40001 and 30 <= len(sizes) <= 50 and max(sizes) < 2000
+    ranked = ranking.global_dense_rank(clumped, [desc("k")], by=by, block_keys=1000)
+    assert largest_task(spark, ranked) < 12000
+    same_rows(ranked, naive_rank(clumped, [desc("k")], "rnk", by))
+
+
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_only_sums_meet_in_one_task(uneven, by):
+    """What a single partition reads are partial aggregates or the counts of blocks."""
+    plan = ranking.global_dense_rank(uneven, [desc("v"), asc("n")], by=by)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    single = [k for k, line in enumerate(lines) if "SinglePartition" in line]
+    assert single
+    for k in single:
+        below = lines[k + 1]
+        assert "partial_" in below or ("keys=[__block" in below and not by), below
 
 
 @pytest.mark.parametrize("order", [[desc("v")], [asc("v")], [desc("v"), asc("n")]])
