@@ -41,6 +41,11 @@ def mean_of(total: Column | str, count: Column | str) -> Column:
     return F.try_divide(_column(total).cast("decimal(20,2)"), _column(count).cast("decimal(12,0)"))
 
 
+def exact_mean(total: Column, count: Column) -> Column:
+    """Mean from a sum and a count at the scale that the sum has; null for an empty group."""
+    return F.try_divide(total, count.cast("decimal(12,0)"))
+
+
 def mean_money(value: Column | str) -> Column:
     """Aggregate: the mean of amounts in cents, to fifteen digits."""
     return mean_of(F.sum(money(value)), F.count(money(value)))

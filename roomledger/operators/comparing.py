@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roomledger.functions.numbers import mean_of, rounded
+from roomledger.functions.numbers import exact_mean, rounded
+from roomledger.operators.joins import null_safe_join
 
 
 def spread_by_group(df: DataFrame, group: str, value: str, out: str) -> DataFrame:
@@ -18,9 +19,9 @@ def spread_by_group(df: DataFrame, group: str, value: str, out: str) -> DataFram
 
 
 def deviation_from_mean(df: DataFrame, group: str, value: str, out: str) -> DataFrame:
-    """Value minus the mean of its group."""
+    """Value minus the mean of its group, of values of any scale."""
     window = Window.partitionBy(group)
-    mean = mean_of(F.sum(value).over(window), F.count(value).over(window))
+    mean = exact_mean(F.sum(value).over(window), F.count(value).over(window))
     return df.withColumn(out, rounded(F.col(value) - mean))
 
 
@@ -49,6 +50,33 @@ def weighted_score_ratio(
     )
 
 
+def few_values(column: Column | str) -> Column:
+    """Aggregate: how many different non-null values there are, for attributes of a small domain.
+
+    The buffer holds the values, so it is bounded by the domain (room types, neighbourhoods);
+    several of them stand in one aggregation without repeating its rows.
+    """
+    return F.size(F.collect_set(column))
+
+
+def distinct_counts(df: DataFrame, by: Sequence[str], counts: Mapping[str, str]) -> DataFrame:
+    """Different non-null values of several columns per group, whatever their number.
+
+    The rows are reduced once to the different combinations of all columns; each count then
+    groups those by its own column and adds up, so no row is repeated and equal values are
+    merged before they are sent. ``counts`` maps output names to columns.
+    """
+    by = list(by)
+    finest = df.groupBy(*by, *dict.fromkeys(counts.values())).agg(F.count(F.lit(1)).alias("__n"))
+    finest = finest.filter("__n > 0")
+    found = None
+    for out, column in counts.items():
+        values = finest.groupBy(*by, column).agg(F.sum("__n").alias("__n"))
+        one = values.groupBy(*by).agg(F.count(column).alias(out))
+        found = one if found is None else null_safe_join(found, one, by)
+    return found
+
+
 def segment_compare(
     df: DataFrame,
     segment: str,
@@ -66,7 +94,7 @@ def segment_compare(
     aggregates = []
     for out, column in means.items():
         if weight is None and column in exact:
-            mean = mean_of(F.sum(column), F.count(column))
+            mean = exact_mean(F.sum(column), F.count(column))
         elif weight is None:
             mean = F.avg(column)
         else:

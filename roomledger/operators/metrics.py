@@ -101,13 +101,20 @@ def impute_prices(
 ) -> DataFrame:
     """Fill missing listing prices from the listing's calendar; the night limits go.
 
-    ``columns`` chooses the listing columns to keep; id and price must be among them.
+    ``columns`` chooses the listing columns to keep; id and price must be among them. Medians
+    are taken only of listings without a price: a semi join holds back all other days before
+    they are grouped. Unless ``keep_unmatched`` is set, listings that the calendar does not
+    know go, with a price or not; that takes the ids of the calendar alone.
     """
-    medians = median_prices(calendar)
     listings = listings.withColumn("price", money("price"))
     if columns is not None:
         listings = listings.select(*columns)
-    filled = impute_from_group_median(listings, "id", "price", medians, keep_unmatched)
+    unpriced = listings.filter("price IS NULL AND id IS NOT NULL").select(F.col("id").alias("listing_id")).distinct()
+    medians = median_prices(calendar.join(unpriced, "listing_id", "left_semi"))
+    filled = impute_from_group_median(listings, "id", "price", medians, keep_unmatched=True)
+    if not keep_unmatched:
+        known = calendar.select(F.col("listing_id").alias("id")).distinct()
+        filled = filled.join(known, "id", "left_semi").select(*filled.columns)
     return filled.drop("adjusted_price", "minimum_nights", "maximum_nights")
 
 
@@ -117,29 +124,34 @@ def change_count(
     """How often the value differs from the one before it, per entity in date order.
 
     Rows of one date are ordered by value; a change from or to null does not count.
-    Equal (date, value) pairs are merged first: they are neighbours and hold no change
-    between them. Changes are then counted month by month, and the seams between months
-    are added from each month's first and last row, so a task sorts one month of one
-    entity and never its whole series. ``value_sum`` and ``n_values`` come along.
+    The different (date, value) pairs of an entity and month are gathered, merged before they
+    are sent, so a month is at most 31 times the values of a day, however many copies there are.
+    Changes are counted within them, and the seams between months are added from each month's
+    first and last pair: no task sees a whole series. ``value_sum`` and ``n_values`` come along.
     """
-    points = (
-        df.groupBy(entity, F.col(date).alias("__date"), F.col(value).alias("__value"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__month", F.trunc("__date", "MM"))
+    points = df.select(
+        entity,
+        F.trunc(date, "MM").alias("__month"),
+        F.struct(F.col(date).alias("d"), F.col(value).alias("v")).alias("__point"),
+        F.col(value).alias("__value"),
     )
-    in_month = Window.partitionBy(entity, "__month").orderBy("__date", "__value")
-    point = F.struct("__date", "__value")
-    months = (
-        points.withColumn("__previous", F.lag("__value").over(in_month))
-        .groupBy(entity, "__month")
-        .agg(
-            F.count_if(F.col("__value") != F.col("__previous")).alias("__inside"),
-            F.min(point).getField("__value").alias("__first"),
-            F.max(point).getField("__value").alias("__last"),
-            F.sum(F.col("__value") * F.col("__n")).alias("__sum"),
-            F.sum(F.when(F.col("__value").isNotNull(), F.col("__n"))).alias("__count"),
-            F.sum("__n").alias("__rows"),
-        )
+    months = points.groupBy(entity, "__month").agg(
+        F.sort_array(F.collect_set("__point")).alias("__points"),
+        F.sum("__value").alias("__sum"),
+        F.count("__value").alias("__count"),
+        F.count(F.lit(1)).alias("__rows"),
+    )
+    values = "transform(__points, p -> p.v)"
+    changed = f"size(filter(zip_with({values}, slice({values}, 2, size(__points)), (a, b) -> a <> b), c -> c))"
+    months = months.select(
+        entity,
+        "__month",
+        F.expr(changed).alias("__inside"),
+        F.expr("__points[0].v").alias("__first"),
+        F.expr("element_at(__points, -1).v").alias("__last"),
+        "__sum",
+        "__count",
+        "__rows",
     )
     across = Window.partitionBy(entity).orderBy("__month")
     seam = F.col("__first") != F.col("__before")
@@ -149,7 +161,7 @@ def change_count(
         .agg(
             (F.sum("__inside") + F.count_if(seam)).alias(out),
             F.sum("__sum").alias("value_sum"),
-            F.coalesce(F.sum("__count"), F.lit(0)).alias("n_values"),
+            F.sum("__count").alias("n_values"),
             F.sum("__rows").alias("n_rows"),
         )
     )

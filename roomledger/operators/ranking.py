@@ -5,11 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from roomledger.operators.blocks import scalars, with_blocks
-from roomledger.operators.joins import all_columns, hot_key_limit, left_slot, null_safe_join, right_slot
+from roomledger.operators.joins import (
+    all_columns,
+    hot_key_limit,
+    left_slot,
+    null_safe_join,
+    right_slot,
+    split_join,
+)
 
 BROADCAST_ROWS = 100_000
 
@@ -53,7 +60,8 @@ def top_n_per_group(
     ``dense_rank`` keeps all ties, so it ranks the distinct order values first: every
     task then forwards at most ``n`` values per group, however many rows are tied. The
     winning values find their rows through a join. It is a broadcast when the number of
-    groups is known to be small (``max_groups``, or no group at all).
+    groups is known to be small (``max_groups``, or no group at all); otherwise rows of a
+    value that many share, winning or not, are spread over all tasks.
 
     ``row_number`` keeps exactly ``n`` rows and needs an order without ties.
     """
@@ -67,19 +75,24 @@ def top_n_per_group(
     if method != "dense_rank":
         raise ValueError(f"method must be dense_rank or row_number, not {method!r}")
 
-    winners = (
-        df.groupBy(*keys)
-        .agg(all_columns(df))
-        .filter("__seen IS NOT NULL")
-        .select(*keys)
-        .withColumn(rank_col, F.dense_rank().over(window))
-        .filter(F.col(rank_col) <= n)
-        .withColumn(rank_col, F.col(rank_col).cast("bigint"))
-    )
     groups = max_groups if group else 1
     if groups is not None and groups * n <= BROADCAST_ROWS:
-        winners = F.broadcast(winners)
-    return null_safe_join(df, winners, keys)
+        winners = _winners(distinct_keys(df, keys), window, n, rank_col).drop("__rows")
+        return null_safe_join(df, F.broadcast(winners), keys)
+    # As structs the keys are never null. The grouping that ranks has counted their rows.
+    rows = _keyed(df, order, group)
+    counted = distinct_keys(rows, [GROUP, KEY])
+    fields = [F.col(f"{KEY}.k{i}") for i in range(len(order))]
+    in_order = [c.desc_nulls_last() if k.descending else c.asc_nulls_first() for c, k in zip(fields, order)]
+    winners = _winners(counted, Window.partitionBy(GROUP).orderBy(*in_order), n, rank_col)
+    counts = counted.withColumnRenamed("__rows", "__n")
+    found = split_join(rows, winners.drop("__rows"), [GROUP, KEY], counts=counts)
+    return found.select(*df.columns, rank_col)
+
+
+def _winners(keys: DataFrame, window: WindowSpec, n: int, rank_col: str) -> DataFrame:
+    ranked = keys.withColumn(rank_col, F.dense_rank().over(window)).filter(F.col(rank_col) <= n)
+    return ranked.withColumn(rank_col, F.col(rank_col).cast("bigint"))
 
 
 def global_dense_rank(

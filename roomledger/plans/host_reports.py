@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roomledger.functions.numbers import mean_money, mean_of, money, rounded
-from roomledger.operators.comparing import segment_compare
+from roomledger.operators.comparing import few_values, segment_compare
 from roomledger.operators.joins import null_safe_join, split_join
 from roomledger.operators.metrics import occupancy, revenue
 from roomledger.operators.quantiles import exact_median, fixed_bin
@@ -193,9 +193,9 @@ def _tiered_hosts(market: Market) -> DataFrame:
         .agg(
             F.count_distinct("id").alias("n_properties"),
             F.coalesce(rounded(F.avg("review_scores_rating")), zero).alias("avg_review_score_rating"),
-            F.count_distinct("room_type").alias("n_room_types"),
-            F.count_distinct("property_type").alias("n_property_types"),
-            F.count_distinct("neighbourhood").alias("n_neighbourhoods"),
+            few_values("room_type").cast("long").alias("n_room_types"),
+            few_values("property_type").cast("long").alias("n_property_types"),
+            few_values("neighbourhood").cast("long").alias("n_neighbourhoods"),
             F.sum("revenue").alias("total_revenue"),
             rounded(F.avg("occupancy_rate")).alias("avg_occupancy_rate"),
             F.count("listing_id").alias("__listed"),

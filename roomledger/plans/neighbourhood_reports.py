@@ -10,10 +10,12 @@ from roomledger.functions.numbers import mean_money, mean_of, money, percent, ro
 from roomledger.operators.comparing import (
     deviation_from_mean,
     diff_from_reference_group,
+    few_values,
     segment_compare,
     spread_by_group,
     weighted_score_ratio,
 )
+from roomledger.operators.joins import null_safe_join
 from roomledger.operators.metrics import calendar_totals, mean_price, occupancy, revenue
 from roomledger.operators.quantiles import quantile_bin, tercile_bin
 from roomledger.operators.ranking import desc, global_dense_rank
@@ -37,40 +39,49 @@ def _is_superhost():
     return F.coalesce(F.col("host_is_superhost").try_cast("boolean"), F.lit(False))
 
 
-def most_active_hosts(market: Market) -> DataFrame:
-    """Hosts and listings per neighbourhood, and superhost listings per 100 hosts."""
-    counts = market.listings.groupBy("neighbourhood").agg(
-        F.count_distinct("host_id").alias("n_hosts"),
-        F.count_distinct("id").alias("n_properties"),
-        F.count_if(_is_superhost()).alias("__superhost_listings"),
+def _active_hosts(market: Market) -> DataFrame:
+    """Hosts and listings per neighbourhood; superhosts as listings and as hosts.
+
+    Grouped by host first, so that the hosts are counted by rows.
+    """
+    listings = market.listings.select("neighbourhood", "host_id", "id", _is_superhost().alias("__super"))
+    hosts = (
+        listings.groupBy("neighbourhood", "host_id")
+        .agg(F.count_if("__super").alias("__super"))
+        .groupBy("neighbourhood")
+        .agg(
+            F.count("host_id").alias("n_hosts"),
+            F.sum("__super").alias("__superhost_listings"),
+            F.count_if((F.col("__super") > 0) & F.col("host_id").isNotNull()).alias("__superhosts"),
+        )
+    )
+    ids = listings.groupBy("neighbourhood").agg(F.count_distinct("id").alias("n_properties"))
+    return null_safe_join(hosts, ids, ["neighbourhood"])
+
+
+def _with_shares(counts: DataFrame, superhosts: str) -> DataFrame:
+    shares = counts.withColumns(
+        {
+            "percentage_of_superhosts": percent(F.col(superhosts), F.col("n_hosts")),
+            "average_properties_per_host": rounded(F.try_divide("n_properties", "n_hosts")),
+        }
     )
     return as_report(
-        counts.withColumn(
-            "percentage_of_superhosts", percent(F.col("__superhost_listings"), F.col("n_hosts"))
-        ).withColumn(
-            "average_properties_per_host", rounded(F.try_divide("n_properties", "n_hosts"))
-        ),
+        shares,
         "neighbourhood", "n_hosts", "n_properties", "percentage_of_superhosts",
         "average_properties_per_host",
     )
 
 
+def most_active_hosts(market: Market) -> DataFrame:
+    """Hosts and listings per neighbourhood, and superhost listings per 100 hosts."""
+    return _with_shares(_active_hosts(market), "__superhost_listings")
+
+
 def most_active_hosts_by_host(market: Market) -> DataFrame:
     """The same with the share of hosts that are superhosts, most hosts first."""
-    counts = market.listings.groupBy("neighbourhood").agg(
-        F.count_distinct("host_id").alias("n_hosts"),
-        F.count_distinct("id").alias("n_properties"),
-        F.count_distinct(F.when(_is_superhost(), F.col("host_id"))).alias("__superhosts"),
-    )
-    return as_report(
-        counts.withColumn(
-            "percentage_of_superhosts", percent(F.col("__superhosts"), F.col("n_hosts"))
-        ).withColumn(
-            "average_properties_per_host", rounded(F.try_divide("n_properties", "n_hosts"))
-        ),
-        "neighbourhood", "n_hosts", "n_properties", "percentage_of_superhosts",
-        "average_properties_per_host",
-    ).orderBy(F.desc("n_hosts"), "neighbourhood")
+    shares = _with_shares(_active_hosts(market), "__superhosts")
+    return shares.orderBy(F.desc("n_hosts"), "neighbourhood")
 
 
 def _monthly_revenue(market: Market, month_grain: str = "name") -> DataFrame:
@@ -223,8 +234,8 @@ def neighbourhood_group_performance(market: Market) -> DataFrame:
                 rounded(F.avg(f"review_scores_{s}"), 0).alias(f"avg_review_score_{s}")
                 for s in GROUP_SCORES
             ],
-            F.count_distinct("room_type").alias("n_unique_room_types"),
-            F.count_distinct("property_type").alias("n_unique_property_types"),
+            few_values("room_type").cast("long").alias("n_unique_room_types"),
+            few_values("property_type").cast("long").alias("n_unique_property_types"),
         )
     )
     ranked = global_dense_rank(
