@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 
 # Keys that one task may well sort. More blocks than MOST_BLOCKS are never made: the splitters
 # are carried past every key.
-BLOCK_KEYS = 1 << 18
+BLOCK_KEYS = 1 << 20
 MOST_BLOCKS = 1024
-# Sampled keys for each block: blocks differ in size by about a fifth.
-SAMPLED = 32
+# Sampled keys for each block: blocks differ in size by about a quarter. One key in 65,536 is
+# sampled, so the sample of a hundred billion different keys is one and a half million.
+SAMPLED = 16
 
 
 def _not_after(a: Column, b: Column, fields: Sequence[str], descending: Sequence[bool]) -> Column:
@@ -44,25 +45,25 @@ def with_blocks(
     key: str,
     descending: Sequence[bool],
     rows: str,
-    n_keys: Column,
     block_keys: int | None = None,
     out: str = "__block",
-) -> DataFrame:
-    """``keys``, which are distinct in the struct ``key``, with the number of their block.
+) -> tuple[DataFrame, Column]:
+    """``keys``, distinct in the struct ``key``, with their block; and the number of all rows.
 
     ``descending`` has a direction for each field of ``key``, ``rows`` names the number of rows
-    of each key, ``n_keys`` is the number of keys as a scalar. Blocks are numbered in the order
-    of the keys; the sample is at most about ``MOST_BLOCKS * SAMPLED`` keys.
+    of each key. Blocks are numbered in the order of the keys. One aggregate over the keys gives
+    both the splitters and the total, as scalars.
     """
     fields = keys.schema[key].dataType.names
-    share = F.least(F.lit(1.0), F.lit(SAMPLED / (block_keys or BLOCK_KEYS)), MOST_BLOCKS * float(SAMPLED) / n_keys)
-    # With the count in it the filter stays above the grouping, which is then planned as elsewhere.
-    drawn = F.shiftrightunsigned(F.xxhash64(key), 1) + F.least(F.col(rows), F.lit(0))
-    sample = keys.filter(drawn.cast("double") < share * float(2**63)).agg(
-        _in_order(F.collect_list(key), fields, descending).alias("s")
+    share = min(1.0, SAMPLED / (block_keys or BLOCK_KEYS))
+    drawn = F.shiftrightunsigned(F.xxhash64(key), 1).cast("double") < share * float(2**63)
+    sample = keys.agg(
+        _in_order(F.collect_list(F.when(drawn, F.col(key))), fields, descending).alias("s"), F.sum(rows).alias("n")
     )
-    place = F.sequence(F.lit(SAMPLED), F.greatest(F.size("s"), F.lit(SAMPLED)), F.lit(SAMPLED))
-    splitters = sample.select(F.transform(place, lambda i: F.get("s", i - 1)).alias("s")).scalar()
+    apart = F.greatest(F.lit(SAMPLED), F.ceil(F.size("s") / MOST_BLOCKS).cast("int"))
+    place = F.sequence(apart, F.greatest(F.size("s"), apart), apart)
+    splitters = F.transform(place, lambda i: F.get("s", i - 1))
+    known = sample.select(F.struct(splitters.alias("s"), "n")).scalar()
     widths = F.array(*[F.lit(1 << k) for k in reversed(range((2 * MOST_BLOCKS).bit_length()))])
 
     def step(at: Column, width: Column) -> Column:
@@ -71,11 +72,5 @@ def with_blocks(
         return F.when(fits, at + width).otherwise(at)
 
     searched = F.aggregate(widths, F.lit(0), step)
-    return keys.withColumn("__splitters", splitters).withColumn(out, searched).drop("__splitters")
-
-
-def scalars(df: DataFrame, *aggregates: Column) -> list[Column]:
-    """Aggregates over all of ``df``, as scalars of one subquery."""
-    names = [f"__a{i}" for i in range(len(aggregates))]
-    row = df.agg(*[a.alias(n) for a, n in zip(aggregates, names)]).select(F.struct(*names)).scalar()
-    return [row.getField(n) for n in names]
+    cut = keys.withColumn("__splitters", known.getField("s")).withColumn(out, searched).drop("__splitters")
+    return cut, known.getField("n")

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roomledger.operators.blocks import scalars, with_blocks
+from roomledger.operators.blocks import with_blocks
 from roomledger.operators.joins import null_safe_join
 from roomledger.operators.ranking import distinct_keys
 
@@ -24,10 +24,10 @@ def _values_at_ranks(
     """
     by = list(by)
     groups = [f"__g{i}" for i in range(len(by))]
-    known = df.filter(F.col(value).isNotNull()).select("*", F.struct(*[F.col(f"`{c}`").alias(g) for c, g in zip(by, groups)], F.col(f"`{value}`").alias("__value")).alias("__key"))
+    key = [*[F.col(f"`{c}`").alias(g) for c, g in zip(by, groups)], F.col(f"`{value}`").alias("__value")]
+    known = df.filter(F.col(value).isNotNull()).withColumn("__key", F.struct(*key))
     keys = distinct_keys(known, ["__key"])
-    n_keys, = scalars(keys, F.count(F.lit(1)))
-    cut = with_blocks(keys, "__key", [False] * (len(by) + 1), "__rows", n_keys, block_keys)
+    cut, _ = with_blocks(keys, "__key", [False] * (len(by) + 1), "__rows", block_keys)
     counts = cut.select("__key.*", "__block", F.col("__rows").alias("__n"))
     wanted = ", ".join(
         f"struct('{name}' AS name, CAST({rank} AS BIGINT) AS rank)" for name, rank in ranks.items()
@@ -65,17 +65,22 @@ def _values_at_ranks(
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, fractions: Mapping[str, float], by: Sequence[str] = ()
+    df: DataFrame,
+    value: str,
+    fractions: Mapping[str, float],
+    by: Sequence[str] = (),
+    block_keys: int | None = None,
 ) -> DataFrame:
     """Named quantiles as elements of the data: the smallest value at or past each fraction.
 
-    The value column must be exact (integer or decimal). One row per group, or one row
-    in all when ``by`` is empty.
+    Of any type that Spark orders. One row per group, or one row in all when ``by`` is empty.
+    A task sorts the values of about ``block_keys`` different ones. ``sketches`` has the
+    approximate form.
     """
     ranks = {
         name: f"greatest(ceil(__total * {fraction!r}D), 1)" for name, fraction in fractions.items()
     }
-    return _values_at_ranks(df, value, by, ranks)
+    return _values_at_ranks(df, value, by, ranks, block_keys)
 
 
 def exact_median(df: DataFrame, value: str, out: str, by: Sequence[str] = ()) -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from roomledger.operators.blocks import scalars, with_blocks
+from roomledger.operators.blocks import with_blocks
 from roomledger.operators.joins import (
     all_columns,
     hot_key_limit,
@@ -149,16 +149,15 @@ def _rank_table(
     down = [k.descending for k in order]
     groups = [GROUP] if by else []
     keys = distinct_keys(rows, [*groups, KEY])
-    n_keys, n_rows = scalars(keys, F.count(F.lit(1)), F.sum("__rows"))
     if not by and len(order) == 1 and _is_small(order[0]):
         position = F.row_number().over(Window.orderBy(F.col(KEY).desc() if down[0] else F.col(KEY).asc()))
         return keys.select(KEY, position.cast("long").alias("__rank"), "__rows"), rows
     if by:  # groups stand in the direction of the first key; only their togetherness counts
         whole = F.struct(F.col(GROUP).alias("g"), F.col(f"{KEY}.*"))
-        cut = with_blocks(keys.withColumn("__whole", whole), "__whole", [down[0], *down], "__rows", n_keys, block_keys)
+        cut, n_rows = with_blocks(keys.withColumn("__whole", whole), "__whole", [down[0], *down], "__rows", block_keys)
         cut = cut.drop("__whole")
     else:
-        cut = with_blocks(keys, KEY, down, "__rows", n_keys, block_keys)
+        cut, n_rows = with_blocks(keys, KEY, down, "__rows", block_keys)
     earlier = Window.partitionBy(*groups).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         cut.groupBy(*groups, "__block")

@@ -2,6 +2,7 @@
 
 import math
 import random
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from datetime import date, timedelta
 from decimal import ROUND_HALF_UP, Decimal
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from roomledger.functions.dates import month_key, month_label, season_of
 from roomledger.functions.numbers import mean_of, percent, rounded
-from roomledger.operators import comparing, metrics, quantiles
+from roomledger.operators import comparing, metrics, quantiles, sketches
 
 DDL = "listing_id bigint, date date, available boolean, price decimal(18,2)"
 
@@ -268,3 +269,95 @@ def test_imputation_keeps_the_chosen_columns(spark):
     filled = metrics.impute_prices(listings, days, columns=["id", "price", "b"]).orderBy("id")
     assert filled.columns == ["id", "b", "price"]
     assert [r.price for r in filled.collect()] == [Decimal("3.00"), Decimal("5.00")]
+
+
+def test_quantiles_over_many_blocks(spark):
+    """A third of the rows are equal; small blocks, with and without groups."""
+    draw = random.Random(8)
+    rows = [("ab"[k % 2], 500 if k % 3 == 0 else draw.randrange(-(2**62), 2**62)) for k in range(3000)]
+    df = spark.createDataFrame(rows, "g string, v bigint")
+    fractions = {"low": 0.1, "middle": 0.5, "high": 0.99}
+    at = lambda values, q: sorted(values)[max(math.ceil(len(values) * q), 1) - 1]
+    assert quantiles.exact_quantiles(df, "v", fractions, block_keys=40).collect() == [
+        tuple(at([v for _, v in rows], q) for q in fractions.values())
+    ]
+    for r in quantiles.exact_quantiles(df, "v", fractions, ["g"], block_keys=40).collect():
+        assert (r.low, r.middle, r.high) == tuple(at([v for g, v in rows if g == r.g], q) for q in fractions.values())
+
+
+def test_sketched_quantiles_stay_within_their_error(spark):
+    draw = random.Random(9)
+    rows = [("ab"[k % 2], 500.0 if k % 3 == 0 else draw.gauss(0, 1000), k % 12) for k in range(60_000)] + [("c", 7.0, 1), ("d", None, 1)]
+    df = spark.createDataFrame(rows, "g string, v double, month int").repartition(9)
+    fractions = {"low": 0.25, "middle": 0.5, "high": 0.9}
+    by_month = df.groupBy("g", "month").agg(sketches.quantile_sketch("v").alias("s"))
+    merged = by_month.groupBy("g").agg(sketches.merged_quantile_sketch("s").alias("s"))
+    merged = merged.select("g", *[sketches.sketched_quantile("s", f).alias(n) for n, f in fractions.items()])
+    for found in (sketches.approximate_quantiles(df, "v", fractions, ["g"]), merged):
+        for r in found.collect():
+            values = sorted(v for g, v, _ in rows if g == r.g and v is not None)
+            for name, fraction in fractions.items():
+                if not values:
+                    assert r[name] is None
+                    continue
+                # the positions that the value found takes
+                low, high = bisect_left(values, r[name]) / len(values), bisect_right(values, r[name]) / len(values)
+                slack = sketches.RANK_ERROR + 1 / len(values)
+                assert low - slack <= fraction <= high + slack, (r.g, name)
+
+
+def test_sketched_counts_stay_within_their_error(spark):
+    df = spark.range(0, 300_000).selectExpr("id % 3 AS g", "CASE WHEN id % 2 = 0 THEN 7 ELSE id DIV 4 END AS v", "id % 12 AS month").repartition(9)
+    by_month = df.groupBy("g", "month").agg(sketches.distinct_sketch("v").alias("s"))
+    merged = by_month.groupBy("g").agg(sketches.sketched_count(sketches.merged_distinct_sketch("s")).alias("n"))
+    exact = {r.g: r.n for r in df.groupBy("g").agg(F.count_distinct("v").alias("n")).collect()}
+    for r in merged.collect():
+        assert abs(r.n - exact[r.g]) <= sketches.DISTINCT_ERROR * exact[r.g]
+    few = spark.createDataFrame([(1,), (1,), (None,), (2,)], "v int")
+    assert few.agg(sketches.sketched_count(sketches.distinct_sketch("v")).alias("n")).first().n == 2
+
+
+def test_distinct_counts_of_several_columns(spark):
+    rows = [("ab"[k % 2] if k % 7 else None, k % 5, None if k % 3 else k % 11, "x") for k in range(400)]
+    df = spark.createDataFrame(rows, "g string, a int, b int, c string")
+    counted = comparing.distinct_counts(df, ["g"], {"n_a": "a", "n_b": "b", "n_c": "c"})
+    plain = df.groupBy("g").agg(F.count_distinct("a").alias("n_a"), F.count_distinct("b").alias("n_b"), F.count_distinct("c").alias("n_c"))
+    assert sorted(counted.collect(), key=str) == sorted(plain.collect(), key=str)
+    assert "Expand" not in counted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_means_of_finer_scales(spark):
+    df = spark.createDataFrame([("a", Decimal("4.735")), ("b", Decimal("1.001")), ("b", Decimal("1.004"))], "g string, v decimal(8,3)")
+    found = {(r.g, r.v): r.d for r in comparing.deviation_from_mean(df, "g", "v", "d").collect()}
+    assert found == {("a", Decimal("4.735")): 0, ("b", Decimal("1.001")): Decimal("0.00"), ("b", Decimal("1.004")): Decimal("0.00")}
+    means = {r.g: r.m for r in comparing.segment_compare(df, "g", {"m": "v"}, digits=3).collect()}
+    assert means == {"a": Decimal("4.735"), "b": Decimal("1.003")}
+
+
+def test_medians_see_only_days_of_listings_without_a_price(spark):
+    listings = spark.createDataFrame([(1, None), (2, Decimal("5.00")), (3, None), (4, None), (None, Decimal("1.00"))], "id bigint, price decimal(18,2)")
+    days = spark.createDataFrame([(1, Decimal("3.00")), (2, Decimal("9.00")), (3, None), (5, Decimal("2.00"))], "listing_id bigint, price decimal(18,2)")
+    filled = metrics.impute_prices(listings, days)
+    assert sorted(filled.collect(), key=str) == [(1, Decimal("3.00")), (2, Decimal("5.00")), (3, None)]
+    kept = metrics.impute_prices(listings, days, keep_unmatched=True)
+    assert sorted(kept.collect(), key=str) == [(1, Decimal("3.00")), (2, Decimal("5.00")), (3, None), (4, None), (None, Decimal("1.00"))]
+    plan = filled._jdf.queryExecution().optimizedPlan().toString()
+    below_median = plan[plan.index("percentile(") :]
+    assert "LeftSemi" in below_median and "isnull" in below_median
+
+
+def test_changes_of_a_month_full_of_copies(spark):
+    """A third of the days are copies of one row; each month is one row after one shuffle."""
+    days = [(1, date(2024, 3, 5), Decimal("2.00"))] * 3000
+    days += [(k % 4, date(2024, 1 + k % 12, 1 + k % 28), Decimal(k * 7919 % 13)) for k in range(6000)]
+    days += [(9, None, Decimal("1.00")), (9, date(2024, 1, 1), None), (9, date(2024, 1, 2), Decimal("1.00"))]
+    df = spark.createDataFrame(days, "l bigint, d date, v decimal(18,2)").repartition(16)
+    found = {r.l: (r.n_changes, r.value_sum, r.n_values, r.n_rows) for r in metrics.change_count(df, "l", "d", "v").collect()}
+    for entity in {r[0] for r in days}:
+        series = sorted(((d is not None, d or date.min), (v is not None, v or 0)) for e, d, v in days if e == entity)
+        values = [v if known else None for _, (known, v) in series]
+        changes = sum(a is not None and b is not None and a != b for a, b in zip(values, values[1:]))
+        numbers = [v for v in values if v is not None]
+        assert found[entity] == (changes, sum(numbers), len(numbers), len(values)), entity
+    text = metrics.change_count(df, "l", "d", "v")._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning(l#") == 2 and "__month" in text
