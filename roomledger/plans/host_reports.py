@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roomledger.functions.numbers import mean_money, mean_of, money, rounded
@@ -11,6 +11,7 @@ from roomledger.operators.joins import null_safe_join, split_join
 from roomledger.operators.metrics import occupancy, revenue
 from roomledger.operators.quantiles import exact_median, fixed_bin
 from roomledger.operators.ranking import asc, desc, global_dense_rank, top_n_per_group
+from roomledger.operators.sketches import merged_distinct_sketch, sketched_count
 from roomledger.plans.market import Market, as_report
 
 # Fixed values of the reports.
@@ -102,38 +103,56 @@ def _responding_listings(market: Market) -> DataFrame:
     return listings.join(market.occupancy_per_listing(), "listing_id")
 
 
-def _response_stats(market: Market, weight: str | None) -> DataFrame:
+def _response_stats(market: Market, weight: str | None, sketched: bool = False) -> DataFrame:
     rated = _responding_listings(market)
     # Counted once: for the weights, and to find the listings whose reviews are split.
-    reviewed = market.reviews.filter(F.col("listing_id").isNotNull())
-    counts = reviewed.groupBy("listing_id").agg(F.count(F.lit(1)).alias("__n"))
+    known = F.col("listing_id").isNotNull()
+    counts = market.reviews_per_listing(sketched).filter(known)
     means = {"avg_occupancy_rate": "occupancy_rate", "avg_review_score_rating": "review_scores_rating"}
+    ids = sketched_count(merged_distinct_sketch("review_ids"))
     stats = segment_compare(
         rated.join(counts, "listing_id", "inner" if weight else "left"),
         "host_response_time",
         means,
         weight=weight,
         counts={"n_properties": "listing_id"},
+        also={"n_reviews": ids} if sketched else None,
     )
-    # Different review ids need the reviews themselves; a listing may own very many.
+    if not sketched:
+        reviews = _reviews_per_response(market, rated, counts, known)
+        stats = stats.join(reviews, "host_response_time", "left")
+    return as_report(
+        stats.fillna(0, ["n_reviews"]), "host_response_time", *means, "n_properties", "n_reviews"
+    )
+
+
+def _reviews_per_response(market: Market, rated: DataFrame, counts: DataFrame, known: Column) -> DataFrame:
+    """Different review ids need the reviews themselves; a listing may own very many."""
     segments = rated.groupBy("listing_id").agg(
         F.collect_set("host_response_time").alias("__segments")
     )
-    reviews = (
-        split_join(reviewed.select("listing_id", "id"), segments, ["listing_id"], counts=counts)
+    reviews = market.reviews.filter(known).select("listing_id", "id")
+    counts = counts.withColumnRenamed("n_reviews", "__n")
+    return (
+        split_join(reviews, segments, ["listing_id"], counts=counts)
         .select(F.explode("__segments").alias("host_response_time"), "id")
         .groupBy("host_response_time")
         .agg(F.count_distinct("id").alias("n_reviews"))
     )
-    return as_report(
-        stats.join(reviews, "host_response_time", "left").fillna(0, ["n_reviews"]),
-        "host_response_time", *means, "n_properties", "n_reviews",
-    )
 
 
 def host_response_stats(market: Market) -> DataFrame:
     """Occupancy and rating by response time, each listing counted once per review."""
-    return _response_stats(market, weight="__n")
+    return _response_stats(market, weight="n_reviews")
+
+
+def host_response_stats_sketched(market: Market) -> DataFrame:
+    """The same with ``n_reviews`` merged from sketches, one of bounded size per listing.
+
+    The reviews are read once, or not at all if the listings' sketches have been prepared. The
+    count is within ``DISTINCT_ERROR`` of the exact one; all other columns are exact.
+    """
+    return _response_stats(market, weight="n_reviews", sketched=True)
 
 
 def host_response_stats_per_listing(market: Market) -> DataFrame:

@@ -174,11 +174,7 @@ def most_reviewed_listings_exact(market: Market, month_grain: str = "name") -> D
 
 
 def _lowest(market: Market) -> DataFrame:
-    reviewed = (
-        market.reviews.groupBy("listing_id")
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .filter(F.col("__n") >= REVIEWS_TO_SCORE)
-    )
+    reviewed = market.reviews_per_listing().filter(F.col("n_reviews") >= REVIEWS_TO_SCORE)
     rates = market.occupancy_per_listing()
     places = market.listings.select(
         F.col("id").alias("listing_id"), "review_scores_rating", "neighbourhood", "host_id"
@@ -214,7 +210,7 @@ def lowest_occupancy_and_scores_with_id(market: Market) -> DataFrame:
 
 def review_distribution(market: Market) -> DataFrame:
     """Review count of every listing and its rank among all listings."""
-    counts = market.reviews.groupBy("listing_id").agg(F.count(F.lit(1)).alias("n_reviews"))
+    counts = market.reviews_per_listing()
     places = market.listings.select(
         F.col("id").alias("listing_id"), "neighbourhood", "review_scores_rating", "neighbourhood_group"
     )

@@ -140,12 +140,12 @@ def monthly_revenue_deviation(market: Market, month_grain: str = "name") -> Data
 
 def review_distribution_by_neighbourhood(market: Market) -> DataFrame:
     """Reviews per neighbourhood and the neighbourhood's rank by them."""
-    counts = market.reviews.groupBy("listing_id").agg(F.count(F.lit(1)).alias("__n"))
+    counts = market.reviews_per_listing()
     places = market.listings.select("id", "neighbourhood")
     totals = (
         counts.join(places, F.col("listing_id") == F.col("id"))
         .groupBy("neighbourhood")
-        .agg(F.sum("__n").alias("n_reviews"), F.count_distinct("id").alias("n_listings"))
+        .agg(F.sum("n_reviews").alias("n_reviews"), F.count_distinct("id").alias("n_listings"))
     )
     ranked = global_dense_rank(totals, [desc("n_reviews")])
     return ranked.select(

@@ -13,10 +13,10 @@ from roomledger.bindings import table
 from roomledger.functions.dates import month_key, month_label, season_of
 from roomledger.functions.numbers import mean_money, mean_of, money, rounded, six_digits
 from roomledger.functions.text import clean_text, list_size
-from roomledger.operators import cleaning, comparing, metrics, quantiles, ranking
+from roomledger.operators import cleaning, comparing, metrics, quantiles, ranking, sketches
 from roomledger.operators.ranking import asc, desc
 from roomledger.plans.market import Market, as_report
-from roomledger.plans.registry import ALL_REPORTS
+from roomledger.plans.registry import ALL_REPORTS, run_reports
 from roomledger.sources import readers
 from roomledger.sources.scratch import scratch_path
 
@@ -32,6 +32,7 @@ HOST_REPORTS = {
     "super_hosts_vs_regular_hosts",
     "host_response_times_stats",
     "host_response_times_stats_intended",
+    "host_response_times_stats_sketched",
     "host_verification_performance",
     "host_verification_performance_per_year_month",
 }
@@ -319,14 +320,55 @@ def _exported(df: DataFrame, schema: str, name: str) -> str:
     return path
 
 
+def _whole_listings(raw: DataFrame) -> DataFrame:
+    """All columns of the export; those that the raw listings lack are made from id and place."""
+    key = F.col("id")
+    made = {}
+    for place, field in enumerate(StructType.fromDDL(schemas.LISTINGS).fields):
+        if field.name not in raw.columns:
+            made[field.name] = {
+                "bigint": key * 1_000_003 + place,
+                "int": (key % 97 + place).cast("int"),
+                "float": ((key % 50) / 4 + place).cast("float"),
+                "date": F.date_add(F.lit("2020-01-01").cast("date"), (key % 1000 + place).cast("int")),
+                "string": F.concat(F.lit(f"{field.name} "), key),
+            }[field.dataType.simpleString()]
+    return raw.withColumns(made)
+
+
 def read_listings_csv(spark, sf_dir):
-    path = _exported(bindings.raw_listings(spark, sf_dir), schemas.LISTINGS, "listings")
+    """All 75 columns as read, and the parts of the location."""
+    path = _exported(_whole_listings(bindings.raw_listings(spark, sf_dir)), schemas.LISTINGS, "listings")
     raw = readers.read_listings(spark, path, partitions=8)
-    cleaned = raw.transform(cleaning.clean_prose).transform(cleaning.parse_percents)
-    return cleaning.split_location(cleaned).select(
-        "id", "description", "host_city", "host_state", "amenities", "host_response_rate",
-        "maximum_nights",
+    shown = []
+    for field in raw.schema.fields:
+        name, kind = field.name, field.dataType.simpleString()
+        if name in cleaning.LISTING_PROSE_COLUMNS:
+            shown.append(clean_text(name).alias(name))
+        else:
+            as_is = {"date": _text_date(name), "float": F.col(name).cast("double"), "string": F.trim(name)}
+            shown.append(as_is.get(kind, F.col(name)).alias(name))
+    parts = cleaning.split_location(raw).select(F.col("id").alias("__id"), "host_city", "host_state")
+    return raw.select(*shown).join(parts, F.col("id") == F.col("__id")).drop("__id")
+
+
+def rejected_cells(spark, sf_dir):
+    """Calendar days with cells that do not fit, by listing and by what does not fit."""
+    listing = F.col("listing_id")
+    raw = bindings.raw_calendar(spark, sf_dir).withColumns(
+        {
+            "date": F.when(listing % 21 == 0, "someday").otherwise(F.col("date").cast("string")),
+            "minimum_nights": F.when(listing % 10 == 0, "x").otherwise(F.col("minimum_nights").cast("string")),
+            "maximum_nights": F.when(listing % 15 == 0, "1.5").otherwise(F.col("maximum_nights").cast("string")),
+        }
     )
+    texts = schemas.CALENDAR.replace(" date,", " string,").replace(" int", " string")
+    path = _exported(raw, texts, "rejected")
+    found = readers.rejected_records(spark, path, "calendar")
+    return found.groupBy(
+        F.element_at(F.split("record", ","), 1).cast("bigint").alias("listing_id"),
+        F.array_join("columns", "|").alias("columns"),
+    ).agg(F.count(F.lit(1)).alias("n_records"))
 
 
 def read_calendar_csv(spark, sf_dir):
@@ -343,8 +385,53 @@ def read_reviews_csv(spark, sf_dir):
     return cleaned.withColumn("date", _text_date("date"))
 
 
+def written_report(spark, sf_dir):
+    """A report as a full run writes it: staged tables, totals per listing, CSV, read back."""
+    folder = scratch_path(spark, "run")
+    market = bindings.market(spark, sf_dir)
+    (target,) = run_reports(market, f"{folder}/out", ["property_type_trends"], staging_uri=f"{folder}/staging", version="1")
+    columns = ALL_REPORTS["property_type_trends"].build(market).schema
+    return spark.read.csv(target, schema=columns, header=True)
+
+
+# Sketches, held against the exact operators
+
+
+def approx_quantiles(spark, sf_dir):
+    """Exact quantiles, and whether those of the sketches stand near enough."""
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", money("l_extendedprice").alias("price"))
+    fractions = {"low": 0.25, "middle": 0.5, "high": 0.9}
+    exact = quantiles.exact_quantiles(lines, "price", fractions, ["l_returnflag"])
+    rough = sketches.approximate_quantiles(lines, "price", fractions, ["l_returnflag"])
+    rough = rough.withColumnsRenamed({name: f"__{name}" for name in fractions})
+    price, n = F.col("price").cast("double"), F.count("price")
+    near = [
+        (F.count_if(price < F.col(f"__{name}")) / n <= fraction + sketches.RANK_ERROR)
+        & (F.count_if(price <= F.col(f"__{name}")) / n >= fraction - sketches.RANK_ERROR)
+        for name, fraction in fractions.items()
+    ]
+    checked = lines.join(rough, "l_returnflag").groupBy("l_returnflag").agg((near[0] & near[1] & near[2]).alias("within_error"))
+    return as_report(exact.join(checked, "l_returnflag"), "l_returnflag", *fractions, "within_error")
+
+
+def host_response_times_stats_sketched(spark, sf_dir):
+    """The exact report, and whether the one from sketches is near enough and else the same."""
+    exact = _report("host_response_times_stats")(spark, sf_dir)
+    rough = _report("host_response_times_stats_sketched")(spark, sf_dir)
+    rough = rough.select(*[F.col(c).alias(f"__{c}") for c in rough.columns])
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in exact.columns if c != "n_reviews"]
+    near = F.abs(F.col("__n_reviews") - F.col("n_reviews")) <= F.col("n_reviews") * sketches.DISTINCT_ERROR
+    joined = exact.join(rough, F.col("host_response_time") == F.col("__host_response_time"), "left")
+    within = F.coalesce(near & same[0] & same[1] & same[2] & same[3], F.lit(False))
+    return joined.select(*exact.columns, within.alias("within_error"))
+
+
 QUERIES: dict[str, Query] = {
     **{name: _report(name) for name in ALL_REPORTS},
+    "host_response_times_stats_sketched": host_response_times_stats_sketched,
+    "approx_quantiles": approx_quantiles,
+    "rejected_cells": rejected_cells,
+    "written_report": written_report,
     "clean_price": _clean_price(False),
     "clean_price_intended": _clean_price(True),
     "flag_to_bool": _flag_to_bool(False),

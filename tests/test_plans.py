@@ -2,6 +2,8 @@
 
 import pytest
 
+from roomledger import bindings
+from roomledger.plans.registry import ALL_REPORTS
 from roomledger.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -47,3 +49,31 @@ def test_the_calendar_is_scanned_once(spark, name):
     """Ranks and rows come from one shuffle of the days; the reviews are another scan."""
     df = QUERIES[name](spark, SF_DIR)
     assert scans(df, "l_extendedprice" if name != "occupancy_rate_per_month" else "l_linestatus") == 1
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["most_active_hosts_per_neighbourhood", "most_active_hosts_per_neighbourhood_intended", "host_tier_revenue_trends", "neighbourhood_group_performance"],
+)
+def test_several_distinct_counts_repeat_no_rows(spark, name):
+    assert "Expand" not in plan(QUERIES[name](spark, SF_DIR))
+
+
+def test_the_reviews_of_the_response_report_are_scanned_twice(spark):
+    """Once to count them per listing, once for their ids."""
+    df = QUERIES["host_response_times_stats"](spark, SF_DIR)
+    assert scans(df, "l_returnflag") <= 2
+
+
+def test_sketched_reviews_are_scanned_once(spark):
+    market = bindings.market(spark, SF_DIR)
+    df = ALL_REPORTS["host_response_times_stats_sketched"].build(market)
+    assert scans(df, "l_returnflag") == 1
+
+
+@pytest.mark.parametrize("name", ["host_tier_revenue_trends", "review_distribution_per_neighbourhood", "neighbourhood_group_performance"])
+def test_single_partitions_hold_sums_or_blocks(spark, name):
+    lines = plan(QUERIES[name](spark, SF_DIR)).splitlines()
+    for line, below in zip(lines, lines[1:]):
+        if "SinglePartition" in line:
+            assert "partial_" in below or "keys=[__block" in below, below

@@ -256,3 +256,20 @@ def test_null_safe_join(spark):
     left = spark.createDataFrame([(None, 1), ("a", 2)], "k string, l int")
     right = spark.createDataFrame([(None, 3), ("a", 4)], "k string, r int")
     assert sorted(joins.null_safe_join(left, right, ["k"]).collect(), key=str) == [("a", 2, 4), (None, 1, 3)]
+
+
+@pytest.fixture(scope="module")
+def tied(spark):
+    """A third of 60,000 rows share the winning value of one group, a third a losing value."""
+    return spark.range(0, 60000, 1, 16).selectExpr(
+        "CASE id % 3 WHEN 0 THEN 'hot' WHEN 1 THEN 'hot' ELSE string(id % 500) END AS g",
+        "CASE id % 3 WHEN 0 THEN 9 WHEN 1 THEN 1 ELSE pmod(xxhash64(id), 9) END AS v",
+        "id",
+    )
+
+
+def test_ties_leave_no_full_task(spark, tied):
+    top = ranking.top_n_per_group(tied, ["g"], [desc("v")], 1)
+    same_rows(top, naive_rank(tied, [desc("v")], "rnk", ["g"]).filter("rnk <= 1"))
+    assert top.filter("g = 'hot'").count() == 20000
+    assert largest_task(spark, top) < 6000

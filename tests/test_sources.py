@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql.types import StructType
 
 from roomledger import bindings, schemas
+from roomledger.plans import registry
 from roomledger.plans.load import load_market
 from roomledger.plans.registry import ALL_REPORTS, REPORTS, run_reports
 from roomledger.queries import _exported
@@ -122,3 +123,104 @@ def test_all_reports_as_csv(spark, export, tmp_path):
 def test_unknown_report(spark):
     with pytest.raises(KeyError, match="nothing"):
         run_reports(None, "unused", ["nothing"])
+
+
+@pytest.fixture
+def market(spark):
+    return bindings.market(spark, SF_DIR)
+
+
+def written_in(monkeypatch, stop_after=None):
+    """Names of the reports in the order of their writes; an error after ``stop_after``."""
+    seen = []
+
+    def write(df, uri, *args, **kwargs):
+        if len(seen) == stop_after:
+            raise RuntimeError("lost")
+        write_report(df, uri, *args, **kwargs)
+        seen.append(uri.rpartition("/")[2])
+
+    monkeypatch.setattr(registry, "write_report", write)
+    return seen
+
+
+def test_a_run_goes_on_after_the_reports_that_are_finished(spark, market, tmp_path, monkeypatch):
+    names = ["property_type_trends", "avg_price_by_neighbourhood", "occupancy_rate_per_month", "most_diverse_hosts_by_property_type", "room_type_seasonal_trends"]
+    where = {"out_uri": f"{tmp_path}/out", "names": names, "format": "parquet", "staging_uri": f"{tmp_path}/staging", "version": "may"}
+    seen = written_in(monkeypatch, stop_after=3)
+    with pytest.raises(RuntimeError, match="lost"):
+        run_reports(market, **where)
+    assert seen == names[:3] and Path(tmp_path, "staging", "calendar").exists()
+    # the staged tables serve the second run: without inputs it only needs them
+    empty = registry.replace(market, calendar=market.calendar.limit(0), listings=market.listings.limit(0))
+    seen = written_in(monkeypatch)
+    written = run_reports(empty, **where)
+    assert seen == names[3:] and written == [f"{tmp_path}/out/{n}" for n in names]
+    for name in names:
+        found, expected = spark.read.parquet(f"{tmp_path}/out/{name}"), ALL_REPORTS[name].build(market)
+        assert sorted(found.collect(), key=str) == sorted(expected.collect(), key=str)
+    assert not Path(tmp_path, "staging").exists()
+    seen = written_in(monkeypatch)
+    assert run_reports(market, **where) == written and seen == []
+    run_reports(market, **where | {"version": "june", "names": names[1:2]})
+    assert seen == names[1:2]
+
+
+LISTING_REPORTS = [n for n, r in ALL_REPORTS.items() if registry.LISTINGS in r.uses]
+
+
+def test_reports_on_listings_do_not_read_the_calendar_in_a_run(spark, export, tmp_path, monkeypatch):
+    """Nor the reviews, but for the distinct ids that the exact response report counts."""
+    files = {}
+
+    def write(df, uri, *args, **kwargs):
+        files[uri.rpartition("/")[2]] = " ".join(df.inputFiles())
+
+    monkeypatch.setattr(registry, "write_report", write)
+    assert {"lowest_occupancy_rate_and_review_scores", "super_hosts_vs_regular_hosts", "host_response_times_stats", "host_tier_revenue_trends", "neighbourhood_group_performance", "property_type_trends"} <= set(LISTING_REPORTS)
+    run_reports(load_market(spark, **export), f"{tmp_path}/out", LISTING_REPORTS, staging_uri=f"{tmp_path}/staging")
+    for name in LISTING_REPORTS:
+        assert "listing_totals" in files[name] and "calendar" not in files[name] and "month_totals" not in files[name]
+        assert ("/reviews/" in files[name]) == (name in ("host_response_times_stats", "host_response_times_stats_intended")), name
+
+
+@pytest.mark.parametrize("name", LISTING_REPORTS)
+def test_totals_per_listing_give_the_same_reports(spark, market, name):
+    held = registry.replace(market, listing_totals=market.make_listing_totals(sketches=True))
+    found, expected = ALL_REPORTS[name].build(held), ALL_REPORTS[name].build(market)
+    assert sorted(found.collect(), key=str) == sorted(expected.collect(), key=str)
+
+
+def test_rejected_records_are_told_with_file_and_columns(spark, tmp_path):
+    header = "listing_id,date,available,price,adjusted_price,minimum_nights,maximum_nights\n"
+    (tmp_path / "a_calendar.csv").write_text(header + '1,2024-01-01,t,"$1,000.00",,2,3\n2,someday,f,$5.00,$4.00,x,1.5\n')
+    (tmp_path / "b_calendar.csv").write_text(header + "3,2024-01-01,t\n4,2024-01-02,f,$1.00,,1,1\n5,,t,,,,\n6,2024-01-01,t,$1.00,,1,many\n")
+    rejected = readers.rejected_records(spark, f"{tmp_path}/*_calendar.csv", "calendar")
+    found = {(Path(r.file).name, r.record, tuple(r["columns"])) for r in rejected.collect()}
+    assert found == {
+        ("a_calendar.csv", "2,someday,f,$5.00,$4.00,x,1.5", ("date", "minimum_nights", "maximum_nights")),
+        ("b_calendar.csv", "6,2024-01-01,t,$1.00,,1,many", ("maximum_nights",)),
+    }
+    counts = {(Path(r.file).name, r.column): r.n_records for r in readers.rejected_counts(rejected).collect()}
+    assert counts == {("a_calendar.csv", c): 1 for c in ("date", "minimum_nights", "maximum_nights")} | {("b_calendar.csv", "maximum_nights"): 1}
+    assert readers.read_calendar(spark, f"{tmp_path}/*_calendar.csv").count() == 6
+
+
+def test_rejected_records_over_several_lines(spark, tmp_path):
+    text = 'listing_id,id,date,reviewer_id,reviewer_name,comments\none,2,2024-01-01,3,Ann,"So ""nice"",\nreally"\n1,2,2024-01-01,3,Ben,fine\n'
+    (tmp_path / "x_reviews.csv").write_text(text)
+    (found,) = readers.rejected_records(spark, str(tmp_path), "reviews").collect()
+    assert found.columns == ["listing_id"] and found.record.startswith("one,2,")
+
+
+def test_scratch_needs_a_shared_folder():
+    class Session:
+        def __init__(self, **settings):
+            self.conf = {k.replace("_", "."): v for k, v in settings.items()}
+
+    local = {"spark_sql_warehouse_dir": "file:/home/me/spark-warehouse"}
+    assert scratch.scratch_path(Session(**local, spark_master="local[4]"), "t").startswith("file:/home/me/")
+    with pytest.raises(ValueError, match="checkpoint"):
+        scratch.scratch_path(Session(**local, spark_master="yarn"), "t")
+    shared = {"spark_sql_warehouse_dir": "hdfs://n/w", "spark_master": "yarn"}
+    assert scratch.scratch_path(Session(**shared), "t").startswith("hdfs://n/w/")
