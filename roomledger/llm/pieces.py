@@ -7,7 +7,7 @@ become their bytes.
 
 No merge crosses a place where two characters meet that no piece holds side by side. A text is
 cut there into units, and equal units are encoded once per Python worker and cache. In each
-Arrow batch the units that are new are checked against the library.
+Arrow batch the units that are new are encoded and decoded by the library too.
 """
 
 from __future__ import annotations
@@ -16,12 +16,17 @@ import hashlib
 import re
 from collections.abc import Iterator, Sequence
 from heapq import heapify, heappop, heappush
+from sys import getsizeof
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-CACHED_UNITS = 700_000
-CACHED_RUNS = 400_000
+# Bytes of a worker's caches, what a dictionary needs for an entry included, and the letters of
+# the longest unit that they keep. Texts without blanks are one unit a line.
+CACHED_UNIT_BYTES = 176 << 20
+CACHED_RUN_BYTES = 96 << 20
+ENTRY_BYTES = 100
+LONGEST_KEPT = 64
 SPACE = "▁"
 PUNCTUATION = ".,!*$%&#;:?"
 
@@ -58,6 +63,12 @@ class PieceEncoder:
         #: ids in decimal, parted by blanks
         self.runs: dict[str, str] = {}
         self.units: dict[str, str] = {}
+        self.run_bytes = self.unit_bytes = 0
+        #: units of the texts at hand that are too long to be kept; whether one of them is odd
+        self.long_units: dict[str, str] = {}
+        self.long_odd = False
+        #: units that the library decodes to something else than their own text
+        self.odd_units: set[str] = set()
 
     # One run of characters that may merge
 
@@ -113,7 +124,10 @@ class PieceEncoder:
     def _run_ids(self, run: str) -> str:
         ids = self.runs.get(run)
         if ids is None:
-            ids = self.runs[run] = " ".join(map(str, self.merge(run)))
+            ids = " ".join(map(str, self.merge(run)))
+            if len(run) <= LONGEST_KEPT:
+                self.runs[run] = ids
+                self.run_bytes += ENTRY_BYTES + getsizeof(run) + getsizeof(ids)
         return ids
 
     def _unit_ids(self, unit: str) -> str:
@@ -128,9 +142,13 @@ class PieceEncoder:
         return self.unit_pattern.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
     def learn(self, units: set[str]) -> None:
-        """Encode units and check them against the library; a difference is an error."""
-        if len(self.runs) > CACHED_RUNS:
+        """Encode units and check them against the library; a difference is an error.
+
+        Units that the library does not decode to their own text are remembered as odd.
+        """
+        if self.run_bytes > CACHED_RUN_BYTES:
             self.runs.clear()
+            self.run_bytes = 0
         new = sorted(units)
         ids = [self._unit_ids(u) for u in new]
         # the library puts a blank before a text; where a unit has none, a lone character parts them
@@ -138,25 +156,53 @@ class PieceEncoder:
         asked = [u[1:] if p else self.alone + u for u, p in zip(new, plain)]
         skipped = len(self.library.encode(self.alone))
         found = self.library.encode(asked, num_threads=1)
-        for unit, own, p, other in zip(new, ids, plain, found, strict=True):
+        said = self.library.decode(found, num_threads=1)
+        for unit, own, p, other, text, back in zip(new, ids, plain, found, asked, said, strict=True):
             if own != " ".join(map(str, other if p else other[skipped:])):
                 raise ValueError(f"{unit!r}: {own} but the library gives {other}")
-        self.units.update(zip(new, ids))
+            odd = back != text.replace(SPACE, " ")
+            if len(unit) <= LONGEST_KEPT:
+                self.units[unit] = own
+                self.unit_bytes += ENTRY_BYTES + getsizeof(unit) + getsizeof(own) + odd * ENTRY_BYTES
+                if odd:
+                    self.odd_units.add(unit)
+            else:
+                self.long_units[unit] = own
+                self.long_odd |= odd
 
     def prepare(self, texts: Sequence[str]) -> list[list[str]]:
-        """The units of each text, all of them known from here on."""
+        """The units of each text, all of them known until the next call."""
         split = [self.split(t) for t in texts]
-        new = set().union(*split).difference(self.units)
-        if len(self.units) + len(new) > CACHED_UNITS:
+        if self.unit_bytes > CACHED_UNIT_BYTES:
             self.units.clear()
-            new = set().union(*split)
+            self.odd_units.clear()
+            self.unit_bytes = 0
+        self.long_units.clear()
+        self.long_odd = False
+        new = set().union(*split).difference(self.units)
         if new:
             self.learn(new)
         return split
 
+    def ids_of(self, units: Sequence[str]) -> str:
+        """Decimal ids, parted by blanks, of the units of a prepared text."""
+        if self.long_units:
+            return " ".join([self.units.get(u) or self.long_units[u] for u in units])
+        return " ".join(map(self.units.__getitem__, units))
+
+    def decode(self, text: str, units: Sequence[str], ids: list[int]) -> str:
+        """What the library's decode gives for the ids of a prepared text.
+
+        It has decoded every unit by itself. Where each came out as it was, blanks being blanks
+        and none of them at the beginning, the whole does too.
+        """
+        plain = text[:1] not in ("", " ") and SPACE not in text and not self.long_odd
+        if plain and self.odd_units.isdisjoint(units):
+            return text
+        return self.library.decode(ids)
+
     def encode(self, text: str) -> list[int]:
-        known = self.units
-        return [int(i) for u in self.prepare([text])[0] for i in known[u].split()]
+        return list(map(int, self.ids_of(self.prepare([text])[0]).split()))
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -177,7 +223,8 @@ def round_trip(docs: DataFrame, model_path: str, end: bool = True, carry: Sequen
 
     ``n_tokens`` counts all ids (the end id too), ``ids_sha256`` is the hash of the decimal
     ids joined by a blank, ``decoded_sha256`` that of the text that the library's decode(ids)
-    gives. A null or empty text has the end id only. Rows are encoded one by one: repeated
+    gives. A null or empty text has the end id only. Of very long texts the units are encoded one
+    by one; a worker's caches are bounded in bytes, whatever the script. Rows are encoded one by one: repeated
     rows give repeated results, other columns are left out.
     """
 
@@ -187,15 +234,16 @@ def round_trip(docs: DataFrame, model_path: str, end: bool = True, carry: Sequen
         for whole in batches:
             for at in range(0, whole.num_rows, TEXTS_AT_ONCE):
                 batch = whole.slice(at, TEXTS_AT_ONCE)
-                split = encoder.prepare([t or "" for t in batch.column("text").to_pylist()])
-                known = encoder.units
+                texts = [t or "" for t in batch.column("text").to_pylist()]
                 n, ids_sha, decoded_sha = [], [], []
-                for units in split:
-                    written = " ".join([*map(known.__getitem__, units), *last])
+                for k, (text, units) in enumerate(zip(texts, encoder.prepare(texts))):
+                    written = " ".join(filter(None, [encoder.ids_of(units), *last]))
                     ids = list(map(int, written.split()))
                     n.append(len(ids))
                     ids_sha.append(hashlib.sha256(written.encode()).hexdigest())
-                    decoded = encoder.library.decode(ids)
+                    decoded = encoder.decode(text, units, ids)
+                    if not k and decoded != encoder.library.decode(ids):
+                        raise ValueError(f"{text!r} is decoded differently by the library")
                     decoded_sha.append(hashlib.sha256(decoded.encode("utf-8", "replace")).hexdigest())
                 arrays = [*map(batch.column, carry), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())]
                 yield pa.RecordBatch.from_arrays(arrays, [*carry, "n_tokens", "ids_sha256", "decoded_sha256"])

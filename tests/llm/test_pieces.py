@@ -1,5 +1,6 @@
 import hashlib
 import random
+import sys
 
 import pytest
 import sentencepiece
@@ -52,8 +53,8 @@ def test_a_wrong_id_is_found(encoder):
 
 
 def test_small_caches_give_the_same(monkeypatch):
-    monkeypatch.setattr(pieces, "CACHED_UNITS", 2)
-    monkeypatch.setattr(pieces, "CACHED_RUNS", 2)
+    monkeypatch.setattr(pieces, "CACHED_UNIT_BYTES", 400)
+    monkeypatch.setattr(pieces, "CACHED_RUN_BYTES", 400)
     other = pieces.PieceEncoder(PIECE_MODEL)
     for text in ["one two three four", "five, six. one", "two"]:
         assert other.encode(text) == LIBRARY.encode(text)
@@ -69,3 +70,27 @@ def test_round_trip(spark, documents):
         want.add((doc_id, len(ids), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
     assert got == want
     assert pieces.round_trip(documents([]), PIECE_MODEL).count() == 0
+
+
+def test_caches_are_bounded_in_bytes_for_texts_without_blanks(monkeypatch):
+    monkeypatch.setattr(pieces, "CACHED_UNIT_BYTES", 300_000)
+    monkeypatch.setattr(pieces, "CACHED_RUN_BYTES", 200_000)
+    encoder = pieces.PieceEncoder(PIECE_MODEL)
+    draw = random.Random(4)
+    for k in range(60):
+        long = "".join(draw.choices("日本語文字列", k=9000)) + f" end{k}"
+        short = " ".join("".join(draw.choices("abcdefgh", k=7)) for _ in range(300))
+        for text in (long, short):
+            assert encoder.encode(text) == LIBRARY.encode(text)
+        held = sum(sys.getsizeof(x) for d in (encoder.units, encoder.runs) for kv in d.items() for x in kv)
+        assert held < 700_000 and max(map(len, [*encoder.units, *encoder.runs])) <= pieces.LONGEST_KEPT
+        assert len(encoder.long_units) <= 1
+
+
+def test_decoded_texts_equal_the_library(encoder):
+    draw = random.Random(6)
+    parts = ["th", "er", " ", "  ", "\n", ".", "É", "▁", "語", "\t", "<0x41>", "😀", "\x00", "�"]
+    texts = ["".join(draw.choices(parts, k=draw.randrange(1, 40))) for _ in range(400)] + ODD_TEXTS
+    for text, units in zip(texts, encoder.prepare(texts)):
+        ids = LIBRARY.encode(text)
+        assert encoder.decode(text, units, ids) == LIBRARY.decode(ids), text
