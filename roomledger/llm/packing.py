@@ -16,6 +16,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Callable, Iterator, Sequence
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,12 @@ from roomledger.llm.common import whole_texts
 TIERS = (256, 512, 1024, 2048)
 BUFFER_TOKENS = 1 << 20
 SLOTS_PER_STEP = 8
-CACHED_WORDS = 900_000
-CACHED_LETTERS = 500_000
+# Bytes of a worker's caches, what a dictionary needs for an entry included, and the bytes of the
+# longest word that they keep. Texts without blanks are a single word.
+CACHED_WORD_BYTES = 208 << 20
+CACHED_LETTER_BYTES = 96 << 20
+ENTRY_BYTES = 100
+LONGEST_KEPT = 64
 END_ID = 1
 
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier long, step_group long"
@@ -60,6 +65,9 @@ class WordEncoder:
         self.words: dict[bytes, bytes] = {}
         self.letters: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
+        self.word_bytes = self.letter_bytes = 0
+        #: words of the text at hand that are too long to be kept
+        self.long_words: dict[bytes, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
@@ -71,35 +79,48 @@ class WordEncoder:
             begin = 0
             for run, end in zip(part, (np.flatnonzero(self.ends[ids]) + 1).tolist(), strict=True):
                 self.letters[run] = ids[begin:end].tobytes()
+                self.letter_bytes += ENTRY_BYTES + getsizeof(run) + getsizeof(self.letters[run])
                 begin = end
 
+    def _keep(self, word: bytes, ids: bytes) -> None:
+        self.words[word] = ids
+        self.word_bytes += ENTRY_BYTES + getsizeof(word) + getsizeof(ids)
+
     def _learn(self, words: list[bytes]) -> None:
         parts = {}
         for word in words:
             text = word.decode("utf-8", "replace")
+            if len(word) > LONGEST_KEPT:
+                self.long_words[word] = self._ids(text).tobytes()
+                continue
             run = text.rstrip(self.PUNCTUATION)
             low = run.lower()
             if low.isalpha() and run.isalpha() and max(run) < self.LATIN:
                 parts[word] = low, text[len(run) :]
             else:
-                self.words[word] = self._ids(text).tobytes()
+                self._keep(word, self._ids(text).tobytes())
         self._learn_letters(sorted({low for low, _ in parts.values()}.difference(self.letters)))
         for word, (low, mark) in parts.items():
             if mark not in self.marks:
                 self.marks[mark] = self._ids(mark).tobytes()
-            self.words[word] = self.letters[low] + self.marks[mark]
+                self.letter_bytes += ENTRY_BYTES + getsizeof(mark) + getsizeof(self.marks[mark])
+            self._keep(word, self.letters[low] + self.marks[mark])
 
     def encode(self, text: str) -> bytes:
         words = text.encode("utf-8", "replace").split()
+        if self.word_bytes > CACHED_WORD_BYTES:
+            self.words.clear()
+            self.word_bytes = 0
+        if self.letter_bytes > CACHED_LETTER_BYTES:
+            self.letters.clear()
+            self.marks.clear()
+            self.letter_bytes = 0
+        self.long_words.clear()
         new = set(words).difference(self.words)
         if new:
-            if len(self.words) + len(new) > CACHED_WORDS:
-                self.words.clear()
-                new = set(words)
-            if len(self.letters) + len(self.marks) > CACHED_LETTERS:
-                self.letters.clear()
-                self.marks.clear()
             self._learn(sorted(new))
+        if self.long_words:
+            return b"".join([self.words[w] if len(w) <= LONGEST_KEPT else self.long_words[w] for w in words])
         return b"".join(map(self.words.__getitem__, words))
 
 
@@ -194,7 +215,8 @@ def pack(docs: DataFrame, tokenizer_path: str, tiers: Sequence[int] = TIERS) ->
     """A row for each piece of each document (doc_id, text): where its ids lie.
 
     The ids of a document are those of the tokenizer without special tokens, then the end id
-    1, so that an empty or null text is one token. ``sequence_id`` numbers the windows (tasks
+    1, so that an empty or null text is one token. A very long text is held whole as ids, and a
+    worker's cache of words is bounded in bytes, whatever the script. ``sequence_id`` numbers the windows (tasks
     have ranges of their own), ``tier`` is a window's length, ``step_group`` numbers groups of
     ``SLOTS_PER_STEP`` times the longest length. Repeated rows are packed as often as they
     occur; other columns are left out. An empty table gives no rows.

@@ -1,4 +1,5 @@
 import random
+import sys
 import zlib
 from collections import defaultdict
 
@@ -73,7 +74,7 @@ def test_encoder_equals_the_library():
 
 
 def test_a_small_cache_gives_the_same(monkeypatch):
-    monkeypatch.setattr(packing, "CACHED_WORDS", 3)
+    monkeypatch.setattr(packing, "CACHED_WORD_BYTES", 400)
     encoder = packing.WordEncoder(PACKING_TOKENIZER)
     for text in ["a bb cc dd ee", "ff gg a, bb.", "hh"]:
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == slow_ids(text)[:-1]
@@ -95,3 +96,18 @@ def test_padding_sums_up(spark, documents):
     pieces = packing.pack(documents([(1, "a b"), (2, "c")]).coalesce(1), PACKING_TOKENIZER)
     total = packing.padding(pieces).first()
     assert (total["tokens"], total["padded"]) == (5, 2043)
+
+
+def test_caches_are_bounded_in_bytes_for_texts_without_blanks(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_WORD_BYTES", 300_000)
+    monkeypatch.setattr(packing, "CACHED_LETTER_BYTES", 200_000)
+    encoder = packing.WordEncoder(PACKING_TOKENIZER)
+    draw = random.Random(4)
+    for k in range(60):
+        long = "".join(draw.choices("日本語文字列", k=9000)) + f" end{k}"
+        short = " ".join("".join(draw.choices("abcdefgh", k=7)) for _ in range(300))
+        for text in (long, short, "a" * 500 + "!"):
+            assert encoder.encode(text) == np.array(slow_ids(text)[:-1], "<u4").tobytes()
+        held = sum(sys.getsizeof(x) for d in (encoder.words, encoder.letters) for kv in d.items() for x in kv)
+        assert held < 700_000 and max(map(len, encoder.words), default=0) <= packing.LONGEST_KEPT
+        assert len(encoder.long_words) <= 1
