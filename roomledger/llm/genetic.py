@@ -34,6 +34,7 @@ ISLANDS = 3
 EPOCHS = 2
 POPULATION = 4
 CHILDREN = 12  # of an island in an epoch
+TASK_ISLANDS = 256
 ELITE_SHARE = 0.4  # of a parent's bins are injected, at most
 KEPT_SHARE = 512  # a window that lacks at most one in so many tokens stays after a round
 
@@ -205,20 +206,27 @@ def _epoch(state: DataFrame, window: int, number: int) -> DataFrame:
     return state.mapInArrow(run, STATE)
 
 
-def evolved(blocks: DataFrame, window: int = WINDOW, islands: int = ISLANDS, epochs: int = EPOCHS, number: int = 0) -> DataFrame:
+def evolved(
+    blocks: DataFrame, n_blocks: int, window: int = WINDOW, islands: int = ISLANDS, epochs: int = EPOCHS, number: int = 0
+) -> DataFrame:
     """(block, best) of blocks (block, lengths): the bin of each piece in the best individual.
 
-    ``islands`` populations of each block evolve in tasks of their own. Between epochs the
-    best individual of an island migrates to the next one of its block, in a ring.
+    ``islands`` populations of each block evolve apart, at most ``TASK_ISLANDS`` of them in a
+    task if there are more than one a shuffle partition. Between epochs the best individual of
+    an island migrates to the next one of its block, in a ring.
     """
+    width = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(min(n_blocks * islands, width), n_blocks * islands // TASK_ISLANDS)
     state = blocks.select("block", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"), "lengths")
     state = state.withColumns({"population": F.array().cast("array<binary>"), "migrant": F.lit(None).cast("binary")})
     for epoch in range(epochs):
         if epoch:
             migrants = state.select("block", ((F.col("island") + 1) % islands).alias("island"), F.col("population")[0].alias("migrant"))
-            state = state.join(migrants, ["block", "island"])
+            # a given number of tasks, since rows are few and small but work much
+            migrants = migrants.repartition(tasks, "block", "island")
+            state = state.drop("migrant").repartition(tasks, "block", "island").join(migrants, ["block", "island"])
         else:
-            state = state.repartition("block", "island")
+            state = state.repartition(tasks, "block", "island")
         state = written(_epoch(state, window, number * epochs + epoch), "islands")
     merit = F.struct(-F.col("bins"), "fullness", -F.col("island"))
     return state.groupBy("block").agg(F.max_by(F.col("population")[0], merit).alias("best"))
@@ -278,7 +286,7 @@ def pack(
         content = F.sort_array(F.collect_list(F.struct("length", "item")), asc=False)
         dealt = left.groupBy(block.alias("block")).agg(content.alias("content"))
         dealt = written(dealt.select("block", F.col("content.item").alias("items"), F.col("content.length").alias("lengths")), "blocks")
-        best = evolved(dealt.drop("items"), window, islands, epochs, number)
+        best = evolved(dealt.drop("items"), blocks, window, islands, epochs, number)
         laid = written(_laid_out(dealt.join(best, "block"), window, blocks == 1), "windows")
         places = places.unionByName(laid.where("kept").select("item", "sequence_id", "offset"))
         left = laid.where("NOT kept").select("item", "length")

@@ -83,7 +83,7 @@ def test_evolution_betters_the_first_generation():
 
 def test_elite_migrates(spark):
     blocks = spark.createDataFrame([(0, [700, 1300, 40] * 30), (1, [2000, 48])], "block long, lengths array<int>")
-    best = {r.block: r.best for r in genetic.evolved(blocks, epochs=3).collect()}
+    best = {r.block: r.best for r in genetic.evolved(blocks, 2, epochs=3).collect()}
     bins, room = genetic.Packer([2000, 48]).heard(bytes(best[1]))
     assert bins == [[0, 1]] and room == [0]
     assert len(genetic.Packer([700, 1300, 40] * 30).heard(bytes(best[0]))[0]) == 30
