@@ -151,7 +151,8 @@ class Pair:
                 to_a = len(a)
             to_b = int(np.searchsorted(b, a[to_a - 1], "right"))
             ends_a, ends_b = a[at_a:to_a], b[at_b:to_b]
-            ends = np.union1d(ends_a, ends_b)
+            ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")  # merges two sorted halves
+            ends = ends[np.append(np.diff(ends) != 0, True)]
             key = first[at_a:to_a][np.searchsorted(ends_a, ends)] << SIDE_BITS
             key |= second[at_b:to_b][np.searchsorted(ends_b, ends)]
             record = np.searchsorted(document_ends, ends) << 2 * SIDE_BITS | key
