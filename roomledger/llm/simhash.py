@@ -24,9 +24,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roomledger.llm.common import written
+from roomledger.operators.joins import hot_key_limit
 
 SHINGLES_AT_ONCE = 1 << 16
 CODE_LENGTH = 31
+HOT_ROWS = 64  # a key with fewer rows is never hot
 MAX_DISTANCE = 3
 
 
@@ -141,11 +143,34 @@ def _triple_links(nodes: DataFrame) -> DataFrame:
     return groups.where("u <> v").distinct()
 
 
+def spread_join(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Inner join of two written tables, where ``table`` has one row for each ``key``.
+
+    ``n`` of ``table`` is the number of ``rows`` of the key. The rows of hot keys, of which
+    there are fewer than ``hot_key_limit``, meet their partner by a broadcast where they are;
+    all others take the ordinary join. ``n`` is left out.
+    """
+    total = table.agg(F.sum("n")).first()[0] or 0
+    bound = max(total / hot_key_limit(rows), HOT_ROWS)
+    hot = table.where(F.col("n") > bound).drop("n")
+    if not hot.take(1):
+        return rows.join(table.drop("n"), key)
+    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(table.where(F.col("n") <= bound).drop("n"), key)
+    return cold.unionByName(rows.join(F.broadcast(hot), key))
+
+
+def _with_lowest(links: DataFrame) -> DataFrame:
+    """(u, v, m) of written links (u, v): the smallest neighbour of ``u`` on each of its links."""
+    lowest = links.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+    return spread_join(links, written(lowest, "lowest"), "u")
+
+
 def connected(links: DataFrame) -> DataFrame:
     """(u, v) links of longs to (node, root): the smallest node that each can reach.
 
     Alternates large and small stars until nothing changes: a logarithmic number of rounds in
-    practice, each an aggregation and a join of the links, written to the shared folder.
+    practice, each two aggregations and joins of the links, written to the shared folder. The
+    links of a node that has very many, the centre of a star, stay spread over all tasks.
     """
     edges = written(
         links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(),
@@ -153,12 +178,9 @@ def connected(links: DataFrame) -> DataFrame:
     )
     before = None
     while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select("u", "v", "m")
+        both = written(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), "both")
+        large = _with_lowest(both).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
+        small = _with_lowest(written(large.where("u <> v").distinct(), "large"))
         stars = small.select("u", F.col("m").alias("v")).unionByName(
             small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         )
@@ -172,12 +194,14 @@ def connected(links: DataFrame) -> DataFrame:
 
 
 def _with_roots(nodes: DataFrame, key: str, roots: DataFrame) -> DataFrame:
-    found = roots.select(F.col("node").alias(key), "root")
-    return nodes.join(found, key, "left").withColumn("root", F.coalesce("root", key))
+    """Written ``nodes`` with the ``root`` of each ``key``; a key without links is its own."""
+    sizes = nodes.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    found = sizes.join(roots.select(F.col("node").alias(key), "root"), key, "left")
+    return spread_join(nodes, written(found.withColumn("root", F.coalesce("root", key)), "roots"), key)
 
 
 def components(nodes: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """(fp, first, component_id, root) of the different fingerprints (fp, first).
+    """Nodes, different fingerprints (fp, first), with their ``component_id`` and ``root``.
 
     ``first`` is the smallest doc_id of a fingerprint, ``component_id`` that of its component,
     ``root`` the component's smallest fingerprint. ``max_distance`` is 3 or less: the radius of
@@ -187,8 +211,8 @@ def components(nodes: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
         raise ValueError(f"max_distance must be 0 to {MAX_DISTANCE}")
     parted = nodes.select("fp", F.col("fp").alias("part"))
     if max_distance == MAX_DISTANCE:
-        near = connected(_triple_links(nodes))
-        parted = _with_roots(nodes.select("fp"), "fp", near).select("fp", F.col("root").alias("part"))
+        near = connected(_triple_links(nodes)).withColumnRenamed("node", "fp")
+        parted = nodes.select("fp").join(near, "fp", "left").select("fp", F.coalesce("root", "fp").alias("part"))
         parted = written(parted, "parts")
     homes = _homes(parted).select(
         F.col("half").alias("half_a"),
@@ -204,13 +228,15 @@ def components(nodes: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
         & (F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp"))) <= max_distance),
     ).select(F.col("part_a").alias("u"), F.col("part").alias("v"))
     rooted = _with_roots(parted, "part", connected(links)).select("fp", "root")
-    rooted = nodes.join(rooted, "fp")
-    ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rooted.join(ids, "root").select("fp", "first", "component_id", "root")
+    rooted = written(nodes.join(rooted, "fp"), "rooted")
+    ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("__n"))
+    named = spread_join(rooted, written(ids.withColumnRenamed("__n", "n"), "ids"), "root")
+    return named.select(*nodes.columns, "component_id", "root")
 
 
 def _nodes(prints: DataFrame) -> DataFrame:
-    return written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
+    """(fp, first, rows) of the different fingerprints: smallest doc_id and number of rows."""
+    return written(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("rows")), "nodes")
 
 
 def near_groups(prints: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
@@ -220,8 +246,9 @@ def near_groups(prints: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFram
     doc_id of those reachable, itself included; null only if all of them are null.
     """
     prints = written(prints, "fingerprints")
-    found = components(_nodes(prints), max_distance).select("fp", "component_id")
-    return prints.join(found, "fp")
+    found = components(_nodes(prints), max_distance).select("fp", "component_id", F.col("rows").alias("n"))
+    # rows of one fingerprint, such as empty texts, stay spread over all tasks
+    return spread_join(prints, written(found, "components"), "fp")
 
 
 def one_of_each_group(prints: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:

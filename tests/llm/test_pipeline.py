@@ -51,5 +51,5 @@ def test_empty_tables(spark, sf_dir, documents, number):
 
 
 def test_registered():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(QUERIES) | {"pipeline"} <= set(driver.queries())

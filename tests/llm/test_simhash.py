@@ -7,6 +7,7 @@ from conftest_llm import ODD_ROWS
 from pyspark.sql import functions as F
 
 from roomledger.llm import simhash
+from roomledger.llm.common import written
 
 
 def slow_fingerprint(text, size=3):
@@ -119,3 +120,39 @@ def test_empty_table(spark, documents):
 def test_shingles_of_other_sizes():
     assert len(simhash.shingle_hashes("a b c d e", 2)) == 4
     assert np.array_equal(simhash.shingle_hashes("a b", 2), simhash.shingle_hashes("a b", 5))
+
+
+def largest_task(spark, df):
+    """Rows of the fullest partition, without adaptive execution and automatic broadcasts."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_the_centre_of_a_star_leaves_no_full_task(spark):
+    """A third of the links end at one node."""
+    links = spark.range(0, 30_000, 1, 16).selectExpr("id + 10 AS u", "CASE WHEN id % 3 = 0 THEN 1 ELSE id END AS v")
+    both = written(links.unionByName(links.selectExpr("v AS u", "u AS v")), "both")
+    spread = simhash._with_lowest(both)
+    assert spread.where("u = 1").count() == 10_001
+    assert largest_task(spark, spread) < 11_000
+    plain = both.groupBy("u").agg(F.min("v").alias("m")).join(both, "u").select("u", "v", "m")
+    assert sorted(spread.collect()) == sorted(plain.collect())
+
+
+def test_one_component_and_one_fingerprint_with_a_third_of_the_rows_each(spark):
+    centre = 0x0123456789ABCDEF
+    near = [centre ^ (1 << a) ^ (1 << b) for a in range(63) for b in range(a + 1, 63)][:1500]
+    draw = random.Random(5)
+    prints = [*near, *[7] * 1500, *(draw.getrandbits(63) for _ in range(1500))]
+    rows = [(i, fp) for i, fp in enumerate(prints)]
+    df = spark.createDataFrame(rows, "doc_id long, fp long").repartition(16)
+    found = simhash.near_groups(df)
+    assert largest_task(spark, found) < 1800
+    ids = {r.doc_id: r.component_id for r in found.collect()}
+    assert len(ids) == 4500 and {ids[i] for i in range(1500)} == {0} and {ids[i] for i in range(1500, 3000)} == {1500}
+    assert all(ids[i] == i for i in range(3000, 4500))
