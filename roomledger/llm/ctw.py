@@ -10,7 +10,7 @@ sequences of length ``DEPTH + 1``: bottom-up for the weights, top-down for the p
 A text is coded as its words (A-Z lower-cased) joined by one blank, and one end byte. Its
 contexts begin with ends, as if an empty text stood before it.
 
-The texts are cut into blocks. A block sends each of its different words and sequences once,
+The texts are cut into blocks, and a block into portions. A block sends each of its different words and sequences once,
 with their counts in training texts, and gets back the word's count and the sequence's
 prediction; then its texts are scored. Sequences that occur only in texts that are held out
 take part with the count 0, so that their predictions come from the shorter contexts.
@@ -19,8 +19,9 @@ take part with the count 0, so that their predictions come from the shorter cont
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
 
@@ -29,7 +30,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roomledger.llm.common import whole_texts, written
@@ -39,8 +40,11 @@ DEPTH = 5
 LOW = 2
 END = b"\n"
 BLOCK_BYTES = 18 << 20
-BYTES_AT_ONCE = 1 << 20
+PORTION_BYTES = 1 << 20
 KEYS_PER_PART = 50_000
+#: A context of depth 2 with more sequences is cut deeper.
+HOT_KEYS = 200_000
+BLANKS = re.compile(rb"[\x20\x09-\x0D]+")
 LOG2 = math.log(2)
 
 
@@ -175,98 +179,128 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
-def packed(texts: list[list[bytes]], depth: int = DEPTH):
-    """(keys, valid, begins): the sequences of texts laid one after the other, each after
-    ``depth`` ends; ``valid`` where the last byte is coded; where each text begins."""
-    parts = [END * depth + b" ".join(words) + END for words in texts]
+@dataclass(frozen=True)
+class Piece:
+    """Words of a row that follow one another, the bytes coded before them, and whether the
+    text ends with them."""
+
+    row: int
+    words: list[bytes]
+    head: bytes = END * DEPTH
+    last: bool = True
+
+
+def pieces(row: int, raw: bytes, size: int) -> Iterator[Piece]:
+    """A text in pieces of about ``size`` bytes, cut between words."""
+    if len(raw) <= size:
+        yield Piece(row, raw.lower().split())
+        return
+    raw = raw.strip()
+    at, head = 0, END * DEPTH
+    while gap := BLANKS.search(raw, at + size):
+        words = raw[at : gap.start()].lower().split()
+        yield Piece(row, words, head, False)
+        head = (head + b" ".join(words[-DEPTH:]) + b" ")[-DEPTH:]
+        at = gap.end()
+    yield Piece(row, raw[at:].lower().split(), head)
+
+
+def packed(portion: Sequence[Piece], depth: int = DEPTH):
+    """(keys, valid, begins): the sequences of pieces laid one after the other, each after the
+    ``depth`` bytes before it; ``valid`` where the last byte is coded; where each piece begins."""
+    parts = [p.head + b" ".join(p.words) + (END if p.last else b" ") for p in portion]
     lengths = np.fromiter(map(len, parts), np.int64, len(parts))
     begins = np.cumsum(lengths) - lengths
-    raw = np.frombuffer(b"".join(parts), np.uint8).astype(np.int64)
+    raw = np.frombuffer(b"".join(parts), np.uint8)
     n = len(raw) - depth
     keys = np.zeros(n, np.int64)
     for i in range(depth + 1):
-        keys = (keys << 8) | raw[i : i + n]
+        keys <<= 8
+        keys |= raw[i : i + n]
     valid = np.ones(n, bool)
     for b in begins[1:].tolist():
         valid[b - depth : b] = False
     return keys, valid, begins
 
 
-def _portions(rows: pa.RecordBatch | pa.Table) -> Iterator[tuple[pa.RecordBatch | pa.Table, list[list[bytes]]]]:
-    """A few rows at a time, and the words of their texts, so that few words are held at once."""
-    at, size = 0, 0
-    texts: list[list[bytes]] = []
-    for i, text in enumerate(rows.column("text")):
-        raw = text.as_py() or ""
-        texts.append(words_of(raw))
-        size += len(raw)
-        if size >= BYTES_AT_ONCE:
-            yield rows.slice(at, i + 1 - at), texts
-            at, size, texts = i + 1, 0, []
-    if texts:
-        yield rows.slice(at), texts
+def portions(texts: pa.Array | pa.ChunkedArray, size: int) -> Iterator[list[Piece]]:
+    """The pieces of texts, about ``size`` bytes at a time, so that few words are held at once."""
+    held: list[Piece] = []
+    total = 0
+    for row, text in enumerate(texts.cast(pa.binary())):
+        for piece in pieces(row, text.as_py() or b"", size):
+            held.append(piece)
+            total += len(piece.head) + sum(map(len, piece.words)) + len(piece.words)
+            if total >= size:
+                yield held
+                held, total = [], 0
+    if held:
+        yield held
 
 
 def _merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted runs of different keys as one; a stable sort merges them."""
     keys = np.concatenate([k for k, _ in found])
     n = np.concatenate([c for _, c in found])
-    keys, to = np.unique(keys, return_inverse=True)
-    return keys, np.bincount(to, n, len(keys)).astype(np.int64)
+    found.clear()
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else order
+    return keys[first], np.add.reduceat(n, first) if len(first) else n
 
 
 # Blocks
 
 
 class _Blocks:
-    """Numbers the blocks of a partition: a new one after ``BLOCK_BYTES`` of text.
+    """Numbers the blocks of a partition: a new one after ``size`` bytes of text.
 
     A partition that is read again in the same order is cut at the same rows.
     """
 
-    def __init__(self):
-        self.base = TaskContext.get().partitionId() << 24
+    def __init__(self, partition: int, size: int):
+        self.base = partition << 24
+        self.block = size
         self.size = 0
 
     def cut(self, batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
-        lengths = [len(t.as_py() or "") + 64 for t in batch.column("text")]
+        lengths = pa.compute.binary_length(batch.column("text")).fill_null(0).to_numpy(zero_copy_only=False) + 64
         at = 0
-        for i, length in enumerate(lengths):
-            if (self.size + length) // BLOCK_BYTES != self.size // BLOCK_BYTES and i > at:
-                yield self.base + self.size // BLOCK_BYTES, batch.slice(at, i - at)
+        for i, length in enumerate(lengths.tolist()):
+            if (self.size + length) // self.block != self.size // self.block and i > at:
+                yield self.base + self.size // self.block, batch.slice(at, i - at)
                 at = i
             self.size += length
             if i + 1 == len(lengths):
-                yield self.base + (self.size - length) // BLOCK_BYTES, batch.slice(at)
+                yield self.base + (self.size - length) // self.block, batch.slice(at)
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    blocks = _Blocks()
+def cut(batches: Iterator[pa.RecordBatch], blocks: _Blocks) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for block, part in blocks.cut(batch):
             numbers = pa.array(np.full(part.num_rows, block, np.int64))
             yield pa.RecordBatch.from_arrays([*part.columns, numbers], [*part.schema.names, "block"])
 
 
-def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def gather(batches: Iterator[pa.RecordBatch], blocks: _Blocks, portion_bytes: int) -> Iterator[pa.RecordBatch]:
     """Each different word and sequence of a block, and its count in training texts."""
-    blocks = _Blocks()
     current = None
     counts: Counter[bytes] = Counter()
     found: list[tuple[np.ndarray, np.ndarray]] = []
 
     def out():
         names = ["block", "word", "gram", "n"]
-        words = [w for w in counts]
-        n = len(words)
+        n = len(counts)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.full(n, current, np.int64)),
-                pa.array(words, pa.binary()),
+                pa.array(list(counts), pa.binary()),
                 pa.nulls(n, pa.int64()),
                 pa.array(list(counts.values()), pa.int64()),
             ],
             names,
         )
+        counts.clear()
         keys, k = _merged(found)
         for at in range(0, len(keys), 200_000):
             part = keys[at : at + 200_000]
@@ -279,37 +313,39 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ],
                 names,
             )
-        counts.clear()
-        found.clear()
+
+    def add(keys: np.ndarray, n: np.ndarray) -> None:
+        """A run is merged with those before it that are not much longer."""
+        found.append((keys, n))
+        while len(found) > 1 and len(found[-2][0]) < 2 * len(found[-1][0]):
+            found.append(_merged([found.pop(), found.pop()]))
 
     for batch in batches:
         for block, part in blocks.cut(batch):
             if current is not None and block != current:
                 yield from out()
             current = block
-            for rows, texts in _portions(part):
-                held = np.array(rows.column("held_out").to_pylist(), bool)
-                for words, h in zip(texts, held):
-                    if h:
-                        for w in set(words):
+            held = part.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+            for portion in portions(part.column("text"), portion_bytes):
+                for piece in portion:
+                    if held[piece.row]:
+                        for w in set(piece.words):
                             counts[w] += 0
                         counts[END] += 0
                     else:
-                        counts.update(words)
-                        counts[END] += 1
-                keys, valid, begins = packed(texts)
-                owner = np.repeat(held, np.diff(np.append(begins, len(keys) + DEPTH)))[: len(keys)]
-                u, k = np.unique(keys[valid & ~owner], return_counts=True)
-                found.append((u, k))
-                u = np.unique(keys[valid & owner])
-                found.append((u, np.zeros(len(u), np.int64)))
-                if len(found) > 12:
-                    found[:] = [_merged(found)]
+                        counts.update(piece.words)
+                        counts[END] += piece.last
+                keys, valid, begins = packed(portion)
+                owner = np.repeat(held[[p.row for p in portion]], np.diff(np.append(begins, len(keys) + DEPTH)))[: len(keys)]
+                add(*np.unique(keys[valid & ~owner], return_counts=True))
+                if owner.any():
+                    u = np.unique(keys[valid & owner])
+                    add(u, np.zeros(len(u), np.int64))
     if current is not None:
         yield from out()
 
 
-def _score_block(docs: pa.Table, features: pa.Table) -> pa.Table:
+def score_block(docs: pa.Table, features: pa.Table, portion_bytes: int) -> pa.Table:
     is_word = features.column("gram").is_null()
     words, counted = (features.column(c).filter(is_word) for c in ("word", "value"))
     words = words.combine_chunks()
@@ -319,33 +355,44 @@ def _score_block(docs: pa.Table, features: pa.Table) -> pa.Table:
     del features
     order = np.argsort(grams)
     grams, predictions = grams[order], predictions[order]
-    n_tokens, n_known, base, score, size = [], [], [], [], []
-    for _, texts in _portions(docs):
-        tokens = pa.array([w for own in texts for w in (*own, END)], pa.binary())
+    del order
+    n_tokens, n_known, size = (np.zeros(docs.num_rows, np.int64) for _ in range(3))
+    base, score = np.zeros(docs.num_rows), np.zeros(docs.num_rows)
+    for portion in portions(docs.column("text"), portion_bytes):
+        rows = np.array([p.row for p in portion])
+        keys, valid, begins = packed(portion)
+        coded, to = np.unique(keys[valid], return_inverse=True)
+        at = np.minimum(np.searchsorted(grams, coded), len(grams) - 1)
+        if (grams[at] != coded).any():
+            raise ValueError("a block was read with other texts than before")
+        logs = np.zeros(len(keys))
+        logs[valid] = predictions[at][to]
+        np.add.at(score, rows, np.add.reduceat(logs, begins))
+        np.add.at(size, rows, np.diff(np.append(begins, len(keys) + DEPTH)) - DEPTH)
+        del keys, valid, coded, to, at, logs
+        tokens = pa.array([w for p in portion for w in (*p.words, END)], pa.binary())
         places = pa.compute.index_in(tokens, words)
         if places.null_count:
             raise ValueError("a block was read with other texts than before")
         c = counted[places.to_numpy()]
-        lengths = np.array([len(own) + 1 for own in texts])
-        first = np.cumsum(lengths) - lengths
-        n_tokens.extend(lengths.tolist())
-        n_known.extend(np.add.reduceat((c > 0).astype(np.int64), first).tolist())
-        base.extend(np.add.reduceat(np.log10(c + 1), first).tolist())
-        keys, valid, begins = packed(texts)
-        at = np.minimum(np.searchsorted(grams, keys), len(grams) - 1)
-        if (grams[at] != keys)[valid].any():
-            raise ValueError("a block was read with other texts than before")
-        score.extend(np.add.reduceat(np.where(valid, predictions[at], 0.0), begins).tolist())
-        size.extend((np.diff(np.append(begins, len(keys) + DEPTH)) - DEPTH).tolist())
+        lengths = np.array([len(p.words) + 1 for p in portion])
+        ends = np.cumsum(lengths) - 1
+        goes_on = np.array([not p.last for p in portion])
+        counts = np.ones(len(c), np.int64)
+        counts[ends[goes_on]] = 0
+        first = ends + 1 - lengths
+        np.add.at(n_tokens, rows, np.add.reduceat(counts, first))
+        np.add.at(n_known, rows, np.add.reduceat(counts * (c > 0), first))
+        np.add.at(base, rows, np.add.reduceat(counts * np.log10(c + 1), first))
     return pa.table(
         {
             "doc_id": docs.column("doc_id"),
             "held_out": docs.column("held_out"),
-            "n_tokens": pa.array(n_tokens, pa.int64()),
-            "n_known": pa.array(n_known, pa.int64()),
-            "base_part": pa.array(base, pa.float64()),
-            "score": pa.array(score, pa.float64()),
-            "n_bytes": pa.array(size, pa.int64()),
+            "n_tokens": n_tokens,
+            "n_known": n_known,
+            "base_part": base,
+            "score": score,
+            "n_bytes": size,
         }
     )
 
@@ -353,11 +400,13 @@ def _score_block(docs: pa.Table, features: pa.Table) -> pa.Table:
 # The model
 
 
-def predictions(grams: DataFrame) -> DataFrame:
+def predictions(grams: DataFrame, hot_keys: int = HOT_KEYS) -> DataFrame:
     """(gram, value) of (gram, n): the log10 probability of a sequence's last byte.
 
-    Parts of the tree below contexts of depth 2 are computed apart. The contexts of depth 1
-    and their decisions, at most 65,280 rows, are mixed on the driver.
+    Parts of the tree below contexts of depth 2 are computed apart. A context with more than
+    ``hot_keys`` sequences is cut at depth 3 instead, where at most 2^24 sequences can be. The
+    contexts of depth 1 and their decisions, at most 65,280 rows, and the 255 decisions of each
+    hot context are mixed on the driver.
     """
     of_byte = grams.groupBy(F.col("gram").bitwiseAND(F.lit(255)).alias("byte"))
     rows = of_byte.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("keys")).collect()  # at most 256
@@ -366,38 +415,75 @@ def predictions(grams: DataFrame) -> DataFrame:
         counts[r["byte"]] = r["n"]
     decisions = huffman(counts)
     parts = max(64, math.ceil(sum(r["keys"] for r in rows) / KEYS_PER_PART))
-    context = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * LOW) - 1))
-    dealt = grams.withColumn("part", F.pmod(F.xxhash64(context), F.lit(parts)))
+    context, deeper = (F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * d) - 1)) for d in (LOW, LOW + 1))
+    in_context = grams.groupBy(context.alias("context")).agg(F.count(F.lit(1)).alias("keys"))
+    hot = np.sort(np.array([r["context"] for r in in_context.where(F.col("keys") > hot_keys).collect()], np.int64))
+    cut_at = F.when(context.isin(hot.tolist()), deeper + F.lit(1 << 24)).otherwise(context) if len(hot) else context
+    dealt = grams.withColumn("part", F.pmod(F.xxhash64(cut_at), F.lit(parts)))
+
+    def halves(pdf: pd.DataFrame):
+        """(depth, keys, n) of the sequences under ordinary and under hot contexts."""
+        pdf = pdf.sort_values("gram")
+        keys, n = pdf["gram"].to_numpy(), pdf["n"].to_numpy()
+        below = np.isin((keys >> 8) & 0xFFFF, hot)
+        for depth, which in ((LOW, ~below), (LOW + 1, below)):
+            if which.any():
+                yield depth, keys[which], n[which]
 
     def lower(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("gram")
-        ids, zeros, ones, weighted, _ = subtree(pdf["gram"].to_numpy(), pdf["n"].to_numpy(), decisions)
-        recent, to = np.unique(((ids >> 8) & 255) << 8 | (ids & 255), return_inverse=True)
-        sums = [np.bincount(to, v, len(recent)) for v in (zeros, ones, weighted)]
-        return pd.DataFrame({"node": recent, "zeros": sums[0], "ones": sums[1], "deeper": sums[2]})
+        out = []
+        for depth, keys, n in halves(pdf):
+            ids, zeros, ones, weighted, _ = subtree(keys, n, decisions, low=depth)
+            above = (((ids >> 8) & ((1 << 8 * (depth - 1)) - 1)) << 8) | (ids & 255)
+            above, to = np.unique(above, return_inverse=True)
+            sums = [np.bincount(to, v, len(above)) for v in (zeros, ones, weighted)]
+            out.append(pd.DataFrame({"depth": depth - 1, "node": above, "zeros": sums[0], "ones": sums[1], "deeper": sums[2]}))
+        return pd.concat(out)
 
     nodes = (
         dealt.groupBy("part")
-        .applyInPandas(lower, "node long, zeros double, ones double, deeper double")
-        .groupBy("node")
+        .applyInPandas(lower, "depth int, node long, zeros double, ones double, deeper double")
+        .groupBy("depth", "node")
         .agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "deeper")])
         .collect()
     )
     tables = np.zeros((3, 256 * 256))
+    hot_tables = np.zeros((3, len(hot), 256))
     for r in nodes:
-        tables[:, r["node"]] = r["zeros"], r["ones"], r["deeper"]
+        if r["depth"] < LOW:
+            tables[:, r["node"]] += r["zeros"], r["ones"], r["deeper"]
+        else:
+            hot_tables[:, np.searchsorted(hot, r["node"] >> 8), r["node"] & 255] = r["zeros"], r["ones"], r["deeper"]
+    own = log_kt(*hot_tables[:2])
+    hot_weighted = np.logaddexp(own, hot_tables[2]) - LOG2
+    hot_share, hot_one = np.exp(own - LOG2 - hot_weighted), kt_one(*hot_tables[:2])
+    for i, c in enumerate(hot.tolist()):
+        at = (c & 255) << 8
+        tables[:, at : at + 256] += hot_tables[0, i], hot_tables[1, i], hot_weighted[i]
     upper = top(*tables.reshape(3, 256, 256))
 
     def predict(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("gram")
-        keys = pdf["gram"].to_numpy()
-        predicted = subtree(keys, pdf["n"].to_numpy(), decisions)[4]
-        return pd.DataFrame({"gram": keys, "value": log10_predictions(keys, predicted, upper, decisions)})
+        out = []
+        for depth, keys, n in halves(pdf):
+            predicted = subtree(keys, n, decisions, low=depth)[4]
+            if depth > LOW:
+                row, decision, _ = decisions.of(keys & 255)
+                at = np.searchsorted(hot, (keys >> 8) & 0xFFFF)[row]
+                share = hot_share[at, decision]
+                predicted = share * hot_one[at, decision] + (1 - share) * predicted
+            out.append(pd.DataFrame({"gram": keys, "value": log10_predictions(keys, predicted, upper, decisions)}))
+        return pd.concat(out)
 
     return dealt.groupBy("part").applyInPandas(predict, "gram long, value double")
 
 
-def score(docs: DataFrame, held_out: Column) -> DataFrame:
+def score(
+    docs: DataFrame,
+    held_out: Column,
+    block_bytes: int = BLOCK_BYTES,
+    portion_bytes: int = PORTION_BYTES,
+    hot_keys: int = HOT_KEYS,
+) -> DataFrame:
     """A row for each text: its log10 probability by the tree and by single words.
 
     Columns: doc_id, held_out, n_tokens (words and one end), n_known (tokens that occur in
@@ -405,41 +491,42 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     n_bytes (coded, with the end) and bits_per_byte. Training texts are those that are not
     held out. A null or empty text is its end. Repeated rows count and are scored as often as
     they occur; other columns are left out. Without training texts every decision
-    has the probability 1/2 and ``base_score`` is 0.
+    has the probability 1/2 and ``base_score`` is 0. A very long text is a block of its own and is
+    worked off in portions cut between words; a word is never cut.
 
     ``docs`` is read twice and must come in the same partitions with the same order, as a
     table on disk does; write other inputs first. A difference is an error, not a wrong score.
     """
     texts = whole_texts(docs).withColumn("held_out", held_out)
-    features = written(texts.mapInArrow(_gather, "block long, word binary, gram long, n long"), "features")
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return gather(batches, _Blocks(TaskContext.get().partitionId(), block_bytes), portion_bytes)
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return cut(batches, _Blocks(TaskContext.get().partitionId(), block_bytes))
+
+    features = written(texts.mapInArrow(gathered, "block long, word binary, gram long, n long"), "features")
     words = features.where("gram IS NULL")
-    of_word = Window.partitionBy("word")
-    counted = words.select(
-        "block",
-        "word",
-        F.sum("n").over(of_word).cast("double").alias("value"),
-        (F.row_number().over(of_word.orderBy("block")) == 1).alias("first"),
-    )
-    counted = written(counted, "words")
+    of_word = written(words.groupBy("word").agg(F.sum("n").cast("double").alias("value")), "words")
+    counted = words.select("block", "word").join(of_word.hint("merge"), "word")
     grams = features.where("gram IS NOT NULL")
     summed = written(grams.groupBy("gram").agg(F.sum("n").alias("n")), "grams")
-    valued = grams.select("block", "gram").join(predictions(summed).hint("merge"), "gram")
+    valued = grams.select("block", "gram").join(predictions(summed, hot_keys).hint("merge"), "gram")
     answers = counted.select(
         F.col("block").alias("to_block"), "word", F.lit(None).cast("long").alias("gram"), "value"
     ).unionByName(
         valued.select(F.col("block").alias("to_block"), F.lit(None).cast("binary").alias("word"), "gram", "value")
     )
     kind = texts.schema["doc_id"].dataType.simpleString()
-    cut = texts.mapInArrow(_cut, f"doc_id {kind}, text string, held_out boolean, block long")
+    in_blocks = texts.mapInArrow(numbered, f"doc_id {kind}, text string, held_out boolean, block long")
     scored = (
-        cut.groupBy("block")
+        in_blocks.groupBy("block")
         .cogroup(answers.groupBy("to_block"))
         .applyInArrow(
-            lambda left, right: _score_block(left, right),
+            lambda left, right: score_block(left, right, portion_bytes),
             f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_part double, score double, n_bytes long",
         )
     )
-    totals = counted.where("first").agg(
+    totals = of_word.agg(
         F.coalesce(F.sum("value"), F.lit(0.0)).cast("long").alias("train_tokens"),
         F.count(F.when(F.col("value") > 0, 1)).alias("train_distinct"),
     ).first()

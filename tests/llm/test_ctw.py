@@ -1,7 +1,9 @@
 import math
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest_llm import ODD_ROWS
 from pyspark.sql import functions as F
@@ -71,11 +73,12 @@ class SlowTree:
 TEXTS = ["the cat sat on the mat", "The cat\tthe hat", "a dög", "", "zz the", None, "the " * 50, "the cat"]
 
 
-@pytest.mark.parametrize("block", [None, 40])
-def test_scores_equal_brute_force(spark, documents, monkeypatch, block):
+@pytest.mark.parametrize("sizes", [{}, {"block_bytes": 150, "portion_bytes": 9}, {"hot_keys": 2}, {"hot_keys": 0, "portion_bytes": 30}])
+def test_scores_equal_brute_force(spark, documents, sizes):
+    """Also in blocks of few texts, in portions of few words and with contexts cut deeper."""
     rows = [*enumerate(TEXTS), (7, "the cat")]
     held = {2, 4}
-    got = ctw.score(documents(rows).coalesce(1), F.col("doc_id").isin(*held)).collect()
+    got = ctw.score(documents(rows).coalesce(1), F.col("doc_id").isin(*held), **sizes).collect()
     assert len(got) == len(rows)
     texts = [(i, t or "") for i, t in rows]
     training = [t for i, t in texts if i not in held]
@@ -93,16 +96,53 @@ def test_scores_equal_brute_force(spark, documents, monkeypatch, block):
         assert r["bits_per_byte"] == pytest.approx(-tree.score(text) * math.log2(10) / len(tree.coded(text)))
 
 
-def test_many_blocks_and_portions(spark, documents, tmp_path, monkeypatch):
-    """Cut into small blocks, a score stays the same."""
+def test_many_blocks_and_portions(spark, documents, tmp_path):
+    """The features of a block show that a partition is cut into many; the scores stay the same."""
     rows = [(i, "some words " * (i % 7) + f"and {i % 13}") for i in range(300)]
     path = str(tmp_path / "docs")
-    documents(rows).repartition(5).write.parquet(path)
+    documents(rows).repartition(2).write.parquet(path)
     docs = spark.read.parquet(path)
     held = F.col("doc_id") % 3 == 0
-    whole = {(r["doc_id"], round(r["score"], 9)) for r in ctw.score(docs, held).collect()}
-    small = spark.read.parquet(path).repartition(1)
-    assert whole == {(r["doc_id"], round(r["score"], 9)) for r in ctw.score(small.coalesce(1), held).collect()}
+    whole = {r["doc_id"]: r["score"] for r in ctw.score(docs, held).collect()}
+    small = ctw.score(docs, held, block_bytes=2_000, portion_bytes=50, hot_keys=5)
+    got = {r["doc_id"]: r["score"] for r in small.collect()}
+    assert got == pytest.approx(whole, abs=1e-9)
+    batch = pa.RecordBatch.from_pydict({"text": [t for _, t in rows], "held_out": [False] * len(rows)})
+    found = list(ctw.gather(iter([batch]), ctw._Blocks(3, 2_000), 50))
+    blocks = {b for r in found for b in r.column("block").to_pylist()}
+    assert len(blocks) > 10 and min(blocks) == 3 << 24
+
+
+def test_a_very_long_text_in_bounded_memory():
+    """A text of 12 MB; what is held beside it does not grow with it."""
+    draw = np.random.default_rng(5)
+    words = [bytes(draw.integers(97, 123, k).astype(np.uint8)).decode() for k in draw.integers(2, 9, 500)]
+
+    def peak(n):
+        text = " ".join(words[i] for i in draw.integers(0, len(words), n))
+        batch = pa.RecordBatch.from_pydict({"text": [text], "held_out": [False]})
+        tracemalloc.start()
+        found = list(ctw.gather(iter([batch]), ctw._Blocks(0, ctw.BLOCK_BYTES), 1 << 18))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        total = sum(sum(r.column("n").to_pylist()) for r in found if r.column("gram").null_count == 0)
+        assert total == len(text) + 1
+        return len(text), most
+
+    short, little = peak(200_000)
+    long, much = peak(2_000_000)
+    assert long > 11_000_000 and much - little < 4 * (long - short)
+
+
+def test_pieces_of_a_text_are_coded_as_the_whole():
+    raw = b"  One two\t\nthree   FOUR fivefivefive six  "
+    whole = list(ctw.pieces(0, raw, 1000))
+    keys, valid, _ = ctw.packed(whole)
+    for size in range(1, 30):
+        cut = list(ctw.pieces(0, raw, size))
+        assert [w for p in cut for w in p.words] == whole[0].words
+        own, coded, _ = ctw.packed(cut)
+        assert own[coded].tolist() == keys[valid].tolist()
 
 
 def test_odd_rows(spark, documents):
