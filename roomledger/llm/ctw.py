@@ -30,7 +30,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roomledger.llm.common import whole_texts, written
@@ -506,8 +506,14 @@ def score(
 
     features = written(texts.mapInArrow(gathered, "block long, word binary, gram long, n long"), "features")
     words = features.where("gram IS NULL")
-    of_word = written(words.groupBy("word").agg(F.sum("n").cast("double").alias("value")), "words")
-    counted = words.select("block", "word").join(of_word.hint("merge"), "word")
+    of_word = Window.partitionBy("word")  # a word has a row for each block
+    counted = words.select(
+        "block",
+        "word",
+        F.sum("n").over(of_word).cast("double").alias("value"),
+        (F.row_number().over(of_word.orderBy("block")) == 1).alias("first"),
+    )
+    counted = written(counted, "words")
     grams = features.where("gram IS NOT NULL")
     summed = written(grams.groupBy("gram").agg(F.sum("n").alias("n")), "grams")
     valued = grams.select("block", "gram").join(predictions(summed, hot_keys).hint("merge"), "gram")
@@ -526,7 +532,7 @@ def score(
             f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_part double, score double, n_bytes long",
         )
     )
-    totals = of_word.agg(
+    totals = counted.where("first").agg(
         F.coalesce(F.sum("value"), F.lit(0.0)).cast("long").alias("train_tokens"),
         F.count(F.when(F.col("value") > 0, 1)).alias("train_distinct"),
     ).first()
