@@ -161,8 +161,13 @@ def _warc_sql() -> str:
         (r"<[^>]*>", "''"),
     ):
         text = f"regexp_replace({text}, '{pattern}', {to}, 'g')"
-    for entity, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
-        text = f"replace({text}, '{entity}', '{sign}')"
+    keys, signs = (", ".join("'" + x.replace("'", "''") + "'" for x in xs) for xs in zip(*warc.ENTITIES.items()))
+    name = f"regexp_extract(p, '{warc.ENTITY}', 1)"
+    code = f"(CASE WHEN {name} LIKE '#x%' OR {name} LIKE '#X%' THEN TRY_CAST('0x' || substr({name}, 3) AS INTEGER) WHEN {name} LIKE '#%' THEN TRY_CAST(substr({name}, 2) AS INTEGER) END)"
+    known = f"({code} BETWEEN 1 AND 55295 OR {code} BETWEEN 57344 AND 1114111) AND {code} <> 65279"
+    sign = f"COALESCE(map_extract(MAP([{keys}], [{signs}]), {name})[1], CASE WHEN {code} = 160 THEN ' ' WHEN {known} THEN chr({code}) END)"
+    part = f"CASE WHEN i = 1 THEN p WHEN {sign} IS NULL THEN '&' || p ELSE {sign} || substr(p, length({name}) + 2) END"
+    text = f"array_to_string(list_transform(string_split({text}, '&'), lambda p, i: {part}), '')"
     text = f"regexp_replace({text}, '[ \\t\\r]+', ' ', 'g')"
     text = f"regexp_replace({text}, ' ?\\n[ \\n]*', chr(10), 'g')"
     fields = {

@@ -10,6 +10,7 @@ repeated gives the same ones.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,9 @@ FIELDS = [
 VERSION = "WARC/1.1"
 LINE = "\r\n"
 END_OF_RECORD = LINE * 2
+#: The named entities of HTML 4 and that of the apostrophe; the hard blank is a blank.
+ENTITIES = {**{name: chr(code) for name, code in name2codepoint.items()}, "apos": "'", "nbsp": " "}
+ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 RECORD = "record_type string, record_id string, date string, target_uri string, refers_to string, refers_to_target_uri string, refers_to_date string, payload_digest string, block_digest string, content_type string, content_length long, block string"
 
 
@@ -73,16 +77,37 @@ def responses(pages: DataFrame, date: str, headers: Sequence[str]) -> DataFrame:
 # The content of a page
 
 
+def decoded(text: Column) -> Column:
+    """``ENTITIES`` and numeric references replaced, in one pass; others stay as they are.
+
+    So do those without a semicolon, and the numbers of no character (0, halves of pairs,
+    beyond U+10FFFF) and of the byte order mark.
+    """
+    table = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+
+    def after_sign(part: Column, place: Column) -> Column:
+        name = F.regexp_extract(part, ENTITY, 1)
+        number = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 6), 16, 10)).when(name.startswith("#"), F.substring(name, 2, 7))
+        code = number.try_cast("int")
+        character = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        known = (code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)) & (code != 0xFEFF)
+        sign = F.coalesce(table[name], F.when(code == 160, " ").when(known, character))
+        rest = F.substring(part, F.length(name) + 2, F.length(part))
+        return F.when(place == 0, part).when(sign.isNotNull(), F.concat(sign, rest)).otherwise(F.concat(F.lit("&"), part))
+
+    return F.array_join(F.transform(F.split(text, "&"), after_sign), "")
+
+
 def plain_text(payload: Column) -> Column:
     """The text of a page: without scripts, styles, comments and tags, a line for each block.
 
-    The common named entities are replaced; runs of blanks become one, empty lines go.
+    Entities are replaced (``decoded``); runs of blanks become one, empty lines go. A very long
+    page is handled whole, as one value.
     """
     text = F.regexp_replace(payload, r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->|<head[^>]*>.*?</head>", " ")
     text = F.regexp_replace(text, r"(?i)</?(p|div|br|li|ul|ol|h[1-6]|tr|table|nav|article|section|footer|header|body|html)\b[^>]*>", "\n")
     text = F.regexp_replace(text, r"<[^>]*>", "")
-    for entity, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(entity), F.lit(sign))
+    text = decoded(text)
     text = F.regexp_replace(text, r"[ \t\r]+", " ")
     text = F.regexp_replace(text, r" ?\n[ \n]*", "\n")
     return F.trim(text, F.lit(" \n"))

@@ -1,11 +1,14 @@
 import gzip
 import hashlib
+import html
 import math
 import random
+import re
 import sys
 from itertools import product
 from pathlib import Path
 
+import duckdb
 from pyspark.sql import functions as F
 
 from roomledger.llm import urls, warc
@@ -171,6 +174,26 @@ def test_text_and_metadata(spark):
     assert rows[None, "conversion"]["block"] == "long"
 
 
+def test_entities_equal_the_standard_library(spark):
+    texts = [
+        "a &copy; b &middot;c &#169;&#xA9;&#Xa9; &eacute;&Eacute; &euro;&#8364; &#128512;", "&amp;lt; &amp;amp;#65;",
+        "&", "&&amp;&", "&unknown; &copy &lt", "x&apos;y&#39;z", "", "&nbsp;|&#160;", "&thetasym;&Theta;&theta;",
+    ]
+    left = ["&#0;", "&#xD800;", "&#1114112;", "&#xFEFF;", "&#99999999;", "&#;"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, *left])], "i int, t string")
+    got = [r[0] for r in rows.orderBy("i").select(warc.decoded(F.col("t"))).collect()]
+    assert got[: len(texts)] == [
+        re.sub(r"&#?\w+;", lambda m: html.unescape(m[0]), t).replace("\xa0", " ") for t in texts
+    ]
+    assert got[len(texts) :] == left
+    alone = duckdb.connect()
+    alone.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    alone.executemany("INSERT INTO pages VALUES (?, 'u', ?)", [(i, t) for i, t in enumerate([*texts, *left])])
+    own = f"SELECT block FROM ({ORACLE_SQL['op7_warc_derivatives']}) WHERE record_type = 'conversion' ORDER BY page_id"
+    clean = rows.orderBy("i").select(warc.plain_text(F.col("t"))).collect()
+    assert [r[0] for r in alone.execute(own).fetchall()] == [r[0] for r in clean]
+
+
 def test_records_equal_sql(spark, sf_dir):
     sys.path.insert(0, str(Path(__file__).parents[1]))
     from oracle_check import connect, differences
