@@ -98,7 +98,11 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def word_counts(pages: DataFrame) -> DataFrame:
-    """(word, n): how often a word stands in the text of all pages."""
+    """(word, n): how often a word stands in the text of all pages.
+
+    Words of more than ``LONGEST_WORD`` letters are left out: no part of a host that is looked
+    up is longer.
+    """
     counted = pages.select("html").mapInArrow(_count_words, "word string, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 

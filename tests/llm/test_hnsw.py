@@ -50,6 +50,21 @@ def test_shards_and_copies(spark):
         assert np.allclose([s for s, _ in own], [s for s, _ in want])
 
 
+def test_recall_on_full_shards_of_clustered_vectors(spark):
+    """Four shards of 500 rows in 20 clusters, against brute force."""
+    draw = np.random.default_rng(11)
+    centres = draw.normal(size=(20, 16))
+    rows = [(i, (centres[i % 20] + 0.2 * draw.normal(size=16)).tolist()) for i in range(2000)]
+    found = table(spark, rows)
+    got = hnsw.nearest(found, found.where("vec_id % 100 = 0"), 10, rows_per_shard=500).collect()
+    hits = 0
+    for q in range(0, 2000, 100):
+        own = {r["vec_id"] for r in got if r["query_id"] == q}
+        assert len(own) == 10
+        hits += len(own & {i for _, i in slow(rows, q, 10)})
+    assert hits >= 0.95 * 200
+
+
 def test_odd_rows(spark):
     rows = [
         (0, [1.0, 0.0]), (1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [float("nan"), 1.0]),
