@@ -1,8 +1,10 @@
 """URL filter: host and path rules, then naive Bayes on the words of host and path.
 
 Host names are often words without a gap. A unigram model of the words of all pages (and of
-the labelled examples) splits them by the Viterbi algorithm. A multinomial naive Bayes model,
-fitted on labelled names, then weighs the words of the host and the tokens of the path.
+the labelled examples) splits them by the Viterbi algorithm. A page does not count the words of
+its own host, which it often names: each host would be a word. A multinomial naive Bayes model
+then weighs the words of the host and the tokens of the path. Labelled names are its seeds; the
+hosts that they decide teach it the other words.
 """
 
 from __future__ import annotations
@@ -17,12 +19,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roomledger.llm.common import written
+from roomledger.operators.joins import split_join
+
 LONGEST_WORD = 20
 #: Share of the corpus that each word of the labelled names stands for.
 NAME_WEIGHT = 1e-5
 BLOCK_PRIOR = 0.2
 #: Labelled names of each class count so often; with it a few words decide.
 NAME_COPIES = 6
+#: A host whose words in the labelled names give it this probability or more teaches the model
+#: what is blocked, one at or below the other what is allowed; hosts between them teach nothing.
+TEACHES_BLOCK, TEACHES_ALLOW = 0.5, 0.05
 
 # The labelled names that the model is fitted on.
 BLOCKED_NAMES = """
@@ -43,7 +51,7 @@ photo gallery; online course; video lecture; live concert; win rate chess; cash
 train track map; farm shop; bonus chapter; loan library; market watch; game review
 """.split(";")
 #: These stand in names of either kind and count nothing.
-COMMON_WORDS = "www m blog home index html example site page en de fr es".split()
+COMMON_WORDS = "www m blog home index html example site page en de fr es com net org".split()
 
 
 # Parts of an url
@@ -88,9 +96,10 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(list(kept), pa.string()), pa.array(list(kept.values()), pa.int64())], ["word", "n"])
 
     for batch in batches:
-        for source in batch.column("html").to_pylist():
+        for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
             text = html.unescape(_TAGS.sub(" ", source or "")).lower()
-            counts.update(_WORDS.findall(text))
+            own = set(_WORDS.findall(host))
+            counts.update(w for w in _WORDS.findall(text) if w not in own)
         if len(counts) > 300_000:
             yield out()
     if counts:
@@ -98,12 +107,13 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def word_counts(pages: DataFrame) -> DataFrame:
-    """(word, n): how often a word stands in the text of all pages.
+    """(word, n): how often a word stands in the texts of the pages of other hosts.
 
-    Words of more than ``LONGEST_WORD`` letters are left out: no part of a host that is looked
+    A page does not count the runs of letters of its own host. Words of more than ``LONGEST_WORD`` letters are left out: no part of a host that is looked
     up is longer.
     """
-    counted = pages.select("html").mapInArrow(_count_words, "word string, n long")
+    host, _ = host_and_path(F.col("url"))
+    counted = pages.select(host.alias("host"), "html").mapInArrow(_count_words, "word string, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -175,13 +185,20 @@ def host_words(hosts: DataFrame, counts: DataFrame, extra: dict[str, float], tot
 # Naive Bayes
 
 
-def word_weights(blocked: Sequence[str] = BLOCKED_NAMES, allowed: Sequence[str] = ALLOWED_NAMES) -> dict[str, float]:
+def seed_counts(blocked: Sequence[str] = BLOCKED_NAMES, allowed: Sequence[str] = ALLOWED_NAMES) -> dict[str, tuple[int, int]]:
+    """Word: how often it stands in the blocked and in the allowed names; no common words."""
+    bad, good = (Counter(w for name in names for w in name.split()) for names in (blocked, allowed))
+    return {w: (bad[w] * NAME_COPIES, good[w] * NAME_COPIES) for w in sorted({*bad, *good} - {*COMMON_WORDS})}
+
+
+def _log_odds(bad, good, all_bad, all_good, log=math.log):
+    return log((bad + 1) / all_bad) - log((good + 1) / all_good)
+
+
+def word_weights(seeds: dict[str, tuple[int, int]]) -> dict[str, float]:
     """Log-odds of a word of the labelled names, multinomial with one more of each word."""
-    bad, good = (Counter(w for name in names for w in name.split() for _ in range(NAME_COPIES)) for names in (blocked, allowed))
-    vocabulary = sorted({*bad, *good})
-    n_bad, n_good = sum(bad.values()) + len(vocabulary), sum(good.values()) + len(vocabulary)
-    weights = {w: math.log((bad[w] + 1) / n_bad) - math.log((good[w] + 1) / n_good) for w in vocabulary}
-    return {**weights, **dict.fromkeys(COMMON_WORDS, 0.0)}
+    all_bad, all_good = (sum(n[i] for n in seeds.values()) + len(seeds) for i in (0, 1))
+    return {w: _log_odds(*n, all_bad, all_good) for w, n in seeds.items()}
 
 
 def _sum_of(words: Column, weights: dict[str, float]) -> Column:
@@ -189,27 +206,73 @@ def _sum_of(words: Column, weights: dict[str, float]) -> Column:
     return F.aggregate(words, F.lit(0.0), lambda total, w: total + F.coalesce(table[w], F.lit(0.0)))
 
 
-def judge(pages: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:
+def probability(odds: Column) -> Column:
+    return 1 / (1 + F.exp(-(odds + F.lit(math.log(BLOCK_PRIOR / (1 - BLOCK_PRIOR))))))
+
+
+def learned_weights(names: DataFrame, seeds: dict[str, tuple[int, int]]) -> DataFrame:
+    """(word, weight) of the seeds and of all words of the names that the seeds decide.
+
+    ``names`` has (host, words). A host gives a word one count however many pages it has,
+    shared between the classes if its pages are decided differently; so no host with many
+    pages outweighs the others. The counts of the larger class are scaled to the total of the
+    smaller one: a word seen once then weighs little, whichever class is rare.
+    """
+    p = probability(_sum_of(F.col("words"), word_weights(seeds)))
+    blocked = F.when(p >= TEACHES_BLOCK, 1.0).when(p <= TEACHES_ALLOW, 0.0)
+    taught = names.select("host", "words", blocked.alias("blocked")).where("blocked IS NOT NULL")
+    taught = taught.select("host", "blocked", F.explode(F.array_distinct("words")).alias("word")).where(~F.col("word").isin(COMMON_WORDS))
+    taught = taught.groupBy("host", "word").agg(F.avg("blocked").alias("bad"))
+    taught = written(taught.groupBy("word").agg(F.sum("bad").alias("bad"), F.sum(1 - F.col("bad")).alias("good")), "taught")
+    sums = taught.agg(F.coalesce(F.sum("bad"), F.lit(0.0)), F.coalesce(F.sum("good"), F.lit(0.0))).first()
+    given = [sum(n[i] for n in seeds.values()) for i in (0, 1)]
+    totals = [max(1.0, s + g) for s, g in zip(sums, given)]
+    scales = [min(totals) / t for t in totals]
+    all_bad, all_good = (s * x + g + len(seeds) for s, x, g in zip(sums, scales, given))
+    rows = [(w, float(bad), float(good)) for w, (bad, good) in seeds.items()]
+    own = names.sparkSession.createDataFrame(rows, "word string, bad double, good double")
+    scaled = taught.select("word", (F.col("bad") * scales[0]).alias("bad"), (F.col("good") * scales[1]).alias("good"))
+    both = own.unionByName(scaled).groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    return both.select("word", _log_odds(F.col("bad"), F.col("good"), all_bad, all_good, F.log).alias("weight"))
+
+
+def judge(
+    pages: DataFrame, rules: Sequence[tuple[str, str]], blocked: Sequence[str] = BLOCKED_NAMES, allowed: Sequence[str] = ALLOWED_NAMES
+) -> DataFrame:
     """A row for each row of ``pages`` (page_id, url, html).
 
     Columns: page_id, host, path, rule, verdict, host_words, block_probability. The verdict is
     that of the rule, else block if the model gives it a probability of one half or more. A
-    null url, or one without ``://``, has no rule and no words and is allowed. Words of no
-    labelled name count nothing. Repeated rows give repeated results; other columns are left
-    out. A null or empty page text adds no words.
+    null url, or one without ``://``, has no rule and no words and is allowed. A word that
+    stands neither in a labelled name nor in a name that these decide counts nothing. Rules
+    teach nothing: they are the will of the user and say little about words. Repeated rows
+    give repeated results and teach nothing more; other columns are left out. A null or empty
+    page text adds no words; a text or host of any length is read whole. Of equally probable
+    cuts of a host that with the longer last word wins.
     """
     host, path = host_and_path(F.col("url"))
-    rows = pages.select("page_id", host.alias("host"), path.alias("path"))
-    weights = word_weights()
-    counts = word_counts(pages)
+    tokens = F.filter(F.split(F.lower(path), r"[^\p{L}]+"), lambda t: t != "")
+    rows = pages.select("page_id", host.alias("host"), path.alias("path"), F.array_join(tokens, " ").alias("path_words"))
+    seeds = seed_counts(blocked, allowed)
+    counts = written(word_counts(pages), "words")
     in_all = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     given = max(1.0, in_all * NAME_WEIGHT)
-    extra = {w: given for w in weights}
-    cut = host_words(rows.select("host").where("host <> ''").distinct(), counts, extra, in_all + given * len(extra))
-    scored = cut.select("host", F.col("words").alias("host_words"), _sum_of(F.col("words"), weights).alias("host_part"))
-    tokens = F.filter(F.split(F.lower("path"), r"[^\p{L}]+"), lambda t: t != "")
-    odds = F.coalesce("host_part", F.lit(0.0)) + _sum_of(tokens, weights) + F.lit(math.log(BLOCK_PRIOR / (1 - BLOCK_PRIOR)))
-    joined = rows.join(scored, "host", "left").withColumn("block_probability", 1 / (1 + F.exp(-odds)))
+    extra = dict.fromkeys([*seeds, *COMMON_WORDS], given)
+    found = rows.select("host", "path_words").distinct()
+    cut = host_words(found.select("host").where("host <> ''").distinct(), counts, extra, in_all + given * len(extra))
+    none = F.array().cast("array<string>")
+    names = split_join(found, cut.withColumnRenamed("words", "host_words"), ["host"], "left")
+    names = names.withColumn("host_words", F.coalesce("host_words", none))
+    of_path = F.filter(F.split("path_words", " "), lambda t: t != "")
+    names = written(names.withColumn("words", F.concat("host_words", of_path)), "names")
+    weights = learned_weights(names, seeds)
+    single = names.select("host", "path_words", "host_words", F.explode_outer("words").alias("word"))
+    scored = (
+        split_join(single, weights, ["word"], "left")
+        .groupBy("host", "path_words")
+        .agg(F.first("host_words").alias("host_words"), F.round(F.coalesce(F.sum("weight"), F.lit(0.0)), 9).alias("odds"))
+    )
+    joined = split_join(rows, scored, ["host", "path_words"]).withColumn("block_probability", probability(F.col("odds")))
     by_rule = rule_for(F.col("host"), F.col("path"), rules, verdict=True)
     by_model = F.when(F.col("block_probability") >= 0.5, "block").otherwise("allow")
     return joined.select(
@@ -218,6 +281,6 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:
         "path",
         rule_for(F.col("host"), F.col("path"), rules, verdict=False).alias("rule"),
         F.coalesce(by_rule, by_model).alias("verdict"),
-        F.coalesce("host_words", F.array().cast("array<string>")).alias("host_words"),
+        "host_words",
         "block_probability",
     )

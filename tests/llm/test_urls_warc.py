@@ -73,6 +73,62 @@ def test_spam_names_are_blocked(spark):
     assert got[5]["host_words"][1:3] == ["daily", "news"]
 
 
+LEARNED_BAD = "zorbo plinq gratta vexil drumba kwizz sloty pokko".split()
+LEARNED_GOOD = "meadow anvil harbour lantern willow copper saddle orchard".split()
+
+
+def test_words_outside_the_seeds_are_learned(spark):
+    """Hosts of words that no labelled name holds, written without a gap, are judged right."""
+    bad_seeds, good_seeds = ["cheap pills", "casino win", "poker slots"], ["daily news", "city library", "garden club"]
+    text = "<p>" + " ".join([*LEARNED_BAD, *LEARNED_GOOD, "cheap pills casino poker slots daily news city library garden club"] * 20)
+    known = [(w + s.split()[0] + s.split()[1], bad) for ws, ss, bad in ((LEARNED_BAD, bad_seeds, True), (LEARNED_GOOD, good_seeds, False)) for w in ws for s in ss]
+    unseen = [(a + b, bad) for ws, bad in ((LEARNED_BAD, True), (LEARNED_GOOD, False)) for a in ws for b in ws if a < b]
+    rows = [(i, f"http://{n}.example.org/", text) for i, (n, _) in enumerate(known + unseen)]
+    rows += [(9999, f"http://{unseen[0][0]}.example.org/", text)] * 50  # pages of one host teach once
+    got = {r["page_id"]: r for r in urls.judge(pages(spark, rows), [], bad_seeds, good_seeds).collect()}
+    for i, (name, bad) in enumerate(known + unseen):
+        assert got[i]["verdict"] == ("block" if bad else "allow"), name
+        assert "".join(got[i]["host_words"]) == name + "exampleorg"
+        assert len(got[i]["host_words"]) == (5 if i < len(known) else 4), got[i]
+    undecided = {r["page_id"]: r["verdict"] for r in urls.judge(pages(spark, rows), [], ["x y"], ["v w"]).collect()}
+    assert set(undecided.values()) == {"allow"}  # seeds that meet nothing teach nothing
+
+
+def test_weights_equal_brute_force(spark):
+    draw = random.Random(4)
+    seeds = urls.seed_counts(["bad worse", "ill"], ["good better"])
+    vocabulary = ["bad", "worse", "ill", "good", "better", "u", "v", "w", "x", "en"]
+    names = [(f"h{draw.randrange(12)}", [draw.choice(vocabulary) for _ in range(draw.randrange(5))]) for _ in range(60)]
+    got = {r["word"]: r["weight"] for r in urls.learned_weights(spark.createDataFrame(names, "host string, words array<string>"), seeds).collect()}
+    own = urls.word_weights(seeds)
+    shares = {}
+    for host, words in names:
+        p = 1 / (1 + math.exp(-(sum(own.get(w, 0) for w in words) + math.log(0.25))))
+        if p >= urls.TEACHES_BLOCK or p <= urls.TEACHES_ALLOW:
+            for w in set(words) - {"en"}:
+                shares.setdefault((host, w), []).append(float(p >= urls.TEACHES_BLOCK))
+    counts = {w: [0.0, 0.0] for w in {*seeds, *(w for _, w in shares)}}
+    for (_, w), xs in shares.items():
+        counts[w][0] += sum(xs) / len(xs)
+        counts[w][1] += 1 - sum(xs) / len(xs)
+    taught = [sum(c[i] for c in counts.values()) for i in (0, 1)]
+    given = [sum(n[i] for n in seeds.values()) for i in (0, 1)]
+    low = min(taught[i] + given[i] for i in (0, 1))
+    scales = [low / (taught[i] + given[i]) for i in (0, 1)]
+    ends = [taught[i] * scales[i] + given[i] + len(seeds) for i in (0, 1)]
+    assert got.keys() == counts.keys() and len(got) > len(seeds)
+    for w, c in counts.items():
+        bad, good = (c[i] * scales[i] + seeds.get(w, (0, 0))[i] + 1 for i in (0, 1))
+        assert math.isclose(got[w], math.log(bad / ends[0]) - math.log(good / ends[1]), abs_tol=1e-9)
+
+
+def test_long_host_and_text(spark):
+    rows = [(1, "http://" + "cheappills" * 400 + ".org/" + "casino-" * 3000, "<p>" + "word " * 200_000), (2, "http://a.org/", None)]
+    got = {r["page_id"]: r for r in urls.judge(pages(spark, rows), []).collect()}
+    assert got[1]["verdict"] == "block" and got[1]["host_words"] == ["cheap", "pills"] * 400 + ["org"]
+    assert got[2]["verdict"] == "allow"
+
+
 def test_viterbi_equals_all_cuts():
     draw = random.Random(6)
     for _ in range(200):
