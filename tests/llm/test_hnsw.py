@@ -65,6 +65,49 @@ def test_recall_on_full_shards_of_clustered_vectors(spark):
     assert hits >= 0.95 * 200
 
 
+def test_groups_of_queries_and_arrays(spark, monkeypatch):
+    """Whatever the groups of queries, the result is the same, and a group is bounded."""
+    draw = np.random.default_rng(7)
+    rows = [(i, draw.normal(size=8).tolist()) for i in range(600)]
+    rows += [(5000, draw.normal(size=8).tolist()) for _ in range(300)]  # one id holds a third of all rows
+    found = table(spark, rows)
+    asked = found.where("vec_id % 2 = 0")
+    one = hnsw.nearest(found, asked, 5, rows_per_shard=200).orderBy("query_id", "rank").collect()
+    many = hnsw.nearest(found, asked, 5, rows_per_shard=200, queries_per_group=40)
+    assert many.orderBy("query_id", "rank").collect() == one
+    assert len(one) == 5 * 301
+    monkeypatch.setattr(hnsw, "SHARD_BYTES", 50 * 8 * 8)  # 50 rows of 8 components
+    narrow = hnsw.nearest(found, asked, 5, rows_per_shard=200).orderBy("query_id", "rank").collect()
+    same = len({(r["query_id"], r["vec_id"]) for r in narrow} & {(r["query_id"], r["vec_id"]) for r in one})
+    assert same >= 0.98 * len(one)
+
+
+def test_graph_is_read_back_whole():
+    vectors = np.random.default_rng(2).normal(size=(300, 5))
+    built = hnsw.Graph(vectors)
+    again = hnsw.Graph.of_arrays(5, **built.arrays())
+    for query in vectors[:40] + 0.1:
+        assert again.nearest(query, 10) == built.nearest(query, 10)
+
+
+@pytest.mark.parametrize("probes, least", [(3, 0.9), (6, 0.95)])
+def test_cells_of_near_vectors(spark, probes, least):
+    """20 clusters, one with a third of the rows and therefore several cells."""
+    draw = np.random.default_rng(12)
+    centres = draw.normal(size=(20, 16))
+    rows = [(i, (centres[i % 20 if i % 3 else 0] + 0.2 * draw.normal(size=16)).tolist()) for i in range(2000)]
+    found = table(spark, rows)
+    assert hnsw.cell_centres(found, 100)[16].shape == (20, 16)
+    got = hnsw.nearest(found, found.where("vec_id % 20 = 0"), 10, rows_per_shard=100, probes=probes).collect()
+    hits = 0
+    for q in range(0, 2000, 20):
+        own = {r["vec_id"] for r in got if r["query_id"] == q}
+        assert len(own) == 10
+        hits += len(own & {i for _, i in slow(rows, q, 10)})
+    print("recall", probes, hits / 1000)
+    assert hits >= least * 1000
+
+
 def test_odd_rows(spark):
     rows = [
         (0, [1.0, 0.0]), (1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [float("nan"), 1.0]),
@@ -74,8 +117,11 @@ def test_odd_rows(spark):
     found = table(spark, rows)
     got = [tuple(r) for r in hnsw.nearest(found, found.where("vec_id % 100 = 0")).orderBy("query_id", "rank").collect()]
     assert [(q, k, i) for q, k, i, _ in got] == [(0, 1, 7), (0, 2, 100), (0, 3, 8), (100, 1, 0), (100, 2, 7), (100, 3, 8)]
+    near = hnsw.nearest(found, found.where("vec_id % 100 = 0"), probes=2, rows_per_shard=2)
+    assert {r["query_id"] for r in near.collect()} == {0, 100}
     empty = table(spark, [])
     assert hnsw.nearest(empty, empty).count() == 0
+    assert hnsw.nearest(empty, empty, probes=2).count() == 0
 
 
 def test_graph_arrays_are_flat_and_bounded():
