@@ -2,7 +2,8 @@
 
 A text is cut into clauses. A lexical transducer maps words to symbols: insults with a weight,
 threats, targets, negations, reporting verbs. Its insults are given words and stems that it
-learns from labelled rows. The symbols pass through the composition of three transducers that
+learns from labelled rows. A transducer of phrases follows insults and threats of several words
+and puts their symbol out with the last word. The symbols pass through the composition of three transducers that
 follow negation, reported speech and target. A clause is a match if an insult or a threat comes
 out; the kind of the match (negated, reported, aimed at somebody) decides what its weight
 counts. A logistic model on these counts, fitted on labelled rows around given weights, gives
@@ -42,7 +43,18 @@ REPORTS = """
 said says say called calls claimed wrote told quoted sagte sagt nannte schrieb dit disait écrit
 dijo dice llamó escribió
 """.split()
+INSULT_PHRASES = """
+waste of space; piece of garbage; piece of shit; sack of shit; son of a bitch; good for nothing;
+hijo de puta; fils de pute; pedazo de mierda; stück scheiße; sale con
+""".split(";")
+THREAT_PHRASES = """
+hunt you down; beat you up; cut you up; watch your back; break your neck; break your legs;
+burn in hell; rot in hell; put a bullet; wring your neck; mach dich fertig; te voy a partir;
+vais te crever
+""".split(";")
 GIVEN_WEIGHT = 4.0
+#: A phrase says more than a word; a threat counts half as much as an insult (``given_weights``).
+INSULT_PHRASE_WEIGHT, THREAT_PHRASE_WEIGHT = 6.0, 8.0
 
 # Stems that are learned: lengths of their beginnings, and what they must show.
 STEM_LENGTHS = range(3, 9)
@@ -134,6 +146,48 @@ def compose(first: Transducer, second: Transducer) -> Transducer:
 GRAMMAR = compose(compose(negation(), reported_speech()), target())
 
 
+@dataclass(frozen=True)
+class Phrases:
+    """A transducer over words: ``arcs[state][word]`` is the next state, 0 for any other word.
+
+    A state stands for the longest beginning of a phrase that the last words spell.
+    ``ends[state]`` is (symbol, weight) if a phrase ends there, also inside a longer one.
+    """
+
+    arcs: list[dict[bytes, int]]
+    ends: list[tuple[int, float] | None]
+    words: list[frozenset[bytes]]
+
+    def possible(self, words: set[bytes]) -> bool:
+        """Whether all words of some phrase are there."""
+        return any(own <= words for own in self.words)
+
+
+def phrase_transducer(phrases: dict[tuple[bytes, ...], tuple[int, float]]) -> Phrases:
+    """The phrases as one automaton; of phrases that end at one word the heaviest counts."""
+    children: list[dict[bytes, int]] = [{}]
+    ends: list[tuple[int, float] | None] = [None]
+    for phrase, found in phrases.items():
+        state = 0
+        for word in phrase:
+            if word not in children[state]:
+                children[state][word] = len(children)
+                children.append({})
+                ends.append(None)
+            state = children[state][word]
+        ends[state] = found
+    arcs: list[dict[bytes, int]] = [dict(children[0])] + [{} for _ in children[1:]]
+    level = [(state, 0) for state in children[0].values()]  # a state, and that of its longest end
+    while level:
+        below = []
+        for state, end in level:
+            arcs[state] = {**arcs[end], **children[state]}
+            ends[state] = max(filter(None, (ends[state], ends[end])), key=lambda x: x[1], default=None)
+            below.extend((child, arcs[end].get(word, 0)) for word, child in children[state].items())
+        level = below
+    return Phrases(arcs, ends, [frozenset(p) for p in phrases])
+
+
 # The lexical transducer
 
 
@@ -143,6 +197,7 @@ class Lexicon:
 
     words: dict[bytes, tuple[int, float]] = field(default_factory=dict)
     stems: dict[int, dict[bytes, float]] = field(default_factory=dict)
+    phrases: Phrases = field(default_factory=lambda: phrase_transducer({}))
 
     def look_up(self, word: bytes) -> tuple[int, float]:
         found = self.words.get(word)
@@ -160,8 +215,11 @@ def _normal(text: str) -> bytes:
 
 
 def lexicon(learned: dict[bytes, float]) -> Lexicon:
-    """The given words and the learned stems; a stem that ends in a blank is a whole word."""
-    own = Lexicon()
+    """The given words and phrases and the learned stems; a stem that ends in a blank is a whole word."""
+    given_phrases = (
+        (INSULT, INSULT_PHRASE_WEIGHT, INSULT_PHRASES), (THREAT, THREAT_PHRASE_WEIGHT, THREAT_PHRASES),
+    )
+    own = Lexicon(phrases=phrase_transducer({tuple(_normal(p).split()): (s, w) for s, w, ps in given_phrases for p in ps}))
     for symbol, given in (
         (TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS), (THREAT, THREATS), (INSULT, INSULTS),
     ):
@@ -257,22 +315,30 @@ def choose_stems(rows: Sequence[tuple[bytes, int, int]], toxic: int, clean: int)
 
 
 def clause_matches(text: str, own: Lexicon) -> list[tuple[int, float]]:
-    """(kind, weight) of each matched clause; of several matches in one the heaviest counts."""
+    """(kind, weight) of each matched clause; of several matches in one the heaviest counts.
+
+    The last word of a phrase gives the symbol of the phrase, the words before it their own.
+    """
     plain = _normal(text)
     look = own.look_up
     known = {}
-    for word in set(plain.split()):
+    words = set(plain.split())
+    for word in words:
         symbol, weight = look(word)
         if symbol != OTHER:
             known[word] = (symbol, weight)
-    if not any(s in (INSULT, THREAT) for s, _ in known.values()):
+    phrases = own.phrases if own.phrases.possible(words) else None
+    if phrases is None and not any(s in (INSULT, THREAT) for s, _ in known.values()):
         return []
     found = []
     arcs = GRAMMAR.arcs
     for clause in plain.split(b"\n"):
-        state, matches = 0, []
+        state, phrase, matches = 0, 0, []
         for word in clause.split():
             symbol, weight = known.get(word, (OTHER, 0.0))
+            if phrases is not None:
+                phrase = phrases.arcs[phrase].get(word, 0)
+                symbol, weight = phrases.ends[phrase] or (symbol, weight)
             state, out = arcs[state][symbol]
             if _is_match(out):
                 matches.append((weight, out))
@@ -314,7 +380,8 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, held_out: Column, limit: int = LABEL_SAMPLE) -> Model:
     """Learn stems and weights from at most ``limit`` labelled rows that are not held out.
 
-    ``labels`` has doc_id and toxic. Without rows of both classes only the given words and
+    Stems come from words of at most 40 bytes; of those that mark toxic rows the ``MOST_STEMS``
+    most frequent are looked at, ties by their bytes. ``labels`` has doc_id and toxic. Without rows of both classes only the given words and
     weights hold.
     """
     sample = labelled_sample(labels, "toxic", held_out, limit)
@@ -352,7 +419,8 @@ def score(docs: DataFrame, model: Model, carry: Sequence[str] = ("doc_id",)) ->
     """The columns ``carry`` of each row and its ``toxicity`` (0 to 1).
 
     A null or empty text has no matched clause and gets the score of such texts. Rows are
-    scored one by one: repeated rows give repeated results, other columns are left out.
+    scored one by one: repeated rows give repeated results, other columns are left out. A text
+    of any length is read whole, and its sums are damped, so that length alone decides nothing.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,6 +1,7 @@
 """Quality and toxicity: held-out accuracy, parts against brute force, odd rows."""
 
 import math
+import random
 import zlib
 
 import numpy as np
@@ -141,6 +142,42 @@ def test_matched_clauses():
     assert kinds("IDIOT%%%") == [t.INSULT]
 
 
+def test_matched_phrases():
+    t = toxicity
+    assert kinds("You are a waste of space") == [t.INSULT | t.AIMED]
+    assert kinds("This is not a waste of space") == [t.INSULT | t.NEGATED]
+    assert kinds("He said: nothing. I will hunt you down") == [t.THREAT | t.AIMED]
+    assert kinds("He said I will hunt you down") == [t.THREAT | t.REPORTED | t.AIMED]
+    assert kinds("waste of. space") == [] and kinds("a waste of time and space") == []
+    assert kinds("son of a son of a BITCH!") == [t.INSULT]
+    assert kinds("waste of waste of space, hunt hunt you down") == [t.INSULT, t.THREAT | t.AIMED]
+    model = t.Model(t.lexicon({}), t.given_weights())
+    assert model.score("I will hunt you down") > 0.5 > model.score("I will not hunt you down")
+    assert model.score("a waste of space") > 0.5 > model.score("she said a waste of space")
+    assert model.score("the space of a waste") == model.score("nothing")
+
+
+def test_phrases_equal_search_at_each_word():
+    draw = random.Random(9)
+    words = [b"a", b"b", b"c"]
+    for _ in range(300):
+        phrases = {tuple(draw.choices(words, k=draw.randrange(1, 5))): (draw.choice([1, 2]), float(w)) for w in range(1, 6)}
+        made = toxicity.phrase_transducer(phrases)
+        text, state = draw.choices([*words, b"x"], k=12), 0
+        for i, word in enumerate(text):
+            state = made.arcs[state].get(word, 0)
+            ending = [found for p, found in phrases.items() if tuple(text[max(0, i + 1 - len(p)) : i + 1]) == p]
+            assert made.ends[state] == max(ending, key=lambda x: x[1], default=None)
+
+
+def test_long_text(spark):
+    model = toxicity.Model(toxicity.lexicon({}), toxicity.given_weights())
+    calm = "the river runs. " * 400_000
+    docs = spark.createDataFrame([(1, calm), (2, calm + "You are a waste of space, idiot"), (3, "x" * 5_000_000)], "doc_id long, text string")
+    got = {r["doc_id"]: r["toxicity"] for r in toxicity.score(docs, model).collect()}
+    assert got[2] > 0.5 > got[1] == got[3] == model.score("")
+
+
 def test_composition_equals_the_cascade():
     """Every string of symbols up to length 5 through both."""
     from itertools import product
