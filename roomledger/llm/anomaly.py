@@ -1,9 +1,9 @@
 """Quality rules with an isolation forest on their statistics.
 
 Each text is described by counts (words, symbols, repeated lines and so on). Trees of random
-splits are grown on small samples of all documents; a document that such splits isolate after
-few steps is an anomaly. The anomaly score above which a document is rejected is calibrated on
-labelled rows.
+splits are grown on all documents, each tree on a share of them; a document that such splits
+isolate after few steps is an anomaly. The anomaly score above which a document is rejected is
+calibrated on all labelled rows.
 """
 
 from __future__ import annotations
@@ -17,9 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roomledger.llm.common import LABEL_SAMPLE, labelled_sample
+from roomledger.llm.common import labelled_sample, written
+from roomledger.operators.quantiles import exact_quantiles
 
 TREES = 128
+# A tree gets this many rows at least, if there are as many.
 ROWS_PER_TREE = 256
 # Share of the rows labelled good that calibration may reject, at most.
 GOOD_ROWS_LOST = 0.002
@@ -101,17 +103,19 @@ def statistics(rows: np.ndarray) -> np.ndarray:
 
 
 N_STATISTICS = 9
-# A scale is the range of the middle half of the drawn documents, and this at least.
+# A scale is the range of the middle half of all documents, and this at least.
 SCALE_RANGE = (0.25, 0.75)
 LEAST_SCALE = 0.05
 
 
-def scale_of(x: np.ndarray) -> np.ndarray:
-    """The usual range of each statistic; the rows are divided by it before trees are grown."""
-    if not len(x):
-        return np.ones(N_STATISTICS)
-    low, high = np.quantile(x, SCALE_RANGE, axis=0)
-    return np.maximum(high - low, LEAST_SCALE)
+def scale_of(rows: DataFrame) -> np.ndarray:
+    """The usual range of each statistic in ``s``; the rows are divided by it before trees are grown."""
+    values = rows.select(F.posexplode("s").alias("statistic", "value"))
+    found = exact_quantiles(values, "value", dict(zip(("low", "high"), SCALE_RANGE)), ["statistic"])
+    scale = np.ones(N_STATISTICS)
+    for r in found.collect():
+        scale[r["statistic"]] = max(r["high"] - r["low"], LEAST_SCALE)
+    return scale
 
 
 def base_failed(found: Sequence[int]) -> bool:
@@ -141,53 +145,126 @@ class Forest:
     rows_per_tree: int
     depth: int
 
+    def reach(self, x: np.ndarray, node: np.ndarray) -> np.ndarray:
+        """The nodes without a split at which rows arrive that start at ``node``."""
+        at_row = np.arange(len(x))
+        for _ in range(self.depth):
+            f = self.feature[node]
+            inner = f >= 0
+            if not inner.any():
+                break
+            less = x[at_row, np.maximum(f, 0)] < self.split[node]
+            node = np.where(inner, np.where(less, self.left[node], self.right[node]), node)
+        return node
+
     def score(self, x: np.ndarray) -> np.ndarray:
         """2 to the power of minus the mean path over that of random data: 0 to 1."""
         total = np.zeros(len(x))
-        at_row = np.arange(len(x))
         for root in self.roots:
-            node = np.full(len(x), root)
-            for _ in range(self.depth):
-                f = self.feature[node]
-                inner = f >= 0
-                if not inner.any():
-                    break
-                less = x[at_row, np.maximum(f, 0)] < self.split[node]
-                node = np.where(inner, np.where(less, self.left[node], self.right[node]), node)
-            total += self.path[node]
+            total += self.path[self.reach(x, np.full(len(x), root))]
         normal = mean_path(self.rows_per_tree) or 1.0
         return 2.0 ** (-total / max(1, len(self.roots)) / normal)
 
 
-def grow(x: np.ndarray, trees: int = TREES, rows: int = ROWS_PER_TREE, seed: int = 7) -> Forest:
-    """Each tree on ``rows`` rows drawn from ``x``, split at random to a depth of log2(rows).
+@dataclass(frozen=True)
+class Rows:
+    """A table (number, s) of ``n`` rows: a random number and statistics, still to be divided by ``scale``."""
+
+    table: DataFrame
+    n: int
+    scale: np.ndarray
+
+    def __len__(self) -> int:
+        return self.n
+
 
-    A column is split with a chance in proportion to its range, so that ordinary spread in
-    the other columns does not hide rows that stand far out in one.
+def _arrivals(
+    forest: Forest, x: np.ndarray, numbers: np.ndarray, shares: int, first: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and the nodes from ``first`` on that they reach, each row in ``shares`` trees.
+
+    A row's number gives its first tree and an odd step to the next ones; the steps repeat no
+    tree where the number of trees is a power of two.
+    """
+    trees = len(forest.roots)
+    places, nodes = [], []
+    for j in range(shares):
+        tree = (numbers % trees + j * (2 * (numbers // trees % trees) + 1)) % trees
+        node = forest.reach(x, forest.roots[tree])
+        places.append(np.flatnonzero(node >= first))
+        nodes.append(node[places[-1]])
+    return np.concatenate(places), np.concatenate(nodes)
+
+
+def _ranges(x: np.ndarray | Rows, forest: Forest, numbers: np.ndarray | None, shares: int, first: int):
+    """(node, rows, lowest, highest values) of the nodes from ``first`` on, in their order."""
+    if isinstance(x, Rows):
+        return _ranges_on_spark(x, forest, shares, first)
+    places, nodes = _arrivals(forest, x, numbers, shares, first)
+    order = np.argsort(nodes, kind="stable")
+    found, starts, n = np.unique(nodes[order], return_index=True, return_counts=True)
+    part = x[places[order]]
+    return zip(found, n, np.minimum.reduceat(part, starts), np.maximum.reduceat(part, starts))
+
+
+def _ranges_on_spark(x: Rows, forest: Forest, shares: int, first: int):
+    """The same over a table: a row for each arrival, merged before it is sent."""
+    scale = x.scale
+    names = [f"s{i}" for i in range(N_STATISTICS)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            values = batch.column("s").flatten().to_numpy().reshape(-1, N_STATISTICS) / scale
+            places, nodes = _arrivals(forest, values, batch.column("number").to_numpy(), shares, first)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), *map(pa.array, values[places].T)], ["node", *names])
+
+    reached = x.table.select("number", "s").mapInArrow(run, ", ".join(["node bigint", *(f"{c} double" for c in names)]))
+    spans = [F.array(*[side(c) for c in names]).alias(out) for side, out in ((F.min, "low"), (F.max, "high"))]
+    # at most as many rows as a level of all trees has nodes
+    found = reached.groupBy("node").agg(F.count("*").alias("n"), *spans).collect()
+    return [(r["node"], r["n"], np.array(r["low"]), np.array(r["high"])) for r in sorted(found, key=lambda r: r["node"])]
+
+
+def grow(x: np.ndarray | Rows, trees: int = TREES, rows: int = ROWS_PER_TREE, seed: int = 7) -> Forest:
+    """Trees split at random to a depth of log2(rows), which together hold every row of ``x``.
+
+    Each row stands in as many trees as it takes to give a tree ``rows`` rows, in one at least
+    and in all at most, so a tree of a large table has more. The trees grow level by level: a
+    node is split between the lowest and the highest of all its rows, and a node without a
+    split knows how many rows it has. A column is split with a chance in proportion to its
+    range, so that ordinary spread in the other columns does not hide rows that stand far out
+    in one.
     """
     draw = np.random.default_rng(seed)
-    rows = min(rows, len(x))
-    depth = max(1, math.ceil(math.log2(max(2, rows))))
-    nodes: list[list[float]] = []  # feature, split, left, right, path
-
-    def build(part: np.ndarray, level: int) -> int:
-        at = len(nodes)
-        nodes.append([-1, 0.0, at, at, level + mean_path(len(part))])
-        low, high = part.min(axis=0), part.max(axis=0)
-        span = high - low
-        if level < depth and span.any():
-            f = int(draw.choice(len(span), p=span / span.sum()))
-            split = draw.uniform(low[f], high[f])
-            less = part[:, f] < split
-            if less.any() and not less.all():
-                left, right = build(part[less], level + 1), build(part[~less], level + 1)
-                nodes[at] = [f, split, left, right, 0.0]
-        return at
-
-    roots = [build(x[draw.choice(len(x), rows, replace=False)], 0) for _ in range(trees if rows else 0)]
-    table = np.array(nodes or [[-1, 0, 0, 0, 0]], float)
-    whole = table[:, [0, 2, 3]].astype(np.int64)
-    return Forest(whole[:, 0], table[:, 1], whole[:, 1], whole[:, 2], table[:, 4], np.array(roots, np.int64), rows, depth)
+    size = len(x)
+    trees = trees if size else 0
+    shares = min(trees, -(-trees * rows // max(1, size)))
+    depth = max(1, math.ceil(math.log2(max(2, min(rows, size)))))
+    numbers = None if isinstance(x, Rows) else draw.integers(0, 1 << 40, size)
+    nodes: list[list[float]] = [[-1, 0.0, i, i, 0.0] for i in range(max(1, trees))]  # feature, split, left, right, path
+
+    def forest() -> Forest:
+        table = np.array(nodes, float)
+        whole = table[:, [0, 2, 3]].astype(np.int64)
+        in_tree = round(shares * size / trees) if trees else 0
+        return Forest(whole[:, 0], table[:, 1], whole[:, 1], whole[:, 2], table[:, 4], np.arange(trees), in_tree, depth)
+
+    first = 0
+    for level in range(depth + 1):
+        if first == len(nodes) or not trees:
+            break
+        found, first = _ranges(x, forest(), numbers, shares, first), len(nodes)
+        for at, n, low, high in found:
+            nodes[at][4] = level + mean_path(n)
+            span = high - low
+            if level < depth and span.any():
+                f = int(draw.choice(len(span), p=span / span.sum()))
+                left = len(nodes)
+                nodes[at] = [f, draw.uniform(low[f], high[f]), left, left + 1, 0.0]
+                nodes += [[-1, 0.0, child, child, level + 1.0] for child in (left, left + 1)]
+    return forest()
 
 
 @dataclass(frozen=True)
@@ -212,43 +289,65 @@ def threshold(scores: np.ndarray, good: np.ndarray, lost: float = GOOD_ROWS_LOST
     order = np.sort(scores[good])[::-1]
     allowed = order[min(len(order) - 1, int(lost * len(order)))]
     above = scores[~good & (scores > allowed)]
-    return float((allowed + above.min()) / 2) if len(above) else float(np.nextafter(allowed, 2))
+    return between(allowed, above.min() if len(above) else None)
 
 
-def _measured(texts: DataFrame, carry: Sequence[str]) -> DataFrame:
+def between(allowed: float, above: float | None) -> float:
+    """The threshold from the largest score to keep and the smallest one of a bad row above it."""
+    return float(np.nextafter(allowed, 2)) if above is None else float((allowed + above) / 2)
+
+
+def _measured(docs: DataFrame) -> DataFrame:
+    """(doc_id, x, s): ``COUNTS`` and statistics of each row."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [counts(t or "") for t in batch.column("text").to_pylist()]
-            x = pa.array(found, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*map(batch.column, carry), x], [*carry, "x"])
+            if not batch.num_rows:
+                continue
+            found = np.array([counts(t or "") for t in batch.column("text").to_pylist()])
+            x = pa.array(list(found), pa.list_(pa.int64()))
+            s = pa.array(list(statistics(found.astype(float))), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), x, s], ["doc_id", "x", "s"])
+
+    rows = docs.select("doc_id", "text")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, x array<bigint>, s array<double>")
+
+
+def _calibrated(rows: DataFrame, forest: Forest, scale: np.ndarray) -> float:
+    """``threshold`` of the rows (s, good) that a table holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column("s").flatten().to_numpy().reshape(-1, N_STATISTICS) / scale
+                yield pa.RecordBatch.from_arrays([pa.array(forest.score(x)), batch.column("good")], ["score", "good"])
+
+    scored = written(rows.select("s", "good").mapInArrow(run, "score double, good boolean"), "anomalies")
+    allowed = exact_quantiles(scored.where("good"), "score", {"allowed": 1 - GOOD_ROWS_LOST}).first()["allowed"]
+    if allowed is None:
+        return math.inf
+    above = scored.where(~F.col("good") & (F.col("score") > allowed)).agg(F.min("score")).first()[0]
+    return between(allowed, above)
 
-    rows = texts.select(*dict.fromkeys([*carry, "text"]))
-    kinds = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in carry]
-    return rows.mapInArrow(run, ", ".join([*kinds, "x array<bigint>"]))
 
+def fit(docs: DataFrame, labels: DataFrame, limit: int | None = None) -> Model:
+    """Grow the forest on all documents and calibrate on all labelled ones (doc_id, quality).
 
-def fit(docs: DataFrame, labels: DataFrame, limit: int = LABEL_SAMPLE) -> Model:
-    """Grow the forest on ``TREES * ROWS_PER_TREE`` documents at most, those with the smallest
-    hashes of their ids, and calibrate on at most ``limit`` labelled ones (doc_id, quality).
-    Rows of a document with equal counts are one.
+    Rows of a document with equal counts are one, so that copies do not fill the forest. A
+    ``limit`` takes at most so many labelled documents, those with the smallest hashes of their
+    ids. What comes to the driver are the nodes of the trees, scales and the threshold.
     """
-    ids = docs.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    drawn = ids.orderBy(F.xxhash64("doc_id", F.lit("forest")), "doc_id").limit(TREES * ROWS_PER_TREE)
-    sample = labelled_sample(labels, "quality", F.lit(False), limit)
-    both = drawn.withColumn("drawn", F.lit(True)).join(sample, "doc_id", "full")
-    texts = docs.select("doc_id", "text").join(F.broadcast(both), "doc_id")
-    rows = _measured(texts, ["doc_id", "drawn", "label"]).distinct().orderBy("doc_id", "x").collect()
-    if not rows:
-        return Model(grow(np.zeros((0, N_STATISTICS))), math.inf, np.ones(N_STATISTICS))
-    x = statistics(np.array([r["x"] for r in rows], float))
-    drawn = np.array([r["drawn"] is True for r in rows])
-    scale = scale_of(x[drawn])
-    x /= scale
-    forest = grow(x[drawn])
-    passing = np.array([not base_failed(r["x"]) for r in rows])
-    labelled = np.array([r["label"] is not None for r in rows]) & passing
-    good = np.array([bool(r["label"]) for r in rows])[labelled]
-    return Model(forest, threshold(forest.score(x[labelled]), good) if labelled.any() else math.inf, scale)
+    measured = _measured(docs).distinct()
+    # any spread of the rows over the trees will do, if it does not depend on their order
+    number = F.shiftrightunsigned(F.xxhash64("doc_id", "x"), 24).alias("number")
+    rows = written(measured.select("*", number), "statistics")
+    n = rows.count()
+    scale = scale_of(rows)
+    forest = grow(Rows(rows, n, scale))
+    passing = rows.where(~((F.col("x")[0] < LEAST_WORDS) | (100 * F.col("x")[4] > MOST_REPEATED * F.col("x")[0])))
+    labelled = passing.join(labelled_sample(labels, "quality", F.lit(False), limit), "doc_id")
+    return Model(forest, _calibrated(labelled.select("s", (F.col("label") != 0).alias("good")), forest, scale), scale)
 
 
 def judge(docs: DataFrame, model: Model, carry: Sequence[str] = ("doc_id",)) -> DataFrame:

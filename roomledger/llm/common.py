@@ -42,20 +42,19 @@ def whole_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def labelled_sample(
-    labels: DataFrame, target: str, held_out: Column, limit: int = LABEL_SAMPLE
+    labels: DataFrame, target: str, held_out: Column, limit: int | None = LABEL_SAMPLE
 ) -> DataFrame:
-    """(doc_id, label) of at most ``limit`` labelled documents that are not held out.
+    """(doc_id, label) of the labelled documents that are not held out, ``limit`` at most if given.
 
     One row per document; of contradicting labels the larger counts. The documents with the
     smallest hashes of their ids are taken, so the sample does not depend on the row order.
     """
-    return (
+    known = (
         labels.where(F.col(target).isNotNull() & F.col("doc_id").isNotNull() & ~held_out)
         .groupBy("doc_id")
         .agg(F.max(F.col(target).cast("double")).alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(limit)
     )
+    return known if limit is None else known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
 
 
 def fit_logistic(

@@ -287,3 +287,38 @@ def test_copies_of_a_row_do_not_fill_the_forest(spark, monkeypatch):
     monkeypatch.setattr(anomaly, "grow", lambda x: grown.append(len(x)) or grow(x))
     anomaly.fit(docs, table)
     assert grown == [20]
+
+
+def test_forest_and_threshold_take_every_document(spark, monkeypatch):
+    """More documents than the trees had places for, more labels than a sample would take."""
+    seen, ranges = [], anomaly._ranges
+    monkeypatch.setattr(anomaly, "_ranges", lambda *a: seen.append(list(ranges(*a))) or seen[-1])
+    monkeypatch.setattr(anomaly, "GOOD_ROWS_LOST", 0.1)
+    monkeypatch.setattr(anomaly, "grow", lambda x, grow=anomaly.grow: grow(x, 2, 4))
+    monkeypatch.setattr(labelled_sample, "__defaults__", (5,))
+    texts = [(i, " ".join(f"{i * j % 101}x{'y' * (i % 7)}" for j in range(60 + i % 40))) for i in range(1, 101)]
+    docs = spark.createDataFrame([*texts, (None, "some words"), *texts[:3]], "doc_id long, text string")
+    table = spark.createDataFrame([(i, int(i % 9 > 0), 0) for i, _ in texts], LABELS)
+    model = anomaly.fit(docs, table)
+    rows = np.array([anomaly.counts(t) for t in [*(t for _, t in texts), "some words"]], float)
+    low, high = np.quantile(anomaly.statistics(rows), anomaly.SCALE_RANGE, axis=0, method="inverted_cdf")
+    assert np.allclose(model.scale, np.maximum(high - low, anomaly.LEAST_SCALE))
+    # each row stands in one of the two trees, the copies as one row
+    assert [at for at, *_ in seen[0]] == [0, 1] and sum(n for _, n, *_ in seen[0]) == 101
+    assert not any(anomaly.base_failed(r) for r in rows[:-1])
+    scores = model.score(rows[:-1])
+    good = np.array([i % 9 > 0 for i, _ in texts])
+    assert model.threshold == pytest.approx(anomaly.threshold(scores, good, 0.1))
+
+
+def test_forest_of_a_table_equals_that_of_arrays(spark):
+    draw = np.random.default_rng(3)
+    x, numbers = draw.normal(size=(500, anomaly.N_STATISTICS)), draw.integers(0, 1 << 40, 500)
+    table = spark.createDataFrame([(int(k), r.tolist()) for k, r in zip(numbers, x)], "number long, s array<double>")
+    rows = anomaly.Rows(table, 500, np.ones(anomaly.N_STATISTICS))
+    forest = anomaly.grow(x, trees=4, rows=40)
+    for shares in (1, 3):
+        there = anomaly._ranges(rows, forest, None, shares, 4)
+        here = anomaly._ranges(x, forest, numbers, shares, 4)
+        for a, b in zip(there, here, strict=True):
+            assert a[:2] == b[:2] and np.array_equal(a[2], b[2]) and np.array_equal(a[3], b[3])
