@@ -83,6 +83,60 @@ def test_a_repeated_bad_row_leaves_the_good_ones(spark):
     assert np.array_equal(model.weights, quality.fit(once, table, F.lit(False), limit=100).weights)
 
 
+def test_all_pairs_count():
+    """Loss, slope and curvature from the nodes are those of all pairs; so is the optimum."""
+    draw = np.random.default_rng(4)
+    z = draw.normal(size=(60, 4))
+    z[0] *= 30
+    good = z[:, 0] + draw.normal(size=60) > 0
+    pairs = (z[good][:, None] - z[~good]).reshape(-1, 4)
+    weight = 60 / len(pairs)
+    for w in (np.zeros(4), draw.normal(size=4) * 4):
+        sums = {}
+        quality._add(sums, z, good, w)
+        loss, slope, curvature = quality._pair_loss(sums, w)
+        p = 1 / (1 + np.exp(pairs @ w))
+        assert loss == pytest.approx(weight * np.logaddexp(0, -pairs @ w).sum() + w @ w / 2, rel=1e-7)
+        assert np.allclose(slope, w - weight * pairs.T @ p, rtol=1e-6, atol=1e-6)
+        assert np.allclose(curvature, weight * (pairs * (p * (1 - p))[:, None]).T @ pairs + np.eye(4), rtol=1e-6, atol=1e-4)
+    made = fit_logistic(pairs / z.std(axis=0), np.ones(len(pairs)), np.full(len(pairs), weight), 1.0)
+    assert np.allclose(quality.fit_pairs(z, good).weights, made, atol=1e-4)
+
+
+def test_fit_of_a_table_equals_that_of_arrays(spark, sf_dir, labels):
+    docs = read(spark, sf_dir, "documents")
+    model = quality.fit(docs, read(spark, sf_dir, "labels"), remainder("doc_id", 4) == 2)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    learnt = [i for i in labels if i in texts and zlib.crc32(str(i).encode()) % 4 != 2]
+    x = np.array([quality.features(texts[i] or "") for i in learnt])
+    here = quality.fit_pairs(x, np.array([labels[i]["quality"] == 1 for i in learnt]))
+    assert np.allclose(model.weights, here.weights, atol=1e-5)
+    assert model.cut == pytest.approx(here.cut, abs=1e-4)
+
+
+def test_best_quantile_equals_a_search_of_all_rows(spark):
+    draw = np.random.default_rng(6)
+    strength = np.round(draw.normal(size=3000), 2)
+    good = strength + draw.normal(size=3000) / 2 > 0
+    table = spark.createDataFrame(list(zip(strength.tolist(), good.tolist())), "strength double, good boolean")
+    cuts = np.unique(np.quantile(strength, np.arange(quality.QUANTILES) / quality.QUANTILES))
+    gain = [2 * (strength[good] >= c).mean() + (strength[~good] < c).mean() for c in cuts]
+    best = np.flatnonzero(np.array(gain) >= max(gain) - 1e-12)
+    keys = quality._quantile_keys(table, 3000)
+    assert quality._best_quantile(keys, int(good.sum()), int((~good).sum())) == pytest.approx(cuts[best[len(best) // 2]])
+
+
+def test_every_labelled_document_teaches(spark):
+    """The bad ones are those that a sample of 20,000 would leave out."""
+    ids = spark.range(20_100).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    drawn = labelled_sample(ids, "quality", F.lit(False), 20_000).select("doc_id", "label")
+    table = ids.join(drawn, "doc_id", "left").select("doc_id", F.coalesce("label", F.lit(0.0)).cast("int").alias("quality"))
+    text = F.when(F.col("quality") == 1, F.concat(F.lit("some words in a row "), F.col("doc_id"))).otherwise(F.lit("# $ % & " * 9))
+    docs = table.select("doc_id", text.alias("text"))
+    model = quality.fit(docs, table, F.lit(False))
+    assert model.score("# $ % & " * 9) < 0.7 <= model.score("some words in a row 7")
+
+
 def test_newton_equals_gradient_descent():
     draw = np.random.default_rng(1)
     x, y = draw.normal(size=(200, 3)), (draw.uniform(size=200) < 0.4).astype(float)
