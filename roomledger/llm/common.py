@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from roomledger.sources.scratch import scratch_path
 
-# Labelled rows that a classifier is fitted on, at most. Taken by the hash of their id.
+# Labelled rows that the toxicity grammar is fitted on, at most. Taken by the hash of their id.
 LABEL_SAMPLE = 20_000
 
 
